@@ -7,6 +7,7 @@ from collections.abc import Iterable, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 _RANK = "_rank_in_key"
+_COUNT = "_rows_in_key"
 
 
 def first_per_key(
@@ -27,14 +28,13 @@ def first_per_key(
 
 
 def require_unique(df: DataFrame, keys: Sequence[str], what: str = "source") -> DataFrame:
-    """Pass rows through, failing the running query on the second row of a key.
+    """Pass rows through, failing the running query if a key has several rows.
 
-    The check is part of the plan: no extra job, and no extra shuffle when
-    ``df`` is already partitioned by ``keys``.
+    The check is part of the plan: no extra job, and neither a shuffle nor a sort
+    of its own when ``df`` comes out of a sort-merge join on ``keys``.
     """
-    position = F.row_number().over(Window.partitionBy(*keys).orderBy(*keys))
     message = F.lit(f"{what} has more than one row for a key of ({', '.join(keys)})")
-    guarded = df.withColumn(_RANK, position).filter(
-        F.when(F.col(_RANK) == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
+    guarded = df.withColumn(_COUNT, F.count(F.lit(1)).over(Window.partitionBy(*keys))).filter(
+        F.when(F.col(_COUNT) == 1, F.lit(True)).otherwise(F.raise_error(message).cast("boolean"))
     )
-    return guarded.drop(_RANK)
+    return guarded.drop(_COUNT)

@@ -20,10 +20,6 @@ from siltworks.functions.measures import (
     total,
 )
 
-# A lookup table up to this many recorded rows is sent to every executor; a
-# longer one is left to the size-based and adaptive choice of Spark.
-BROADCAST_ROWS = 100_000
-
 
 def orders_per_customer(orders: DataFrame) -> DataFrame:
     purchased = F.col("order_purchase_timestamp")
@@ -76,17 +72,15 @@ def dim_products(
     translation: DataFrame,
     items: DataFrame,
     as_of: datetime | Column | None = None,
-    translation_rows: int | None = None,
 ) -> DataFrame:
-    """``translation_rows`` is the row count recorded when the table was written.
+    """The sales join comes first because products are already partitioned by their key.
 
-    The sales join comes first because products are already partitioned by their
-    key; the category join, with its few and uneven keys, comes last, as a
-    broadcast if the translation is known to be short.
+    The category join, with its few and uneven keys, comes last.  It has no
+    hint: Spark broadcasts the translation while its measured size allows, and
+    beyond that splits the partitions of hot categories, which is safe because
+    the translation has one row per category.
     """
     english = translation.select("product_category_name", "product_category_name_english")
-    if translation_rows is not None and translation_rows <= BROADCAST_ROWS:
-        english = F.broadcast(english)
     category = F.col("product_category_name")
     return (
         products.join(sales_per_product(items), "product_id", "left")

@@ -195,8 +195,7 @@ def run_gold(
             commit = store.replace(GOLD, name, rows, batch_id, run_date)
         elif name == "dim_products":
             rows = marts.dim_products(
-                stage["stg_products"], silver[TRANSLATION], stage["stg_order_items"], as_of,
-                translation_rows=store.commit_of(SILVER, TRANSLATION).rows,
+                stage["stg_products"], silver[TRANSLATION], stage["stg_order_items"], as_of
             )
             commit = store.replace(GOLD, name, rows, batch_id, run_date)
         elif name == "fct_orders":

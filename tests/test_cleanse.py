@@ -1,0 +1,166 @@
+from datetime import datetime, timezone
+
+import pytest
+from pyspark.sql import functions as F
+
+from conftest import plan_of
+from siltworks.operators.cleanse import (
+    OUTCOME, cleanse, good_rows, quarantined_rows, stamped, with_keys,
+)
+from siltworks.operators.dedupe import first_per_key, require_unique
+from siltworks.specs import TABLES
+
+ORDERS = (
+    "order_id customer_id order_status order_purchase_timestamp order_approved_at "
+    "order_delivered_carrier_date order_delivered_customer_date order_estimated_delivery_date"
+)
+NOW = datetime(2024, 3, 1, tzinfo=timezone.utc)
+
+
+def orders(texts, *rows):
+    return texts(ORDERS, *[(*r, None, None, None, None, None) for r in rows])
+
+
+def outcomes(df):
+    return {r[0]: r[OUTCOME] for r in df.collect()}
+
+
+def test_order_status_split(texts):
+    df = orders(
+        texts, ("1", "c", "  Delivered "), ("2", "c", "bogus"), ("3", "c", None),
+        (None, "c", "created"), ("5", None, "created"),
+    )
+    assert outcomes(cleanse(df, TABLES["orders"])) == {"1": "good", "2": "quarantine"}
+    assert outcomes(cleanse(df, TABLES["orders"], on_null="quarantine")) == {
+        "1": "good", "2": "quarantine", "3": "quarantine",
+    }
+    with pytest.raises(ValueError):
+        cleanse(df, TABLES["orders"], on_null="keep")
+
+
+def test_conflicting_copies_land_in_one_output(texts):
+    rows = [("1", "c", "bogus"), ("1", "c", "created"), ("1", "d", "created")]
+    results = {
+        str(outcomes(cleanse(orders(texts, *p).repartition(n), TABLES["orders"])))
+        for n in (1, 3) for p in (rows, rows[::-1])
+    }
+    assert len(results) == 1 and "'1'" in results.pop()
+
+
+def test_payment_types(texts):
+    df = texts(
+        "order_id payment_sequential payment_type payment_installments payment_value",
+        ("1", "1", "BOLETO", "1", "5"), ("2", "1", "cash", "1", "5"), ("3", "1", None, "1", "5"),
+        ("4", "1", "voucher", "1", "-5"), ("5", "1", "voucher", "1", "n/a"),
+        ("6", "1", "voucher", "1", "0"), ("6", "1.0", "voucher", "1", "0"),
+    )
+    assert outcomes(cleanse(df, TABLES["order_payments"])) == {
+        "1": "good", "2": "quarantine", "4": "good", "6": "good",
+    }
+
+
+def test_review_scores(texts):
+    scores = {"a": "0", "b": "1", "c": "5", "d": "6", "e": "x", "f": None}
+    df = texts(
+        "review_id order_id review_score review_creation_date review_answer_timestamp",
+        *[(k, "o", v, None, None) for k, v in scores.items()],
+    )
+    good = {k for k, v in outcomes(cleanse(df, TABLES["order_reviews"])).items() if v == "good"}
+    assert good == {"b", "c"}
+    assert len(outcomes(cleanse(df, TABLES["order_reviews"]))) == 6
+
+
+ITEMS = "order_id order_item_id product_id seller_id shipping_limit_date price freight_value"
+
+
+def test_prices(texts):
+    prices = {"a": "0.01", "b": "0.00", "c": "-5", "d": "0.004", "e": "n/a", "f": None}
+    df = texts(ITEMS, *[(k, "1", "p", "s", None, v, "1") for k, v in prices.items()])
+    assert outcomes(cleanse(df, TABLES["order_items"])) == {
+        "a": "good", "b": "quarantine", "c": "quarantine", "d": "quarantine",
+    }
+
+
+def test_bad_price_does_not_displace_a_good_copy(texts):
+    df = texts(
+        ITEMS, ("1", "1", "a", "s", None, "0", "1"), ("1", "1", "b", "s", None, "9", "1"),
+        ("1", None, "b", "s", None, "9", "1"), ("1", "x", "b", "s", None, "8", "1"),
+    )
+    tagged = cleanse(df, TABLES["order_items"])
+    assert sorted((r.order_item_id or 0, r.outcome) for r in tagged.collect()) == [
+        (0, "good"), (1, "good"), (1, "quarantine"),
+    ]
+
+
+def test_geolocation_bounds(texts):
+    points = {
+        "1": ("90", "0"), "2": ("90.1", "0"), "3": ("NaN", "0"), "4": (None, "0"),
+        "5": ("0", "-180"), "6": ("0", "180.1"), "7": ("-90", "180"),
+    }
+    df = texts(
+        "geolocation_zip_code_prefix geolocation_lat geolocation_lng geolocation_city "
+        "geolocation_state",
+        *[(k, *p, "C", "S") for k, p in points.items()], ("x", "0", "0", "C", "S"),
+    )
+    kept = cleanse(df, TABLES["geolocation"]).collect()
+    assert sorted(r[0] for r in kept) == [1, 5, 7]
+
+
+def test_extra_columns_pass_through(texts):
+    df = texts("seller_id seller_zip_code_prefix seller_city seller_state note", ("1", "2", " A", "B ", "n"))
+    assert cleanse(df, TABLES["sellers"]).first().asDict() == {
+        "seller_id": "1", "seller_zip_code_prefix": 2, "seller_city": "a", "seller_state": "B",
+        "note": "n",
+    }
+
+
+def test_stamps(texts):
+    df = orders(texts, ("1", "c", "created"), ("2", "c", "bogus"))
+    df = df.withColumns({"_batch_id": F.lit("b0"), "_run_date": F.lit("d0")})
+    spec = TABLES["orders"]
+    tagged = stamped(cleanse(df, spec), spec, "b1", "d1", NOW)
+    good, bad = good_rows(tagged), quarantined_rows(tagged)
+    assert good.columns == [*df.columns, "_silver_timestamp"]
+    assert bad.columns == [*df.columns, "quarantine_reason", "quarantined_at"]
+    assert (good.first()._batch_id, good.first()._run_date) == ("b1", "d1")
+    assert (bad.first()._batch_id, bad.first()._run_date) == ("b0", "d0")
+    assert bad.first().quarantine_reason == "invalid_order_status"
+    assert good.first()._silver_timestamp == bad.first().quarantined_at
+
+
+def test_every_keyed_row_is_accounted_for(texts):
+    rows = [
+        (str(i % 40) if i % 7 else None, "c", ("created", "bogus", None)[i % 3])
+        for i in range(200)
+    ]
+    df, spec = orders(texts, *rows), TABLES["orders"]
+    result = cleanse(df, spec, on_null="quarantine")
+    assert result.count() == with_keys(df, spec).select("order_id").distinct().count()
+    assert result.select("order_id").distinct().count() == result.count()
+
+
+def test_hot_key_is_reduced_before_the_shuffle(spark):
+    """A third of all rows under one key leaves each map task as a single row."""
+    df = spark.range(30_000).select(
+        F.when(F.col("id") % 3 == 0, F.lit("hot")).otherwise(F.col("id").cast("string")).alias("k"),
+        (F.col("id") * 7919 % 30_011).alias("v"),
+    ).repartition(6)
+    kept = first_per_key(df, ["k"])
+    plan = plan_of(kept)
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+    assert kept.count() == 20_001
+    expected = df.filter("k = 'hot'").agg(F.min("v")).first()[0]
+    assert kept.filter("k = 'hot'").first().v == expected
+
+
+def test_key_filters_reach_the_scan(spark, texts, tmp_path):
+    path = str(tmp_path / "orders")
+    orders(texts, ("1", "c", "created")).write.parquet(path)
+    plan = plan_of(cleanse(spark.read.parquet(path), TABLES["orders"]))
+    assert "PushedFilters: [IsNotNull(order_id), IsNotNull(customer_id)]" in plan
+
+
+def test_require_unique(texts):
+    assert require_unique(texts("k v", ("1", "a"), ("2", "a")), ["k"]).count() == 2
+    with pytest.raises(Exception, match="more than one row for a key"):
+        require_unique(texts("k v", ("1", "a"), ("1", "b")), ["k"]).collect()
