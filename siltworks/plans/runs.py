@@ -30,12 +30,16 @@ from siltworks.sources.extracts import (
     read_extract,
     stamp_landing,
 )
+from siltworks.sources.long_files import IRREGULAR, longest_file, read_long_extract
 from siltworks.sources.store import TableStore
 from siltworks.specs import TABLES
 
 BRONZE, SILVER, GOLD, OPS = "bronze", "silver", "gold", "ops"
 DATABASES = {BRONZE: "bronze_db", SILVER: "silver_db", GOLD: "gold_db"}
 
+# Bytes up to which one task reads a whole CSV file.
+SPLIT_OVER = 1 << 30
+
 RESULT_SCHEMA = T.StructType(
     [
         T.StructField("layer", T.StringType()),
@@ -99,19 +103,35 @@ def _raise_if_failed(stage: str, results: list[TableResult]) -> list[TableResult
 def run_bronze(
     store: TableStore, raw_root: str, source: str, run_date: str,
     batch_id: str | None = None, as_of: datetime | None = None, side_by_side: int = 4,
+    split_over: int = SPLIT_OVER,
 ) -> list[TableResult]:
-    """Land the nine extracts of one run date, each read once."""
+    """Land the nine extracts of one run date.
+
+    An extract with a file longer than ``split_over`` bytes is read in blocks;
+    if its quotes are irregular, it is read whole after all.
+    """
     batch_id = batch_id or new_batch_id()
 
-    def land(name: str) -> TableResult:
+    def land_with(reader: Callable[[SparkSession, str], DataFrame], name: str) -> TableResult:
         path = extract_path(raw_root, source, run_date, name)
-        extract = check_contract(read_extract(store.spark, path), TABLES[name])
+        extract = check_contract(reader(store.spark, path), TABLES[name])
         commit = store.replace(
             BRONZE, name, stamp_landing(extract, batch_id, run_date, as_of),
             batch_id, run_date, allow_empty=False,
         )
         return TableResult(BRONZE, name, "succeeded", commit.rows)
 
+    def land(name: str) -> TableResult:
+        path = extract_path(raw_root, source, run_date, name)
+        if longest_file(store.spark, path) <= split_over:
+            return land_with(read_extract, name)
+        try:
+            return land_with(read_long_extract, name)
+        except Exception as error:
+            if IRREGULAR not in str(error):
+                raise
+            return land_with(read_extract, name)
+
     return _raise_if_failed(
         BRONZE, _each_table(store.spark, BRONZE, TABLES, land, side_by_side)
     )

@@ -43,12 +43,16 @@ def check_contract(df: DataFrame, spec: TableSpec) -> DataFrame:
 def stamp_landing(
     df: DataFrame, batch_id: str, run_date: str, as_of: datetime | Column | None = None
 ) -> DataFrame:
-    """Lineage per row: when, from which file, in which run."""
-    return df.withColumns(
-        {
-            "_ingestion_timestamp": moment(as_of),
-            "_source_file": F.input_file_name(),
-            "_batch_id": F.lit(batch_id),
-            "_run_date": F.lit(run_date),
-        }
-    )
+    """Lineage per row: when, from which file, in which run.
+
+    A reader that shuffles rows brings ``_source_file`` along itself.
+    """
+    known = "_source_file" in df.columns
+    lineage = {
+        "_ingestion_timestamp": moment(as_of),
+        "_source_file": F.col("_source_file") if known else F.input_file_name(),
+        "_batch_id": F.lit(batch_id),
+        "_run_date": F.lit(run_date),
+    }
+    business = [c for c in df.columns if c not in lineage]
+    return df.select(*business, *[value.alias(name) for name, value in lineage.items()])
