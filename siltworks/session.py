@@ -16,7 +16,9 @@ SETTINGS = {
 }
 
 
-def local_session(name: str, cores: int | str = 8, memory: str = "8g") -> SparkSession:
+def local_session(
+    name: str, cores: int | str = 8, memory: str = "8g", extra: dict[str, str] | None = None
+) -> SparkSession:
     """A session on one machine, for tests and measurements."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
@@ -26,7 +28,7 @@ def local_session(name: str, cores: int | str = 8, memory: str = "8g") -> SparkS
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.ui.showConsoleProgress", "false")
     )
-    for key, value in SETTINGS.items():
+    for key, value in {**SETTINGS, **(extra or {})}.items():
         builder = builder.config(key, value)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

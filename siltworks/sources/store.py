@@ -87,22 +87,22 @@ class TableStore:
         self.spark.createDataFrame([], _LOG_SCHEMA).write.mode("ignore").json(log)
         return self.spark.read.schema(_LOG_SCHEMA).json(log)
 
-    def commit_of(self, layer: str, table: str, version: int | None = None) -> Commit:
-        """The newest commit, or the one with the given number."""
+    def find(self, layer: str, table: str, version: int | None = None) -> Commit | None:
+        """The newest commit, or the one with the given number, if there is one."""
         log = self.versions(layer, table)
         if version is not None:
             log = log.filter(F.col("version") == version)
         newest = log.orderBy(F.desc("version"), F.desc("committed_at")).limit(1).collect()
-        if not newest:
+        return Commit(**newest[0].asDict()) if newest else None
+
+    def commit_of(self, layer: str, table: str, version: int | None = None) -> Commit:
+        commit = self.find(layer, table, version)
+        if commit is None:
             raise TableNotFound(f"{layer}.{table}" + (f" version {version}" if version else ""))
-        return Commit(**newest[0].asDict())
+        return commit
 
     def exists(self, layer: str, table: str) -> bool:
-        try:
-            self.commit_of(layer, table)
-            return True
-        except TableNotFound:
-            return False
+        return self.find(layer, table) is not None
 
     def read(self, layer: str, table: str, version: int | None = None) -> DataFrame:
         return self._open(self.commit_of(layer, table, version))
@@ -167,8 +167,9 @@ class TableStore:
         ``pack`` lets the same write even out file sizes, in place of a
         compaction afterwards.
         """
-        if self.exists(layer, table):
-            source = upsert(self.read(layer, table), source, keys)
+        current = self.find(layer, table)
+        if current is not None:
+            source = upsert(self._open(current), source, keys)
         if pack:
             source = source.hint("rebalance")
         return self.replace(layer, table, source, batch_id, run_date)
@@ -177,7 +178,8 @@ class TableStore:
         self, layer: str, table: str, source: DataFrame, key: str, check: Sequence[str],
         batch_id: str, run_date: str, as_of: datetime,
     ) -> Commit:
-        history = self.read(layer, table) if self.exists(layer, table) else None
+        current = self.find(layer, table)
+        history = None if current is None else self._open(current)
         merged = merge_history(history, source, key, check, as_of)
         return self.replace(layer, table, merged, batch_id, run_date)
 
@@ -220,13 +222,10 @@ class TableStore:
         self, layer: str, table: str, path: str, df: DataFrame, columns: Sequence[str],
         rows: int, batch_id: str, run_date: str, outcome: str | None = None,
     ) -> Commit:
-        try:
-            version = self.commit_of(layer, table).version + 1
-        except TableNotFound:
-            version = 1
+        former = self.find(layer, table)
         return self._record(
             Commit(
-                layer, table, version, path, outcome, df.schema.json(), list(columns),
+                layer, table, former.version + 1 if former else 1, path, outcome, df.schema.json(), list(columns),
                 rows, batch_id, run_date, _now(),
             )
         )
@@ -273,8 +272,9 @@ class TableStore:
     def publish_all(self, layer: str, tables: Sequence[str]) -> None:
         """Recreate the catalog views in a session that does not have them."""
         for table in tables:
-            if self.exists(layer, table):
-                self._publish(self.commit_of(layer, table))
+            commit = self.find(layer, table)
+            if commit is not None:
+                self._publish(commit)
 
 
 def _now() -> str:

@@ -12,8 +12,12 @@ from siltworks.sources.store import TableStore  # noqa: E402
 
 
 @pytest.fixture(scope="session")
-def spark():
-    session = local_session("tests", cores=4, memory="4g")
+def spark(tmp_path_factory):
+    folders = {
+        "spark.sql.warehouse.dir": str(tmp_path_factory.mktemp("warehouse")),
+        "spark.checkpoint.dir": str(tmp_path_factory.mktemp("checkpoints")),
+    }
+    session = local_session("tests", cores=4, memory="4g", extra=folders)
     yield session
     session.stop()
 

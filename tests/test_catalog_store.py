@@ -1,0 +1,34 @@
+"""No replace- and merge-capable catalog is installed here.  These tests show that
+the statements are well formed up to the point where the session catalog, which
+can do neither, turns them down."""
+
+import pytest
+from pyspark.errors import PySparkException
+from pyspark.sql import functions as F
+
+from siltworks.sources.catalog_store import CatalogStore
+
+
+@pytest.fixture
+def catalog(spark):
+    return CatalogStore(spark, "spark_catalog", {"gold": "catalog_test"})
+
+
+def test_reads_tables_of_the_catalog(spark, catalog):
+    name = catalog.name("gold", "plain")
+    spark.range(3).write.mode("overwrite").format("parquet").saveAsTable(name)
+    assert catalog.exists("gold", "plain") and not catalog.exists("gold", "other")
+    assert catalog.read("gold", "plain").count() == 3
+
+
+def test_merge_is_well_formed(spark, catalog):
+    name = catalog.name("gold", "merged")
+    spark.range(3).write.mode("overwrite").format("parquet").saveAsTable(name)
+    source = spark.range(2, 5).withColumn("extra", F.lit("x"))
+    with pytest.raises(PySparkException, match="MERGE INTO TABLE|UNSUPPORTED"):
+        catalog.upsert("gold", "merged", source.drop("extra"), ["id"], "b", "d")
+
+
+def test_empty_tables_are_refused_before_the_write(spark, catalog):
+    with pytest.raises(ValueError):
+        catalog.replace("gold", "t", spark.range(0), "b", "d", allow_empty=False)

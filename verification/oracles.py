@@ -499,12 +499,14 @@ def _contract_rows() -> str:
 
 def oracle_sql() -> dict[str, str]:
     items_sql = "SELECT l_orderkey, l_linenumber, {} AS raw FROM lineitem"
+    documents = (
+        "SELECT CAST(doc_id AS STRING) AS doc_id, text, lang, source, "
+        "CAST(n_chars AS STRING) AS n_chars FROM documents"
+    )
     oracles = {
         # sources and gates
-        "ingest_csv_roundtrip": (
-            "SELECT CAST(doc_id AS STRING) AS doc_id, text, lang, source, "
-            "CAST(n_chars AS STRING) AS n_chars FROM documents"
-        ),
+        "ingest_csv_roundtrip": documents,
+        "ingest_long_csv": documents,
         "ingest_stamped": (
             f"SELECT *, {_NOW} AS _ingestion_timestamp, 'orders.parquet' AS _source_file, "
             "'bronze-1' AS _batch_id, '2024-02-29' AS _run_date FROM orders"

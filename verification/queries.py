@@ -42,6 +42,7 @@ from siltworks.sources.extracts import (
     read_extract,
     stamp_landing,
 )
+from siltworks.sources.long_files import read_long_extract
 from siltworks.sources.store import TableStore
 from siltworks.specs import ORDER_STATUSES, TABLES, Rule
 from verification.raw import (
@@ -119,6 +120,13 @@ def ingest_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_extract(spark, path)
 
 
+def ingest_long_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same extract through the reader for files too long for one task."""
+    path = extract_path(scratch(spark), "shop", "2024-02-29", "documents")
+    write_csv(supplied(spark, sf_dir, "documents"), path)
+    return read_long_extract(spark, path).drop("_source_file")
+
+
 def ingest_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = stamp_landing(supplied(spark, sf_dir, "orders"), *BRONZE_RUN, NOW)
     file_name = F.regexp_extract("_source_file", "[^/]*$", 0)
@@ -434,61 +442,75 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ledger.record(ledger.last_per_run(morning), afternoon)
 
 
+def in_utc(query: Query) -> Query:
+    """Times in the extracts carry no zone; they are read and shown as UTC."""
+
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+        return query(spark, sf_dir)
+
+    return run
+
+
 def queries() -> dict[str, Query]:
-    return {
-        "ingest_csv_roundtrip": ingest_csv_roundtrip,
-        "ingest_stamped": ingest_stamped,
-        "contract_report": contract_report,
-        "cast_int_legacy": cast_of(NUMBER_TEXT, to_int),
-        "cast_decimal": cast_of(MONEY_TEXT, to_money),
-        "cast_double": cast_of(DOUBLE_TEXT, to_double),
-        "cast_timestamp": cast_timestamp,
-        "normalise_text": normalise_text,
-        "delivery_days": delivery_days,
-        "on_time_flag": on_time_flag,
-        "filter_not_null": filter_not_null,
-        "filter_range": filter_range,
-        "filter_positive": filter_positive,
-        "filter_isin": filter_isin,
-        "dedupe_items": dedupe_items,
-        "silver_orders": silver_query("orders"),
-        "silver_customers": silver_query("customers"),
-        "silver_products": silver_query("products"),
-        "silver_items": silver_query("order_items"),
-        "silver_payments": silver_query("order_payments"),
-        "silver_reviews": silver_query("order_reviews"),
-        "silver_sellers": silver_query("sellers"),
-        "silver_geolocation": silver_query("geolocation"),
-        "silver_translation": silver_query(TRANSLATION),
-        "quarantine_orders": quarantine_query("orders"),
-        "quarantine_items": quarantine_query("order_items"),
-        "quarantine_payments": quarantine_query("order_payments"),
-        "quarantine_reviews": quarantine_query("order_reviews"),
-        "quarantine_orders_null": quarantine_query("orders", "quarantine"),
-        "quarantine_payments_null": quarantine_query("order_payments", "quarantine"),
-        "stg_orders": staging_query("stg_orders"),
-        "stg_customers": staging_query("stg_customers"),
-        "stg_products": staging_query("stg_products"),
-        "stg_items": staging_query("stg_order_items"),
-        "stg_payments": staging_query("stg_order_payments"),
-        "customer_order_stats": aggregate_query(marts.orders_per_customer, "stg_orders"),
-        "product_sales": aggregate_query(marts.sales_per_product, "stg_order_items"),
-        "order_payments_agg": aggregate_query(marts.payments_per_order, "stg_order_payments"),
-        "order_items_agg": aggregate_query(marts.items_per_order, "stg_order_items"),
-        "dim_customers": lambda spark, sf_dir: plain(customers_dimension(spark, sf_dir)),
-        "dim_products": lambda spark, sf_dir: plain(products_dimension(spark, sf_dir)),
-        "fct_orders": lambda spark, sf_dir: plain(orders_fact(spark, sf_dir)),
-        "fact_preview": fact_preview,
-        "fact_upsert": fact_upsert,
-        "fact_upsert_new_column": fact_upsert_new_column,
-        "fact_compacted": fact_compacted,
-        "version_read": version_read,
-        "version_rollback": version_rollback,
-        "customer_history": customer_history,
-        "customer_history_as_of": customer_history_as_of,
-        "check_results": check_results,
-        "check_results_untreated": check_results_untreated,
-        "freshness": freshness_report,
-        "table_results": table_results,
-        "run_ledger": run_ledger,
-    }
+    return {name: in_utc(query) for name, query in _REGISTERED.items()}
+
+
+_REGISTERED: dict[str, Query] = {
+    "ingest_csv_roundtrip": ingest_csv_roundtrip,
+    "ingest_long_csv": ingest_long_csv,
+    "ingest_stamped": ingest_stamped,
+    "contract_report": contract_report,
+    "cast_int_legacy": cast_of(NUMBER_TEXT, to_int),
+    "cast_decimal": cast_of(MONEY_TEXT, to_money),
+    "cast_double": cast_of(DOUBLE_TEXT, to_double),
+    "cast_timestamp": cast_timestamp,
+    "normalise_text": normalise_text,
+    "delivery_days": delivery_days,
+    "on_time_flag": on_time_flag,
+    "filter_not_null": filter_not_null,
+    "filter_range": filter_range,
+    "filter_positive": filter_positive,
+    "filter_isin": filter_isin,
+    "dedupe_items": dedupe_items,
+    "silver_orders": silver_query("orders"),
+    "silver_customers": silver_query("customers"),
+    "silver_products": silver_query("products"),
+    "silver_items": silver_query("order_items"),
+    "silver_payments": silver_query("order_payments"),
+    "silver_reviews": silver_query("order_reviews"),
+    "silver_sellers": silver_query("sellers"),
+    "silver_geolocation": silver_query("geolocation"),
+    "silver_translation": silver_query(TRANSLATION),
+    "quarantine_orders": quarantine_query("orders"),
+    "quarantine_items": quarantine_query("order_items"),
+    "quarantine_payments": quarantine_query("order_payments"),
+    "quarantine_reviews": quarantine_query("order_reviews"),
+    "quarantine_orders_null": quarantine_query("orders", "quarantine"),
+    "quarantine_payments_null": quarantine_query("order_payments", "quarantine"),
+    "stg_orders": staging_query("stg_orders"),
+    "stg_customers": staging_query("stg_customers"),
+    "stg_products": staging_query("stg_products"),
+    "stg_items": staging_query("stg_order_items"),
+    "stg_payments": staging_query("stg_order_payments"),
+    "customer_order_stats": aggregate_query(marts.orders_per_customer, "stg_orders"),
+    "product_sales": aggregate_query(marts.sales_per_product, "stg_order_items"),
+    "order_payments_agg": aggregate_query(marts.payments_per_order, "stg_order_payments"),
+    "order_items_agg": aggregate_query(marts.items_per_order, "stg_order_items"),
+    "dim_customers": lambda spark, sf_dir: plain(customers_dimension(spark, sf_dir)),
+    "dim_products": lambda spark, sf_dir: plain(products_dimension(spark, sf_dir)),
+    "fct_orders": lambda spark, sf_dir: plain(orders_fact(spark, sf_dir)),
+    "fact_preview": fact_preview,
+    "fact_upsert": fact_upsert,
+    "fact_upsert_new_column": fact_upsert_new_column,
+    "fact_compacted": fact_compacted,
+    "version_read": version_read,
+    "version_rollback": version_rollback,
+    "customer_history": customer_history,
+    "customer_history_as_of": customer_history_as_of,
+    "check_results": check_results,
+    "check_results_untreated": check_results_untreated,
+    "freshness": freshness_report,
+    "table_results": table_results,
+    "run_ledger": run_ledger,
+}
