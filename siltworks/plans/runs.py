@@ -189,7 +189,7 @@ def _failing(results: DataFrame) -> dict[str, str]:
 
 def run_gold(
     store: TableStore, run_date: str, batch_id: str | None = None,
-    as_of: datetime | None = None, pack: bool = True, side_by_side: int = 4,
+    as_of: datetime | None = None, side_by_side: int = 4,
 ) -> list[TableResult]:
     """Check staging, build what passes, check the result.
 
@@ -222,9 +222,8 @@ def run_gold(
             rows = marts.fct_orders(
                 stage["stg_orders"], stage["stg_order_payments"], stage["stg_order_items"]
             )
-            commit = store.upsert(
-                GOLD, name, rows, ["order_id"], batch_id, run_date, pack=pack
-            )
+            commit = store.upsert(GOLD, name, rows, ["order_id"], batch_id, run_date)
+            store.compact(GOLD, name)
         else:
             commit = store.keep_history(
                 GOLD, name, stage["stg_customers"], HISTORY_KEY, HISTORY_CHECK,

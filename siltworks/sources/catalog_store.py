@@ -86,7 +86,7 @@ class CatalogStore:
 
     def upsert(
         self, layer: str, table: str, source: DataFrame, keys: Sequence[str],
-        batch_id: str, run_date: str, pack: bool = False,
+        batch_id: str, run_date: str,
     ) -> Written:
         """The catalog's own merge; it refuses a target row matched twice."""
         if not self.exists(layer, table):
@@ -104,8 +104,6 @@ class CatalogStore:
             .whenNotMatched().insert(values)
             .merge()
         )
-        if pack:
-            self.compact(layer, table)
         return Written(table, self.spark.table(name).count())
 
     def keep_history(

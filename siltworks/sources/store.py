@@ -13,6 +13,7 @@ methods for catalogs whose tables can be replaced and merged into.
 from __future__ import annotations
 
 import json
+import math
 import uuid
 from collections.abc import Sequence
 from dataclasses import asdict, dataclass, replace as changed
@@ -25,6 +26,9 @@ from siltworks.operators.history import merge_history
 from siltworks.operators.upsert import upsert
 from siltworks.specs import GOOD, QUARANTINE
 
+# Length that compaction aims at for a file.
+FILE_BYTES = 128 << 20
+
 _LOG_SCHEMA = T.StructType(
     [
         T.StructField("layer", T.StringType()),
@@ -160,18 +164,12 @@ class TableStore:
 
     def upsert(
         self, layer: str, table: str, source: DataFrame, keys: Sequence[str],
-        batch_id: str, run_date: str, pack: bool = False,
+        batch_id: str, run_date: str,
     ) -> Commit:
-        """Merge ``source`` into the table by ``keys``; the first run creates it.
-
-        ``pack`` lets the same write even out file sizes, in place of a
-        compaction afterwards.
-        """
+        """Merge ``source`` into the table by ``keys``; the first run creates it."""
         current = self.find(layer, table)
         if current is not None:
             source = upsert(self._open(current), source, keys)
-        if pack:
-            source = source.hint("rebalance")
         return self.replace(layer, table, source, batch_id, run_date)
 
     def keep_history(
@@ -183,10 +181,22 @@ class TableStore:
         merged = merge_history(history, source, key, check, as_of)
         return self.replace(layer, table, merged, batch_id, run_date)
 
-    def compact(self, layer: str, table: str) -> Commit:
-        """Rewrite the current version into evenly sized files, same content."""
+    def compact(self, layer: str, table: str, target: int = FILE_BYTES) -> Commit | None:
+        """Bin-pack the current version if it is fragmented, same rows.
+
+        Each task reads a run of small files and writes one of about ``target``
+        bytes: no shuffle.  A table whose files are a quarter of that or longer
+        on average is left as it is.
+        """
         now = self.commit_of(layer, table)
-        packed = self._open(now).hint("rebalance")
+        listed = self.spark.read.format("binaryFile").load(now.path, pathGlobFilter="*.parquet")
+        if now.outcome is not None:
+            listed = listed.filter(F.col(OUTCOME) == now.outcome)
+        files, size = listed.agg(F.count("length"), F.coalesce(F.sum("length"), F.lit(0))).first()
+        wanted = max(1, math.ceil(size / target))
+        if files <= 4 * wanted:
+            return None
+        packed = self._open(now).coalesce(wanted)
         return self.replace(layer, table, packed, now.batch_id, now.run_date)
 
     def rollback(self, layer: str, table: str, version: int) -> Commit:

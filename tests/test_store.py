@@ -97,18 +97,39 @@ def test_upsert_creates_then_merges(spark, store):
         return spark.range(a, b).withColumn("v", F.lit(v))
 
     store.upsert("gold", "f", rows(0, 4, "x"), ["id"], *RUN)
-    store.upsert("gold", "f", rows(2, 6, "y"), ["id"], *RUN, pack=True)
+    store.upsert("gold", "f", rows(2, 6, "y"), ["id"], *RUN)
     got = {r.id: r.v for r in store.read("gold", "f").collect()}
     assert got == {0: "x", 1: "x", 2: "y", 3: "y", 4: "y", 5: "y"}
 
 
 def test_compaction_keeps_rows_in_fewer_files(spark, store):
+    from conftest import plan_of
+
     store.replace("gold", "f", spark.range(1000).repartition(40), *RUN)
-    before = len(store.read("gold", "f").inputFiles())
-    store.compact("gold", "f")
-    after = store.read("gold", "f")
-    assert before == 40 and len(after.inputFiles()) < 8
-    assert ids(after) == list(range(1000))
+    assert len(store.read("gold", "f").inputFiles()) == 40
+    commit = store.compact("gold", "f")
+    packed = store.read("gold", "f")
+    assert commit.rows == 1000 and len(packed.inputFiles()) == 1
+    assert ids(packed) == list(range(1000))
+    assert "Exchange" not in plan_of(packed.coalesce(1))
+    assert store.compact("gold", "f") is None
+    assert store.commit_of("gold", "f").version == 2
+
+
+def test_compaction_aims_at_a_length(spark, store):
+    wide = spark.range(4000).select(F.sha2(F.col("id").cast("string"), 512).alias("id"))
+    store.replace("gold", "f", wide.repartition(40), *RUN)
+    store.compact("gold", "f", target=100_000)
+    assert 4 <= len(store.read("gold", "f").inputFiles()) <= 10
+    assert store.read("gold", "f").distinct().count() == 4000
+
+
+def test_compaction_of_one_outcome(spark, store):
+    store.replace_split("silver", "t", tagged(spark, 1000, 300).repartition(30), *RUN)
+    store.compact("silver", "t")
+    assert len(store.read("silver", "t").inputFiles()) == 1
+    assert ids(store.read("silver", "t")) == list(range(300, 1000))
+    assert ids(store.read("silver", "quarantine_t")) == list(range(300))
 
 
 def test_catalog_views_follow_the_tables(spark, tmp_path):

@@ -295,9 +295,7 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads into a stored table: the first creates it, the second merges."""
     store, fact = new_store(spark), orders_fact(spark, sf_dir)
     store.upsert("gold", "fct_orders", first_load(fact), ["order_id"], "silver-1", "2024-03-01")
-    store.upsert(
-        "gold", "fct_orders", second_load(fact), ["order_id"], "silver-2", "2024-03-02", pack=True
-    )
+    store.upsert("gold", "fct_orders", second_load(fact), ["order_id"], "silver-2", "2024-03-02")
     return plain(store.read("gold", "fct_orders"))
 
 
