@@ -16,7 +16,7 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, types as T
+from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from siltworks.operators import ledger
 from siltworks.operators.cleanse import cleanse, stamped
@@ -27,10 +27,11 @@ from siltworks.plans.staging import STAGING, staging
 from siltworks.sources.extracts import (
     check_contract,
     extract_path,
+    extract_size,
     read_extract,
     stamp_landing,
 )
-from siltworks.sources.long_files import IRREGULAR, longest_file, read_long_extract
+from siltworks.sources.long_files import IRREGULAR, read_long_extract
 from siltworks.sources.store import TableStore
 from siltworks.specs import TABLES
 
@@ -108,29 +109,33 @@ def run_bronze(
     """Land the nine extracts of one run date.
 
     An extract with a file longer than ``split_over`` bytes is read in blocks;
-    if its quotes are irregular, it is read whole after all.
+    if its quotes are irregular, it is read whole after all.  Few short files,
+    each read by one task, are spread over the cores before they are written,
+    so that the next stage starts in parallel; many files are not shuffled.
     """
     batch_id = batch_id or new_batch_id()
 
-    def land_with(reader: Callable[[SparkSession, str], DataFrame], name: str) -> TableResult:
-        path = extract_path(raw_root, source, run_date, name)
-        extract = check_contract(reader(store.spark, path), TABLES[name])
-        commit = store.replace(
-            BRONZE, name, stamp_landing(extract, batch_id, run_date, as_of),
-            batch_id, run_date, allow_empty=False,
-        )
-        return TableResult(BRONZE, name, "succeeded", commit.rows)
-
     def land(name: str) -> TableResult:
         path = extract_path(raw_root, source, run_date, name)
-        if longest_file(store.spark, path) <= split_over:
-            return land_with(read_extract, name)
+        size = extract_size(store.spark, path)
+
+        def land_with(reader: Callable[[SparkSession, str], DataFrame]) -> TableResult:
+            extract = check_contract(reader(store.spark, path), TABLES[name])
+            rows = stamp_landing(extract, batch_id, run_date, as_of)
+            spread = size.partitions(store.spark)
+            if reader is read_extract and spread > size.files:
+                rows = rows.repartition(spread)
+            commit = store.replace(BRONZE, name, rows, batch_id, run_date, allow_empty=False)
+            return TableResult(BRONZE, name, "succeeded", commit.rows)
+
+        if size.longest <= split_over:
+            return land_with(read_extract)
         try:
-            return land_with(read_long_extract, name)
+            return land_with(read_long_extract)
         except Exception as error:
             if IRREGULAR not in str(error):
                 raise
-            return land_with(read_extract, name)
+            return land_with(read_extract)
 
     return _raise_if_failed(
         BRONZE, _each_table(store.spark, BRONZE, TABLES, land, side_by_side)
@@ -189,11 +194,13 @@ def _failing(results: DataFrame) -> dict[str, str]:
 
 def run_gold(
     store: TableStore, run_date: str, batch_id: str | None = None,
-    as_of: datetime | None = None, side_by_side: int = 4,
+    as_of: datetime | None = None, side_by_side: int = 4, only_run_date: bool = False,
 ) -> list[TableResult]:
     """Check staging, build what passes, check the result.
 
-    A staging model that fails a check stops the gold tables built from it.
+    A staging model that fails a check stops the gold tables built from it.  The
+    fact is recomputed from all cleaned orders and upserted; ``only_run_date``
+    limits it to the orders stamped with ``run_date``.
     """
     batch_id = batch_id or new_batch_id()
     as_of = as_of or datetime.now(timezone.utc)
@@ -219,9 +226,10 @@ def run_gold(
             )
             commit = store.replace(GOLD, name, rows, batch_id, run_date)
         elif name == "fct_orders":
-            rows = marts.fct_orders(
-                stage["stg_orders"], stage["stg_order_payments"], stage["stg_order_items"]
-            )
+            orders = stage["stg_orders"]
+            if only_run_date:
+                orders = orders.filter(F.col("_run_date") == run_date)
+            rows = marts.fct_orders(orders, stage["stg_order_payments"], stage["stg_order_items"])
             commit = store.upsert(GOLD, name, rows, ["order_id"], batch_id, run_date)
             store.compact(GOLD, name)
         else:

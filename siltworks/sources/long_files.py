@@ -26,12 +26,6 @@ class IrregularText(ValueError):
         super().__init__(f"{IRREGULAR}: {reason}")
 
 
-def longest_file(spark: SparkSession, path: str) -> int:
-    """Bytes of the longest file under ``path``; reads no file content."""
-    files = spark.read.format("binaryFile").load(path)
-    return files.agg(F.max("length")).first()[0] or 0
-
-
 def _lines(spark: SparkSession, path: str, separator: str) -> DataFrame:
     """Lines with their file, block and position; ``odd`` marks an odd number of quotes."""
     line = F.col("value")

@@ -1,7 +1,8 @@
 import pytest
 
 from siltworks.sources.extracts import (
-    ContractError, check_contract, extract_path, read_extract, stamp_landing,
+    ContractError, ExtractSize, check_contract, extract_path, extract_size, read_extract,
+    stamp_landing,
 )
 from siltworks.specs import TABLES
 
@@ -37,6 +38,19 @@ def test_folder_of_parts_is_one_extract(spark, tmp_path):
     assert sorted(tuple(r) for r in df.collect()) == [("1", "x\ny"), ("2", "z")]
 
 
+def test_size_and_spread(spark, tmp_path):
+    folder = tmp_path / "parts.csv"
+    folder.mkdir()
+    for name, length in (("p1.csv", 100), ("p2.csv", 400), ("_SUCCESS", 7)):
+        (folder / name).write_text("x" * length)
+    size = extract_size(spark, str(folder))
+    assert size == ExtractSize(files=2, longest=400, total=500)
+    assert size.partitions(spark) == 1
+    cores = spark.sparkContext.defaultParallelism
+    assert ExtractSize(1, 1 << 28, 1 << 28).partitions(spark) == cores
+    assert ExtractSize(1, 1 << 40, 1 << 40).partitions(spark) == (1 << 40) // (128 << 20)
+
+
 def test_path_names_one_date_and_one_table():
     assert (
         extract_path("/raw/shop/", "shop", "2024-01-01", "orders")

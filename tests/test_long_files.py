@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltworks.plans.runs import run_bronze
-from siltworks.sources.extracts import read_extract
-from siltworks.sources.long_files import IRREGULAR, longest_file, read_long_extract
+from siltworks.sources.extracts import extract_size, read_extract
+from siltworks.sources.long_files import IRREGULAR, read_long_extract
 
 
 @pytest.fixture
@@ -111,7 +111,8 @@ def test_documents_in_small_blocks(spark, tmp_path):
 
     path = str(tmp_path / "documents.csv")
     write_csv(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(1), path)
-    assert longest_file(spark, path) > 100_000
+    size = extract_size(spark, path)
+    assert (size.files, size.longest > 100_000, size.total) == (1, True, size.longest)
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
     spark.conf.set(key, "20000")
