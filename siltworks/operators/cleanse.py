@@ -65,7 +65,10 @@ def cleanse(df: DataFrame, spec: TableSpec, on_null: str = "drop") -> DataFrame:
         survivors = first_per_key(tagged, (*spec.keys, OUTCOME))
     else:
         survivors = first_per_key(tagged, spec.keys)
-    return survivors.filter(F.col(OUTCOME).isNotNull())
+    every_row_has_one = (
+        on_null == "quarantine" or spec.rule.null_is_invalid or spec.rule.column in spec.not_null
+    )
+    return survivors if every_row_has_one else survivors.filter(F.col(OUTCOME).isNotNull())
 
 
 def stamped(
