@@ -34,7 +34,7 @@ def _lines(spark: SparkSession, path: str, separator: str) -> DataFrame:
         F.input_file_name().alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
-        ((F.length(line) - F.length(F.replace(line, F.lit('"')))) % 2).alias("odd"),
+        ((F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"')))) % 2).alias("odd"),
     )
 
 
@@ -54,12 +54,14 @@ def _regular(line: Column, inside: Column) -> Column:
         right = (i == last) | piece.endswith(",")
         return F.struct((~outside | (piece == "") | (left & right)).alias("ok"))
 
-    return F.forall(F.transform(pieces, bounded), lambda p: p["ok"])
+    every_piece = F.forall(F.transform(pieces, bounded), lambda p: p["ok"])
+    return F.when(~line.contains('"'), F.lit(True)).otherwise(every_piece)
 
 
 def _survey(spark: SparkSession, path: str) -> tuple[str, bool]:
     """Line separator of the text, and whether any record spans lines."""
     line, cr = F.col("line"), F.lit("\r")
+    first_cr = F.instr(line, cr)
     per_file = (
         _lines(spark, path, "\n")
         .groupBy("file")
@@ -67,9 +69,8 @@ def _survey(spark: SparkSession, path: str) -> tuple[str, bool]:
             F.count(F.lit(1)).alias("lines"),
             F.sum("odd").alias("odd"),
             F.count_if(line.endswith("\r")).alias("cr_ends"),
-            F.count_if(F.instr(F.rtrim(line, cr), "\r") > 0).alias("cr_within"),
-            F.count_if((line != "") & (F.trim(F.translate(line, "\t\r\f\x0b", "    ")) == ""))
-            .alias("blank"),
+            F.count_if((first_cr > 0) & (first_cr < F.length(line))).alias("cr_within"),
+            F.count_if(line.rlike(r"^[\x00-\x20]+$") & (line != "\r")).alias("blank"),
             F.count_if(~_regular(F.rtrim(line, cr), F.lit(False))).alias("irregular"),
         )
         .agg(
