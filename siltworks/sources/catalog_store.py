@@ -12,7 +12,7 @@ from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
 
-from siltworks.operators.cleanse import OUTCOME, good_rows, quarantined_rows
+from siltworks.operators.cleanse import good_rows, quarantined_rows
 from siltworks.operators.history import merge_history
 from siltworks.operators.upsert import on_keys
 

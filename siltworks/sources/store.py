@@ -113,7 +113,7 @@ class TableStore:
 
     def _open(self, commit: Commit) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(commit.schema))
-        rows = self.spark.read.schema(schema).parquet(commit.path)
+        rows = self.spark.read.schema(schema).parquet(self._folder(commit))
         if commit.outcome is not None:
             rows = rows.filter(F.col(OUTCOME) == commit.outcome)
         return rows.select(*commit.columns)
@@ -129,7 +129,7 @@ class TableStore:
         Rows are counted by the write itself.  With ``allow_empty=False`` an
         empty result is not committed.
         """
-        path = self._new_folder(layer, table)
+        path = self._new_path(layer, table)
         counts = self._write(df, path, {"rows": F.count(F.lit(1))})
         if not allow_empty and counts["rows"] == 0:
             raise ValueError(f"{layer}.{table}: no rows")
@@ -143,7 +143,7 @@ class TableStore:
         The quarantine table is replaced as well when it has no rows, so rows
         quarantined by an earlier run do not linger.
         """
-        path = self._new_folder(layer, table)
+        path = self._new_path(layer, table)
         counts = self._write(
             tagged,
             path,
@@ -189,7 +189,9 @@ class TableStore:
         on average is left as it is.
         """
         now = self.commit_of(layer, table)
-        listed = self.spark.read.format("binaryFile").load(now.path, pathGlobFilter="*.parquet")
+        listed = self.spark.read.format("binaryFile").load(
+            self._folder(now), pathGlobFilter="*.parquet"
+        )
         if now.outcome is not None:
             listed = listed.filter(F.col(OUTCOME) == now.outcome)
         files, size = listed.agg(F.count("length"), F.coalesce(F.sum("length"), F.lit(0))).first()
@@ -214,8 +216,12 @@ class TableStore:
     def _log(self, layer: str, table: str) -> str:
         return f"{self.root}/commits/{layer}/{table}"
 
-    def _new_folder(self, layer: str, table: str) -> str:
-        return f"{self.root}/{layer}/{table}/{uuid.uuid4().hex}"
+    def _folder(self, commit: Commit) -> str:
+        return f"{self.root}/{commit.path}"
+
+    def _new_path(self, layer: str, table: str) -> str:
+        """Below the root, so that a store stays readable after it is moved."""
+        return f"{layer}/{table}/{uuid.uuid4().hex}"
 
     def _write(
         self, df: DataFrame, path: str, counts: dict, partition_by: Sequence[str] = ()
@@ -225,7 +231,7 @@ class TableStore:
         writer = observed.write.option("compression", "snappy")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(path)
+        writer.parquet(f"{self.root}/{path}")
         return {name: seen.get.get(name) or 0 for name in counts}
 
     def _commit(
@@ -256,7 +262,8 @@ class TableStore:
             return
         schema = T.StructType.fromJson(json.loads(commit.schema))
         if commit.rows:
-            body = f"SELECT {', '.join(f'`{c}`' for c in commit.columns)} FROM parquet.`{commit.path}`"
+            kept = ", ".join(f"`{c}`" for c in commit.columns)
+            body = f"SELECT {kept} FROM parquet.`{self._folder(commit)}`"
             if commit.outcome is not None:
                 body += f" WHERE {OUTCOME} = '{commit.outcome}'"
         else:

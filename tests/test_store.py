@@ -28,6 +28,14 @@ def test_another_session_object_sees_the_tables(spark, store):
     assert ids(TableStore(spark, store.root).read("silver", "t")) == [0, 1, 2]
 
 
+def test_a_moved_store_stays_readable(spark, store, tmp_path):
+    import shutil
+
+    store.replace_split("silver", "t", tagged(spark, 10, 3), *RUN)
+    shutil.copytree(store.root, tmp_path / "elsewhere")
+    assert ids(TableStore(spark, str(tmp_path / "elsewhere")).read("silver", "t")) == list(range(3, 10))
+
+
 def test_missing_table_and_version(spark, store):
     assert not store.exists("silver", "t")
     with pytest.raises(TableNotFound):

@@ -69,7 +69,8 @@ def main() -> int:
         except Exception as error:
             problem = f"{type(error).__name__}: {str(error)[:1500]}"
         bad += problem is not None
-        print(f"{'ok ' if problem is None else 'BAD'} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
+        label = "ok " if problem is None else "BAD"
+        print(f"{label} {name} {time.time() - start:.1f}s {problem or ''}", flush=True)
     print(f"{bad} differ")
     return bad
 
