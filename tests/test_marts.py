@@ -99,8 +99,12 @@ def test_products(spark):
 
 
 def test_hot_category_keeps_every_product(spark):
-    """A third of the products share a category, another third have none."""
-    n = 9000
+    """A third of the products share a category, another third have none.
+
+    Without broadcasts and with thresholds fit for a small test, the hot
+    partitions of the category join are split among tasks.
+    """
+    n = 60_000
     products = spark.range(n).selectExpr(
         "cast(id as string) AS product_id",
         "CASE id % 3 WHEN 0 THEN 'hot' WHEN 1 THEN cast(id as string) END AS product_category_name",
@@ -110,15 +114,27 @@ def test_hot_category_keeps_every_product(spark):
         "CASE WHEN id = 0 THEN 'hot' ELSE cast(id as string) END AS product_category_name",
         "concat('en-', id) AS product_category_name_english",
     )
-    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.shuffle.partitions": "16",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "20000",
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.coalescePartitions.minPartitionSize": "20000",
+    }
+    before = {k: spark.conf.get(k) for k in settings}
+    for k, v in settings.items():
+        spark.conf.set(k, v)
     try:
         dim = marts.dim_products(products, translation, items(spark, ("1", "7", "1", "0")), NOW)
-        assert dim.count() == n
-        assert dim.filter("product_category_name_english = 'en-0'").count() == n // 3
-        assert dim.filter("product_category_name_english IS NULL").count() == n // 3
+        names = [r[0] for r in dim.select("product_category_name_english").collect()]
+        dim.collect()
+        assert "skew=true" in dim._jdf.queryExecution().executedPlan().toString()
     finally:
-        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    assert len(names) == n
+    assert names.count("en-0") == n // 3 and names.count(None) == n // 3
 
 
 def test_staging_keeps_listed_columns(spark):
