@@ -87,6 +87,24 @@ def merge_history(
     return closed.select(*current.columns).unionByName(current)
 
 
+def history_changes(
+    history: DataFrame,
+    source: DataFrame,
+    key: str,
+    check: Sequence[str],
+    as_of: datetime | Column,
+    close_missing: bool = True,
+) -> DataFrame:
+    """The versions that ``merge_history`` ends or opens, without those it leaves alone.
+
+    Merged by version id into the old history they give the new one, so a
+    catalog with a merge need not rewrite old versions.
+    """
+    still_open = history.filter(F.col(VALID_TO).isNull())
+    after = merge_history(still_open, source, key, check, as_of, close_missing)
+    return after.filter(F.col(VALID_TO).isNotNull() | (F.col(VALID_FROM) == moment(as_of)))
+
+
 def as_known_at(history: DataFrame, at: datetime | Column) -> DataFrame:
     """Versions valid at a point in time."""
     at = moment(at)

@@ -36,7 +36,7 @@ from siltworks.sources.store import TableStore
 from siltworks.specs import TABLES
 
 BRONZE, SILVER, GOLD, OPS = "bronze", "silver", "gold", "ops"
-DATABASES = {BRONZE: "bronze_db", SILVER: "silver_db", GOLD: "gold_db"}
+DATABASES = {BRONZE: "bronze_db", SILVER: "silver_db", GOLD: "gold_db", OPS: "ops_db"}
 
 # Bytes up to which one task reads a whole CSV file, at about 8 s per GiB.  Reading
 # in blocks costs far more in all, and pays when a file would hold up the stage.

@@ -10,10 +10,10 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
 
 from siltworks.operators.cleanse import good_rows, quarantined_rows
-from siltworks.operators.history import merge_history
+from siltworks.operators.history import VALID_TO, VERSION_ID, history_changes, merge_history
 from siltworks.operators.upsert import on_keys
 
 
@@ -96,23 +96,32 @@ class CatalogStore:
         added = [f"`{c}` {t}" for c, t in source.dtypes if c not in known]
         if added:
             self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
-        values: dict[str, Column] = {c: F.col(f"s.{c}") for c in source.columns}
-        (
-            source.alias("s")
-            .mergeInto(name, on_keys(name, "s", keys))
-            .whenMatched().update(values)
-            .whenNotMatched().insert(values)
-            .merge()
-        )
+        self._merge(source, name, keys, updated=source.columns)
         return Written(table, self.spark.table(name).count())
 
     def keep_history(
         self, layer: str, table: str, source: DataFrame, key: str, check: Sequence[str],
         batch_id: str, run_date: str, as_of: datetime,
     ) -> Written:
-        history = self.read(layer, table) if self.exists(layer, table) else None
-        merged = merge_history(history, source, key, check, as_of)
-        return self.replace(layer, table, merged, batch_id, run_date)
+        """Only ended and new versions are merged; the rest of the history stays as it is."""
+        if not self.exists(layer, table):
+            opened = merge_history(None, source, key, check, as_of)
+            return self.replace(layer, table, opened, batch_id, run_date)
+        name = self.name(layer, table)
+        changes = history_changes(self.spark.table(name), source, key, check, as_of)
+        self._merge(changes, name, [VERSION_ID], updated=[VALID_TO])
+        return Written(table, self.spark.table(name).count())
+
+    def _merge(
+        self, source: DataFrame, name: str, keys: Sequence[str], updated: Sequence[str]
+    ) -> None:
+        (
+            source.alias("s")
+            .mergeInto(name, on_keys(name, "s", keys))
+            .whenMatched().update({c: F.col(f"s.{c}") for c in updated})
+            .whenNotMatched().insert({c: F.col(f"s.{c}") for c in source.columns})
+            .merge()
+        )
 
     def compact(self, layer: str, table: str) -> None:
         self._call("rewrite_data_files", layer, table, "strategy => 'binpack'")

@@ -29,6 +29,20 @@ def test_merge_is_well_formed(spark, catalog):
         catalog.upsert("gold", "merged", source.drop("extra"), ["id"], "b", "d")
 
 
+def test_history_merge_is_well_formed(spark, catalog):
+    from datetime import datetime, timezone
+
+    from siltworks.operators.history import merge_history
+
+    at = datetime(2024, 1, 1, tzinfo=timezone.utc)
+    name = catalog.name("gold", "history")
+    people = spark.range(3).withColumn("city", F.lit("x"))
+    opened = merge_history(None, people, "id", ["city"], at)
+    opened.write.mode("overwrite").format("parquet").saveAsTable(name)
+    with pytest.raises(PySparkException, match="MERGE INTO TABLE|UNSUPPORTED"):
+        catalog.keep_history("gold", "history", people, "id", ["city"], "b", "d", at)
+
+
 def test_empty_tables_are_refused_before_the_write(spark, catalog):
     with pytest.raises(ValueError):
         catalog.replace("gold", "t", spark.range(0), "b", "d", allow_empty=False)

@@ -5,7 +5,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltworks.operators import ledger
-from siltworks.operators.history import as_known_at, merge_history
+from siltworks.operators.history import VERSION_ID, as_known_at, history_changes, merge_history
 from siltworks.operators.upsert import upsert
 
 
@@ -135,6 +135,21 @@ def test_history_against_brute_force(spark):
     assert history.filter("dbt_valid_to IS NULL").groupBy("id").count().filter("count > 1").count() == 0
 
 
+def test_merged_changes_give_the_same_history(spark):
+    random.seed(3)
+    snapshots = [
+        {f"k{i}": ("u", random.choice(["x", "y", None]), 1) for i in range(30) if random.random() < 0.8}
+        for _ in range(4)
+    ]
+    before, last = run(spark, *snapshots[:3]), people(spark, **snapshots[3])
+    args = (last, "id", ["city", "zip"], T[3])
+    changes = history_changes(before, *args)
+    whole = merge_history(before, *args)
+    merged = upsert(before, changes, [VERSION_ID])
+    assert sorted(map(str, merged.collect())) == sorted(map(str, whole.select(*merged.columns).collect()))
+    assert 0 < changes.count() < whole.count()
+
+
 def test_ledger_last_write_wins(spark):
     def records(*rows):
         return spark.createDataFrame([("p", *r) for r in rows], ledger.SCHEMA)
