@@ -20,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from siltworks.operators import ledger
 from siltworks.operators.cleanse import cleanse, stamped
-from siltworks.operators.quality import evaluate
+from siltworks.operators.quality import evaluate, freshness
 from siltworks.plans import marts
-from siltworks.plans.checks import CHECKS
+from siltworks.plans.checks import CHECKS, FRESHNESS
 from siltworks.plans.staging import STAGING, staging
 from siltworks.sources.extracts import (
     check_contract,
@@ -249,6 +249,11 @@ def run_gold(
     )
 
 
+def source_freshness(store: TableStore, as_of: datetime) -> DataFrame:
+    """Age of every cleaned table against its limits."""
+    return freshness({name: store.read(SILVER, name) for name in TABLES}, FRESHNESS, as_of)
+
+
 def record_run(
     store: TableStore, pipeline_name: str, run_date: str, status: str,
     execution: str, started_at: datetime,

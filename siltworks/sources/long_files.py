@@ -92,7 +92,7 @@ def _survey(spark: SparkSession, path: str) -> tuple[str, bool]:
         raise IrregularText("lines of blanks only, which the line reader would skip")
     if per_file.odd == 0 and per_file.irregular:
         raise IrregularText("quotes inside plain fields")
-    return ("\r\n" if per_file.cr_ends else "\n"), per_file.odd > 0
+    return ("\r\n" if per_file.cr_ends else "\n"), bool(per_file.odd)
 
 
 def read_long_extract(spark: SparkSession, path: str) -> DataFrame:

@@ -2,11 +2,10 @@ from datetime import datetime, timedelta, timezone
 
 import pytest
 
-from siltworks.plans.checks import FRESHNESS
 from siltworks.plans.runs import (
     DATABASES, StageFailed, record_run, results_frame, run_all, run_bronze, run_gold, run_silver,
+    source_freshness,
 )
-from siltworks.operators.quality import freshness
 from siltworks.sources.store import TableStore
 from siltworks.specs import TABLES
 
@@ -97,7 +96,7 @@ def test_whole_run(spark, tmp_path, raw):
     run = store.read("ops", "run_ledger").first()
     assert (run.pipeline_name, run.run_date, run.status) == ("shop_tables", DAY, "SUCCEEDED")
 
-    age = freshness({t: store.read("silver", t) for t in TABLES}, FRESHNESS, NOW + timedelta(hours=30))
+    age = source_freshness(store, NOW + timedelta(hours=30))
     assert {r.source: r.status for r in age.collect()} == {
         t: "pass" if t in ("geolocation", "product_category_name_translation") else "warn" for t in TABLES
     }
