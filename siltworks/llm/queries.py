@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontamination, line_dedup, neighbours, packing, simhash, toxicity
+from siltworks.llm import decontamination, language, line_dedup, neighbours, packing, simhash, toxicity
 from siltworks.llm.common import held_out, read
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -62,6 +62,17 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    model = language.train(docs)
+    return language.identify(docs.select("doc_id", "text"), model, out="language").select(
+        "doc_id",
+        held_out(F.col("doc_id")).alias("held_out"),
+        F.col("language.lang").alias("lang_pred"),
+        "language.score",
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
@@ -79,6 +90,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op5_neighbours,
     op6_simhash,
     op7_line_dedup,
+    op8_language,
     op10_toxicity,
 )
 
