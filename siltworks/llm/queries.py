@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontamination, language, line_dedup, neighbours, packing, simhash, toxicity
+from siltworks.llm import decontamination, language, line_dedup, neighbours, packing, personal, simhash, toxicity
 from siltworks.llm.common import held_out, read
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -41,6 +41,17 @@ def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, tokenizer_path(), capacity=2048)
 
 
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    base, spans = F.col("base"), F.col("spans")
+    return personal.find(docs).select(
+        F.col("id").alias("doc_id"),
+        *(personal.count(base, kind).alias(f"n_{kind}") for kind in ("email", "ip", "card", "phone")),
+        sha256(personal.listed(base)).alias("base_sha256"),
+        personal.listed(spans).alias("spans"),
+    )
+
+
 def op5_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding")
     return neighbours.nearest(vectors, vectors.where("vec_id % 50 = 0"), k=5)
@@ -87,6 +98,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_decontamination,
     op3_packing,
+    op4_personal_data,
     op5_neighbours,
     op6_simhash,
     op7_line_dedup,
