@@ -26,6 +26,11 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
+    """A stored `df`, sent to all tasks in joins if it has `rows` rows or fewer, else not."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def whole(df: DataFrame) -> DataFrame:
     """Each row as one struct `row`, so that no column name of the input can clash."""
     return df.select(F.struct("*").alias("row"))

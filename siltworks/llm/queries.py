@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontamination, language, line_dedup, neighbours, packing, personal, simhash, toxicity
+from siltworks.llm import decontamination, language, line_dedup, neighbours, packing, perplexity, personal, simhash, toxicity
 from siltworks.llm.common import held_out, read
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -36,6 +36,12 @@ def op1_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    judged = perplexity.judge(docs, read(spark, sf_dir, "labels"), carried=["doc_id", "lang"])
+    return judged.select("doc_id", "lang", "quality.perplexity", "quality.low", "quality.high", "quality.keep")
+
+
 def op3_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
     return packing.pack(docs, tokenizer_path(), capacity=2048)
@@ -97,6 +103,7 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_decontamination,
+    op2_quality,
     op3_packing,
     op4_personal_data,
     op5_neighbours,
