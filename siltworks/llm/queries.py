@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontamination, language, line_dedup, neighbours, packing, perplexity, personal, simhash, toxicity
+from siltworks.llm import decontamination, language, line_dedup, neighbours, packing, perplexity, personal, repeats, simhash, toxicity
 from siltworks.llm.common import held_out, read
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -90,6 +90,13 @@ def op8_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op9_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return repeats.remove_repeats(docs, length=50).select(
+        "doc_id", "n_bytes", "n_removed", F.size("spans").cast("long").alias("n_spans"), sha256(F.col("kept")).alias("kept_sha256")
+    )
+
+
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text", "lang")
     model = toxicity.train(docs, read(spark, sf_dir, "labels"))
@@ -110,6 +117,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op6_simhash,
     op7_line_dedup,
     op8_language,
+    op9_repeats,
     op10_toxicity,
 )
 
