@@ -11,6 +11,7 @@ the stored pieces, so that a length which a third of all pieces have is ranked i
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -23,7 +24,12 @@ from siltworks.llm.common import stored
 
 #: Fixed values of the token files: the id that ends each document.
 END_ID = 0
-CACHED_WORDS = 400_000
+#: The pattern that cuts text into words, for characters below U+0100, in lower case,
+#: and what special tokens begin with.
+_LETTER, _DIGIT, _BLANK = "a-z\u00AA\u00B5\u00BA\u00DF-\u00F6\u00F8-\u00FF", "0-9\u00B2\u00B3\u00B9\u00BC-\u00BE", "\\x09-\\x0D\\x20\u0085\u00A0"
+_WORD = re.compile(f"'s|'t|'re|'ve|'m|'ll|'d|[{_LETTER}]+|[{_DIGIT}]|[^{_LETTER}{_DIGIT}{_BLANK}]+")
+SPECIAL = "<|"
+CACHED_WORDS = 600_000
 
 PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 
@@ -31,26 +37,61 @@ PIECES = "doc_id {id}, piece int, start long, length long, ids_crc32 long"
 class Encoder:
     """Ids of a text as bytes, four for each, little-endian.
 
-    The tokenizer drops white space before it merges, so a text's ids are those of its parts between
-    spaces and line feeds, one after the other; parts are kept for a while, as most come again.
+    The tokenizer composes letters, folds case, drops white space, and merges within words alone:
+    runs of letters, single digits, runs of marks. So the ids of a text are those of its words, one
+    after the other, and words are kept for a while, as most come again. Texts whose characters are
+    all below U+0100, where composing changes nothing and each letter has one lower case, are cut
+    into words by the tokenizer's pattern; of others, the parts between blanks that are not ASCII
+    are left to the tokenizer as they are, and so are parts that may hold its special marks.
     """
 
     def __init__(self, path: str):
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.known: dict[str, bytes] = {"": b""}
+        vocabulary = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends_word = np.zeros(max(vocabulary.values()) + 1, dtype=bool)
+        self.ends_word[[k for token, k in vocabulary.items() if token.endswith("</w>")]] = True
+        self.known: dict[str, bytes] = {}
+
+    def _one(self, part: str) -> bytes:
+        return np.array(self.tokenizer.encode(part, add_special_tokens=False).ids, dtype="<u4").tobytes()
+
+    @staticmethod
+    def words(text: str, odd: set[str]) -> list[str]:
+        """The words of a text; parts that are left as they are are put into `odd` too."""
+        if SPECIAL not in text:
+            try:
+                text.encode("latin-1")
+                return _WORD.findall(text.lower())
+            except UnicodeEncodeError:
+                pass
+        out = []
+        for part in text.replace("\n", " ").split(" "):
+            if part.isascii() and SPECIAL not in part:
+                out += _WORD.findall(part.lower())
+            elif part:
+                out.append(part)
+                odd.add(part)
+        return out
+
+    def _learn(self, new: list[str]) -> None:
+        for at in range(0, len(new), 64):
+            some = new[at : at + 64]
+            ids = np.array(self.tokenizer.encode(" ".join(some), add_special_tokens=False).ids, dtype="<u4")
+            ends = (4 * (np.flatnonzero(self.ends_word[ids]) + 1)).tolist()
+            data = ids.tobytes()
+            self.known.update(zip(some, map(data.__getitem__, map(slice, [0, *ends[:-1]], ends)), strict=True))
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
-        parts = [(t or "").replace("\n", " ").split(" ") for t in texts]
+        odd: set[str] = set()
+        cut = [self.words(t or "", odd) for t in texts]
         if len(self.known) > CACHED_WORDS:
-            self.known = {"": b""}
-        new = list({w for words in parts for w in words if w not in self.known})
-        for at in range(0, len(new), 4096):
-            some = new[at : at + 4096]
-            for w, e in zip(some, self.tokenizer.encode_batch_fast(some, add_special_tokens=False), strict=True):
-                self.known[w] = np.array(e.ids, dtype="<u4").tobytes()
-        return [b"".join(map(self.known.__getitem__, words)) for words in parts]
+            self.known.clear()
+        new = set().union(*cut) - self.known.keys()
+        self.known.update((w, self._one(w)) for w in new & odd)
+        self._learn(list(new - odd))
+        return [b"".join(map(self.known.__getitem__, words)) for words in cut]
 
 
 def _cut(path: str, capacity: int, with_ids: bool):
@@ -58,9 +99,11 @@ def _cut(path: str, capacity: int, with_ids: bool):
     width = 4 * capacity
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import gc
         import os
 
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
+        gc.disable()  # many small values and no cycles among them
         encoder = Encoder(path)
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
