@@ -5,8 +5,8 @@ content alone (the leftmost smallest hash of `inner` bytes), so equal strings ha
 at the same place. Whatever happens to strings then happens anchor by anchor, and anchors are dealt
 to shards by their hash.
 
-1. Texts are packed in compressed blocks. Each block tells the shards its different anchors, with
-   the smallest and largest document of each; shards answer which come in more than one document.
+1. Texts are packed in compressed blocks. Each block tells the shards its different anchors, four
+   bytes each, and shards answer which of them come in more than one document or block.
 2. For those, each block sends the bytes around, once for equal surroundings. A shard takes them in
    the order of documents, in batches. A batch gets its suffix array, which is merge-scanned against
    the levels so far for strings that an earlier document holds; what is new becomes a level, and
@@ -135,42 +135,42 @@ class Block:
     def owners(self, places: np.ndarray) -> np.ndarray:
         return self.ids[np.searchsorted(self.ends, places, side="right")]
 
-    def records(self, known: np.ndarray):
-        """Of anchors with a hash in `known`: (records, hash and smallest id of each different one;
+    def records(self, repeated: dict[int, bytes]):
+        """Of repeated anchors (bits by shard): (records, hash and smallest id of each different one;
         place, first and last start, owner and record of each anchor)."""
         shape = self.shape
         place, first, last, hashes = self.anchors()
-        if len(known):
-            at = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
-            own = known[at] == hashes
-        else:
-            own = np.zeros(len(hashes), dtype=bool)
+        own = np.zeros(len(hashes), dtype=bool)
+        if repeated:
+            keys = _Keys(hashes, int(repeated[-1]))
+            for shard, rows in keys.parts():
+                if shard in repeated:
+                    bits = np.frombuffer(repeated[shard], np.uint8)
+                    own[rows] = np.unpackbits(bits, count=len(keys.starts(rows))).view(bool)[keys.nth(rows)]
         place, first, last, hashes = place[own], first[own], last[own], hashes[own]
         owner = self.owners(place)
         # Bytes around, zero where no string of this anchor reaches, and the span of string starts.
         padded = np.concatenate([np.zeros(shape.left, np.uint8), self.data, np.zeros(shape.length, np.uint8)])
+        windows = np.lib.stride_tricks.sliding_window_view(padded, shape.around)
         around = np.empty((len(place), shape.around + 2), dtype=np.uint8)
-        around[:, :-2] = np.lib.stride_tricks.sliding_window_view(padded, shape.around)[place]
-        spots = np.arange(shape.around)
-        begin, end = shape.left - (place - first), shape.left - (place - last) + shape.length
-        around[:, :-2][(spots < begin[:, None]) | (spots >= end[:, None])] = 0
-        around[:, -2], around[:, -1] = place - last, place - first
-        if not len(place):
-            return around, hashes, owner, place, first, last, owner, np.empty(0, np.int64)
-        flat = around.view(f"V{around.shape[1]}").ravel()
-        # Equal surroundings have equal hashes, so they are sought among these only.
-        key = _hashes(around, around.shape[1])[:, 0]
+        key = np.empty(len(place), dtype=np.uint64)
+        spots = np.arange(shape.around, dtype=np.uint8 if shape.around < 256 else np.int64)
+        for at in range(0, len(place), 8192):
+            some = slice(at, at + 8192)
+            reach, back = place[some] - first[some], place[some] - last[some]
+            inside = (spots >= (shape.left - reach)[:, None]) & (spots < (shape.left - back + shape.length)[:, None])
+            around[some, :-2] = windows[place[some]] * inside
+            around[some, -2], around[some, -1] = back, reach
+            key[some] = _hashes(around[some], around.shape[1])[:, 0]
+        # Equal surroundings have equal keys, so they are sought among neighbours in that order.
         order = np.lexsort((owner, key))
-        new = np.append(True, flat[order][1:] != flat[order][:-1])
+        flat = around.view(f"V{around.shape[1]}").ravel()
+        new = np.append(True, flat[order[1:]] != flat[order[:-1]])[: len(order)]
         kind = np.empty(len(order), np.int64)
         kind[order] = np.cumsum(new) - 1
         lead = order[new]
         return around[lead], hashes[lead], owner[lead], place, first, last, owner, kind
 
-    def texts(self) -> list[memoryview]:
-        view = memoryview(self.data)
-        return [view[a:b] for a, b in zip(self.starts, self.ends, strict=True)]
-
 
 def _pack(block_bytes: int):
     def blob(ids, texts):
@@ -208,54 +208,77 @@ def _dealt(to: np.ndarray, count: int) -> Iterator[tuple[int, np.ndarray]]:
         yield int(shard), order[ends[shard] : ends[shard + 1]]
 
 
-ASKED = "shard int, block long, hashes binary, low binary, high binary"
+class _Keys:
+    """Anchors of a block by shard, where each is a 32-bit number.
+
+    Two different anchors may share a number, about one in four thousand within a full shard; then
+    more surroundings are compared than need be, and nothing else changes.
+    """
+
+    def __init__(self, hashes: np.ndarray, shards: int):
+        self.shards = shards
+        self.shard = (hashes % np.uint64(shards)).astype(np.int64)
+        self.number = (hashes >> np.uint64(32)).astype(np.uint32)
+        self.order = np.lexsort((self.number, self.shard))
+
+    def parts(self) -> Iterator[tuple[int, np.ndarray]]:
+        """(shard, rows in the order of their numbers)."""
+        ends = np.searchsorted(self.shard[self.order], np.arange(self.shards + 1))
+        for shard in np.flatnonzero(np.diff(ends)):
+            yield int(shard), self.order[ends[shard] : ends[shard + 1]]
+
+    def starts(self, rows: np.ndarray) -> np.ndarray:
+        """Where each different number begins among `rows`."""
+        return np.flatnonzero(np.append(True, np.diff(self.number[rows]) != 0))
+
+    def nth(self, rows: np.ndarray) -> np.ndarray:
+        """Of each of `rows`, which of the different numbers it has."""
+        starts = self.starts(rows)
+        return np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rows))))
+
+
+ASKED = "shard int, block long, numbers binary, many binary"
 
 
 def _ask(shape: Shape, shards: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            for k in range(batch.num_rows):
+                row = batch.slice(k, 1).to_pylist()[0]
                 own = Block(row["blob"], shape)
                 place, _, _, hashes = own.anchors()
-                owner = own.owners(place)
-                order = np.lexsort((owner, hashes))
-                hashes, owner = hashes[order], owner[order]
-                first = np.flatnonzero(np.append(True, hashes[1:] != hashes[:-1])) if len(hashes) else order
-                high = owner[np.append(first[1:], len(hashes)) - 1] if len(hashes) else owner
-                hashes, low = hashes[first], owner[first]
-                parts = list(_dealt((hashes % np.uint64(shards)).astype(np.int64), shards))
+                owner, keys = own.owners(place), _Keys(hashes, shards)
+                out: list[list] = [[], [], [], []]
+                for shard, rows in keys.parts():
+                    starts = keys.starts(rows)
+                    # In more than one document of this block?
+                    many = np.minimum.reduceat(owner[rows], starts) < np.maximum.reduceat(owner[rows], starts)
+                    numbers = keys.number[rows][starts].tobytes()
+                    for column, value in zip(out, (shard, row["block"], numbers, np.packbits(many).tobytes()), strict=True):
+                        column.append(value)
+                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([s for s, _ in parts], pa.int32()),
-                        pa.array([row["block"]] * len(parts), pa.int64()),
-                        *(pa.array([x[r].tobytes() for _, r in parts], pa.binary()) for x in (hashes, low, high)),
-                    ],
-                    ["shard", "block", "hashes", "low", "high"],
+                    [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)], ["shard", "block", "numbers", "many"]
                 )
 
     return run
 
 
 def _answer(table: pa.Table) -> pa.Table:
-    """Which of each block's anchors come in more than one document."""
+    """Which of each block's anchors are in more than one document, or block, as bits."""
     rows = table.to_pylist()
-    hashes = [np.frombuffer(r["hashes"], np.uint64) for r in rows]
-    keys = np.concatenate(hashes)
-    low = np.concatenate([np.frombuffer(r["low"], np.int64) for r in rows])
-    high = np.concatenate([np.frombuffer(r["high"], np.int64) for r in rows])
-    order = np.argsort(keys)
-    first = np.flatnonzero(np.append(True, np.diff(keys[order]) != 0)) if len(keys) else order
-    many = np.minimum.reduceat(low[order], first) < np.maximum.reduceat(high[order], first)
-    known = keys[order][first][many]
-    out = []
-    for own in hashes:
-        at = np.minimum(np.searchsorted(known, own), max(len(known) - 1, 0))
-        out.append(own[known[at] == own] if len(known) else own[:0])
+    numbers = [np.frombuffer(r["numbers"], np.uint32) for r in rows]
+    many = [np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(n)) for r, n in zip(rows, numbers, strict=True)]
+    every, where, counts = np.unique(np.concatenate(numbers), return_inverse=True, return_counts=True)
+    repeated = counts > 1
+    repeated[where[np.concatenate(many) > 0]] = True
+    found = np.split(repeated[where], np.cumsum([len(n) for n in numbers])[:-1])
     return pa.table(
         {
             "block": pa.array([r["block"] for r in rows], pa.int64()),
-            "hashes": pa.array([x.tobytes() for x in out], pa.binary()),
-            "n": pa.array([len(x) for x in out], pa.int64()),
+            "shard": pa.array([r["shard"] for r in rows], pa.int32()),
+            "repeated": pa.array([np.packbits(x).tobytes() for x in found], pa.binary()),
+            "n": pa.array([int(x.sum()) for x in found], pa.int64()),
         }
     )
 
@@ -263,23 +286,28 @@ def _answer(table: pa.Table) -> pa.Table:
 SENT = "shard int, block long, around binary, low binary"
 
 
-def _gathered(table: pa.Table) -> tuple[bytes, np.ndarray, dict[int, bytes]]:
-    """Of a block's rows: its blob, the anchors known to be repeated, and answers by shard."""
-    blob, known, answers = b"", [np.empty(0, np.uint64)], {}
-    for row in table.to_pylist():
+def _gathered(table: pa.Table, first: int) -> tuple[bytes, dict[int, bytes], dict[int, bytes]]:
+    """Of a block's rows: its blob, which anchors are repeated, and answers, both by shard.
+
+    Where anything is repeated, the number of the first shards stands at -1.
+    """
+    blob, repeated, answers = b"", {}, {}
+    for k in range(table.num_rows):
+        row = table.slice(k, 1).to_pylist()[0]
         if row["blob"] is not None:
             blob = row["blob"]
-        elif row["hashes"] is not None:
-            known.append(np.frombuffer(row["hashes"], np.uint64))
+        elif row["repeated"] is not None:
+            repeated[row["shard"]] = row["repeated"]
+            repeated[-1] = first
         else:
             answers[row["shard"]] = row["answers"]
-    return blob, np.sort(np.concatenate(known)), answers
+    return blob, repeated, answers
 
 
-def _send(shape: Shape, shards: int):
+def _send(shape: Shape, first: int, shards: int):
     def run(table: pa.Table) -> pa.Table:
-        blob, known, _ = _gathered(table)
-        around, hashes, low, *_ = Block(blob, shape).records(known)
+        blob, repeated, _ = _gathered(table, first)
+        around, hashes, low, *_ = Block(blob, shape).records(repeated)
         parts = list(_dealt(_second(hashes, shards), shards))
         return pa.table(
             {
@@ -409,11 +437,11 @@ def _match(shape: Shape):
 CUT = "doc_id long, n_bytes long, n_removed long, spans array<array<int>>, kept binary"
 
 
-def _cut(shape: Shape, shards: int):
+def _cut(shape: Shape, first_shards: int, shards: int):
     def run(table: pa.Table) -> pa.Table:
-        blob, known, answers = _gathered(table)
+        blob, repeated, answers = _gathered(table, first_shards)
         own = Block(blob, shape)
-        around, hashes, low, place, first, last, owner, kind = own.records(known)
+        around, hashes, low, place, first, last, owner, kind = own.records(repeated)
         found = np.zeros((len(around), shape.left + 1), dtype=bool)
         for shard, rows in _dealt(_second(hashes, shards), shards):
             bits = np.frombuffer(answers[shard], np.uint8).reshape(len(rows), -1)
@@ -456,7 +484,7 @@ def remove_repeats(
     id_col: str = "doc_id",
     text_col: str = "text",
     length: int = 50,
-    block_bytes: int = 16_000_000,
+    block_bytes: int = 8_000_000,
     shard_anchors: int = 1_000_000,
     shard_records: int = 150_000,
 ) -> DataFrame:
@@ -477,23 +505,20 @@ def remove_repeats(
     packed = stored(
         narrow.mapInArrow(_pack(block_bytes), "blob binary").withColumn("block", F.monotonically_increasing_id())
     )
-    asked = packed.mapInArrow(_ask(shape, first := blocks(likely, shard_anchors)), ASKED)
+    first = blocks(likely, shard_anchors)
+    asked = packed.mapInArrow(_ask(shape, first), ASKED)
     known = stored(
-        asked.repartition(first, "shard").groupBy("shard").applyInArrow(_answer, "block long, hashes binary, n long")
+        asked.groupBy("shard").applyInArrow(_answer, "block long, shard int, repeated binary, n long").where("n > 0")
     )
     # Known now: how many records there are at most.
     shards = blocks(known.agg(F.sum("n").alias("n")).first()["n"] or 0, shard_records)
-    empty = {
-        "blob": F.lit(None).cast("binary"),
-        "hashes": F.lit(None).cast("binary"),
-        "shard": F.lit(None).cast("int"),
-        "answers": F.lit(None).cast("binary"),
-    }
+    columns = {"blob": "binary", "shard": "int", "repeated": "binary", "answers": "binary"}
 
     def rows(df: DataFrame) -> DataFrame:
-        return df.select("block", *(F.col(c) if c in df.columns else v.alias(c) for c, v in empty.items()))
+        there = {c: F.col(c) if c in df.columns else F.lit(None).cast(kind).alias(c) for c, kind in columns.items()}
+        return df.select("block", *there.values())
 
-    texts = rows(packed).unionAll(rows(known.where("n > 0").select("block", "hashes")))
-    sent = texts.groupBy("block").applyInArrow(_send(shape, shards), SENT)
+    texts = rows(packed).unionAll(rows(known))
+    sent = texts.groupBy("block").applyInArrow(_send(shape, first, shards), SENT)
     answered = sent.groupBy("shard").applyInArrow(_match(shape), ANSWERED)
-    return texts.unionAll(rows(answered)).groupBy("block").applyInArrow(_cut(shape, shards), CUT)
+    return texts.unionAll(rows(answered)).groupBy("block").applyInArrow(_cut(shape, first, shards), CUT)
