@@ -176,11 +176,16 @@ def train(
 
     Rows that are held out, or whose text or language is missing, are not learned from.
     """
-    rows = docs.select(
-        F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("_lang")
-    ).where(~held_out(F.col("doc_id")))
-    sample = bounded(rows, by="_lang", per_group=per_language, max_bytes=max_bytes)
-    return fit([(r["text"], r["_lang"]) for r in sample], **options)
+    sample = bounded(
+        docs.where(~held_out(F.col(id_col))),
+        None,
+        by=lang_col,
+        per_group=per_language,
+        max_bytes=max_bytes,
+        id_col=id_col,
+        text_col=text_col,
+    )
+    return fit(sample, **options)
 
 
 def identifier(docs: DataFrame, model: dict | None) -> Column:

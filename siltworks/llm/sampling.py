@@ -5,36 +5,67 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from siltworks.llm.common import small, stored
+
 
 def bounded(
-    rows: DataFrame, *, by: str, per_group: int, max_bytes: int, id_col: str = "doc_id", text_col: str = "text"
+    docs: DataFrame,
+    marks: DataFrame | None,
+    *,
+    by: str,
+    per_group: int,
+    max_bytes: int,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    carried: tuple[str, ...] = (),
 ) -> list:
     """At most `per_group` whole rows for each value of `by`, and `max_bytes` of text in all.
 
-    Rows are taken in the order of a hash of id and text, so the sample is the same on every run;
-    equal texts count once. Ids and sizes are chosen first, so no more text than that is collected.
+    `by` is a column of `docs`, or of `marks` (id, by), which has one row per id. Rows are taken in
+    the order of a hash of id and text, so the sample is the same on every run; equal texts count
+    once. The choice is made on ids and sizes, so text is neither shuffled nor collected beyond it.
+    Rows are (text, by, *carried).
     """
-    keyed = rows.where(F.col(text_col).isNotNull() & F.col(by).isNotNull()).withColumn(
-        "_order", F.xxhash64(id_col, text_col)
+    there = docs.where(F.col(text_col).isNotNull())
+    sizes = there.select(
+        F.col(id_col).alias("id"),
+        F.xxhash64(text_col).alias("text_hash"),
+        F.octet_length(text_col).alias("bytes"),
+        *([] if marks else [F.col(by).alias("by")]),
+    )
+    if marks:
+        sizes = sizes.join(marks.select(F.col("id"), F.col(by).alias("by")), "id")
+    texts = stored(
+        sizes.where(F.col("by").isNotNull())
+        .groupBy("by", "text_hash")
+        .agg(F.min(F.struct(F.xxhash64("id", "text_hash").alias("order"), "id", "bytes")).alias("first"))
     )
-    first = Window.partitionBy(by).orderBy("_order")
+    # Ranks are needed among the smallest hashes only: of each value, four times the rows asked for.
+    counts = small(stored(texts.groupBy(F.col("by").alias("of")).agg(F.count("*").alias("n"))))
+    share = F.col("first.order") / F.lit(2.0**64) + 0.5
     chosen = (
-        keyed.groupBy(by, F.xxhash64(text_col).alias("_text"))
-        .agg(F.min("_order").alias("_order"), F.min(F.octet_length(text_col)).alias("_bytes"))
-        .withColumn("_nth", F.row_number().over(first))
-        .where(F.col("_nth") <= per_group)
-        .select("_order", "_nth", "_bytes")
-        .orderBy("_nth", "_order")
+        texts.join(counts, F.col("by") == F.col("of"))
+        .where(share * F.col("n") < 4 * per_group + 100)
+        .withColumn("nth", F.row_number().over(Window.partitionBy("by").orderBy("first.order")))
+        .where(F.col("nth") <= per_group)
+        .select("by", "text_hash", "nth", "first.order", "first.id", "first.bytes")
+        .orderBy("nth", "order")
         .collect()
     )
-    orders, total = [], 0
+    wanted, total = [], 0
     for row in chosen:
-        total += row["_bytes"]
+        total += row["bytes"]
         if total > max_bytes:
             break
-        orders.append((row["_order"],))
-    if not orders:
+        wanted.append((row["id"], row["text_hash"], row["order"], row["by"]))
+    if not wanted:
         return []
-    spark = rows.sparkSession
-    wanted = F.broadcast(spark.createDataFrame(orders, "_order long").distinct())
-    return keyed.join(wanted, "_order").dropDuplicates(["_order"]).orderBy("_order").drop("_order").collect()
+    kinds = dict(sizes.dtypes) | ({"by": dict(marks.dtypes)[by]} if marks else {})
+    schema = f"want_id {kinds['id']}, want_hash long, want_order long, want_by {kinds['by']}"
+    picked = F.broadcast(docs.sparkSession.createDataFrame(wanted, schema))
+    same = F.col(id_col).eqNullSafe(F.col("want_id")) & (F.xxhash64(text_col) == F.col("want_hash"))
+    if not marks:
+        same = same & (F.col(by) == F.col("want_by"))
+    found = there.join(picked, same).select("want_order", text_col, "want_by", *carried).collect()
+    once = {(row["want_order"], row["want_by"]): row for row in found}
+    return [tuple(once[key])[1:] for key in sorted(once)]
