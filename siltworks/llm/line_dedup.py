@@ -5,8 +5,8 @@ hash; the positions to drop go back to their document, where the other lines are
 
 The text crosses the network once, for that last join. The count is of (hash, document) pairs, which
 Spark aggregates before and after a shuffle by both, so a line that a third of all documents hold is
-spread by document; the join of lines with repeated hashes can be split by adaptive execution,
-because its right side has one row per hash.
+spread by document. The repeated hashes are stored, which lets adaptive execution split the join of
+lines with them: its right side has one row per hash.
 """
 
 from __future__ import annotations
@@ -14,7 +14,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from siltworks.llm.common import ascii_lower, opened, whole
+from siltworks.llm.common import ascii_lower, opened, stored, whole
 
 #: Fixed value: what is stripped at both ends of a line.
 BLANKS = " \t\n\x0b\x0c\r"
@@ -76,7 +76,7 @@ def dedup_lines(
         )
     )
     dropped = (
-        lines.join(repeated_lines(lines, min_docs), ["k1", "k2"])
+        lines.join(stored(repeated_lines(lines, min_docs)), ["k1", "k2"])
         .where(~F.col("id").eqNullSafe(F.col("first")))
         .groupBy(F.col("id").alias("drop_id"), F.col("version").alias("drop_version"))
         .agg(F.collect_set("pos").alias("drop"))
