@@ -1,0 +1,117 @@
+"""The registered queries over the smallest tables, and the pipeline stage by stage."""
+
+from __future__ import annotations
+
+import hashlib
+import zlib
+from collections import Counter
+from pathlib import Path
+
+import duckdb
+import pyarrow.parquet as pq
+import pytest
+from siltworks.llm import queries, toxicity
+from test_decontamination import plain as plain_hits
+from test_line_dedup import plain as plain_lines
+from test_packing import gapless, plain_pieces
+from test_personal import plain as plain_spans
+from test_repeats import plain as plain_repeats
+from test_simhash import plain as plain_components
+from test_simhash import plain_groups, plain_print, unsigned
+
+import corpus_pipeline
+
+SF = "/root/testdata/sf0.001"
+COLUMNS = {
+    "op1_decontamination": "doc_id bigint, n_words bigint, n_hit bigint, n_items bigint, items_sha256 string, contaminated boolean",
+    "op2_quality": "doc_id bigint, lang string, perplexity double, low double, high double, keep boolean",
+    "op3_packing": "doc_id bigint, piece int, start bigint, length bigint, ids_crc32 bigint, sequence_id bigint, offset bigint",
+    "op4_personal_data": "doc_id bigint, n_email bigint, n_ip bigint, n_card bigint, n_phone bigint, base_sha256 string, spans string",
+    "op5_neighbours": "query_id bigint, rank int, vec_id bigint, score double",
+    "op6_simhash": "doc_id bigint, fingerprint string, component_id bigint",
+    "op7_line_dedup": "doc_id bigint, n_lines bigint, n_dropped bigint, kept_sha256 string",
+    "op8_language": "doc_id bigint, held_out boolean, lang_pred string, score double",
+    "op9_repeats": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
+    "op10_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+}
+
+
+@pytest.fixture(scope="module")
+def docs():
+    return [(r["doc_id"], r["text"]) for r in pq.read_table(f"{SF}/documents.parquet").to_pylist()]
+
+
+def sha(data):
+    return hashlib.sha256(data.encode() if isinstance(data, str) else data).hexdigest()
+
+
+@pytest.mark.parametrize("name", COLUMNS)
+def test_columns_and_rows(spark, docs, name):
+    df = queries.queries()[name](spark, SF)
+    assert ", ".join(f"{c} {t}" for c, t in df.dtypes) == COLUMNS[name]
+    rows = df.collect()
+    if "doc_id" in df.columns and name != "op3_packing":
+        assert Counter(r.doc_id for r in rows) == Counter(k for k, _ in docs)
+    if "held_out" in df.columns:
+        assert all(r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 4 == 2) for r in rows)
+
+
+@pytest.mark.parametrize("name", queries.oracle_sql())
+def test_equals_sql(spark, name):
+    con = duckdb.connect()
+    for path in Path(SF).glob("*.parquet"):
+        con.execute(f"CREATE VIEW {path.stem} AS SELECT * FROM '{path}'")
+    df = queries.queries()[name](spark, SF)
+    wanted = con.execute(f"SELECT {', '.join(df.columns)} FROM ({queries.oracle_sql()[name]})").fetchall()
+    assert Counter(map(tuple, df.collect())) == Counter(wanted)
+
+
+def test_digests(spark, docs):
+    found = {name: q(spark, SF).collect() for name, q in queries.queries().items() if name[:3] in ("op3", "op4", "op6", "op9")}
+    assert Counter((r.doc_id, unsigned(int(r.fingerprint, 16)), r.component_id) for r in found["op6_simhash"]) == Counter(
+        plain_components(docs)
+    )
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in found["op3_packing"]} == {
+        p[:5] for p in plain_pieces(docs, 2048)
+    }
+    gapless(found["op3_packing"], 2048)
+    wanted = {(k, n, gone, len(spans), sha(kept)): c for (k, n, gone, spans, kept), c in plain_repeats(docs, 50).items()}
+    assert Counter(map(tuple, found["op9_repeats"])) == Counter(wanted)
+    for r in found["op4_personal_data"]:
+        base = plain_spans(dict(docs)[r.doc_id])
+        assert r.base_sha256 == sha(",".join(f"{k}:{a}:{b}" for k, a, b in base))
+        assert r.n_phone == sum(k == "phone" for k, _, _ in base)
+
+
+def test_pipeline(spark, docs):
+    """Each stage against the plain versions; the classifier's own scores decide the first."""
+    names = [name for name, _ in corpus_pipeline.STAGES]
+    assert names == ["toxicity", "line_dedup", "simhash_near_dedup", "decontamination", "packing"]
+    table = spark.read.parquet(f"{SF}/documents.parquet")
+    model = toxicity.train(table, spark.read.parquet(f"{SF}/labels.parquet"))
+    items = [(r["item_id"], r["text"]) for r in pq.read_table(f"{SF}/benchmark.parquet").to_pylist()]
+
+    rows = [(k, t) for k, t in docs if model.score(t) < toxicity.CUT]
+    rows = [(k, kept if dropped else t) for (k, t, _, dropped, kept), _ in plain_lines(rows, 2).items()]
+    groups = plain_groups([plain_print(t) for _, t in rows], 2)
+    least = {}
+    for k, t in rows:
+        root = groups[plain_print(t)]
+        least[root] = min(k, least.get(root, k))
+    rows = [(k, t) for k, t in rows if least[groups[plain_print(t)]] == k]
+    rows = [(k, t) for k, t in rows if not plain_hits(t, items, 10)[1]]
+
+    out = corpus_pipeline.run(spark, SF).collect()
+    assert {(r.doc_id, r.piece, r.start, r.length, r.ids_crc32) for r in out} == {p[:5] for p in plain_pieces(rows, 2048)}
+    gapless(out, 2048)
+
+
+def test_stages_keep_columns_and_bear_awkward_rows(spark, awkward, nothing):
+    for frame in (awkward, nothing):
+        docs = frame
+        for name, stage in corpus_pipeline.STAGES:
+            before = docs.columns
+            docs = stage(spark, docs, SF)
+            if name != "packing":
+                assert docs.columns == before
+        assert (docs.count() > 0) == (frame is awkward)

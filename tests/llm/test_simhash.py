@@ -1,0 +1,118 @@
+from __future__ import annotations
+
+import random
+import re
+from collections import Counter
+
+import numpy as np
+import pytest
+import xxhash
+from conftest import awkward_texts
+from siltworks.llm import simhash
+
+
+def plain_print(text):
+    folded = "".join(c.lower() if "A" <= c <= "Z" else c for c in text or "")
+    words = re.findall(r"[^\x20\x09-\x0D]+", folded)
+    if not words:
+        return 0
+    parts = [" ".join(words[i : i + 3]) for i in range(max(1, len(words) - 2))]
+    hashes = np.array([xxhash.xxh64_intdigest(p.encode(), 42) for p in parts], dtype=np.uint64)
+    out = 0
+    for bit in range(64):
+        if 2 * int((hashes >> np.uint64(bit) & np.uint64(1)).sum()) > len(hashes):
+            out |= 1 << bit
+    return out
+
+
+def plain_groups(prints, max_bits):
+    """Smallest member that each fingerprint reaches."""
+    prints = sorted(set(prints))
+    root = {p: p for p in prints}
+
+    def find(x):
+        while root[x] != x:
+            x = root[x]
+        return x
+
+    for i, a in enumerate(prints):
+        for b in prints[:i]:
+            if (a ^ b).bit_count() <= max_bits:
+                x, y = find(a), find(b)
+                root[max(x, y)] = min(x, y)
+    return {p: find(p) for p in prints}
+
+
+def plain(rows, max_bits=2):
+    prints = [plain_print(t) for _, t in rows]
+    groups = plain_groups(prints, max_bits)
+    least = {}
+    for (k, _), p in zip(rows, prints, strict=True):
+        if k is not None:
+            least[groups[p]] = min(k, least.get(groups[p], k))
+    return [(k, p, least.get(groups[p])) for (k, _), p in zip(rows, prints, strict=True)]
+
+
+def unsigned(x):
+    return x & (2**64 - 1)
+
+
+def test_equals_plain_version(awkward):
+    found = simhash.near_duplicates(awkward).collect()
+    assert Counter((r.id, unsigned(r.fp), r.component) for r in found) == Counter(plain(awkward_texts()))
+
+
+def clustered(rng, count):
+    centres = [rng.getrandbits(64) for _ in range(8)] + [0, 2**64 - 1]
+    out = set()
+    while len(out) < count:
+        value = rng.choice(centres)
+        for _ in range(rng.randrange(6)):
+            value ^= 1 << rng.randrange(64)
+        out.add(value)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("max_bits", [0, 1, 2, 3])
+def test_every_link_is_found(spark, max_bits):
+    rng = random.Random(max_bits)
+    prints = clustered(rng, 500)
+    # A chain whose ends are far apart.
+    chain = [0xF0F0 << 20]
+    for bit in range(0, 60, 2):
+        chain.append(chain[-1] ^ (0b11 << bit))
+    prints = sorted({*prints, *chain})
+    signed = [p - 2**64 if p >= 2**63 else p for p in prints]
+    frame = spark.createDataFrame([(k, p) for k, p in enumerate(signed)], "id long, fp long")
+    found = simhash.with_component(simhash.stored(frame), max_bits).collect()
+    groups, least = plain_groups(prints, max_bits), {}
+    for k, p in enumerate(prints):
+        least.setdefault(groups[p], k)
+    assert {r.id: r.component for r in found} == {k: least[groups[p]] for k, p in enumerate(prints)}
+
+
+def test_anchors_at_one_fingerprint():
+    for max_bits, most in ((0, 2), (2, 33)):
+        prints = np.array([random.Random(7).getrandbits(64)], dtype=np.uint64)
+        to, _ = simhash.anchors(prints, 1 + -(-max_bits // 2))
+        assert len(to) <= most and len(set(to.tolist())) == len(to)
+
+
+def test_one_of_each_component(awkward):
+    kept = simhash.one_of_each(awkward)
+    assert kept.columns == awkward.columns
+    ids = Counter(r.doc_id for r in kept.select("doc_id").collect())
+    rows = awkward_texts()
+    groups = plain_groups([plain_print(t) for _, t in rows], 2)
+    components = {(groups[p], c) for _, p, c in plain(rows)}
+    assert ids == Counter(c for _, c in components)
+
+
+def test_rows_without_ids(spark):
+    frame = spark.createDataFrame([(None, "a b c d"), (None, "a b c d"), (None, "quite other words here")], "doc_id long, text string")
+    assert Counter(r.text for r in simhash.one_of_each(frame).collect()) == {"a b c d": 1, "quite other words here": 1}
+
+
+def test_empty_table(nothing):
+    assert simhash.near_duplicates(nothing).collect() == []
+    assert simhash.one_of_each(nothing).collect() == []
