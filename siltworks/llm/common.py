@@ -19,10 +19,11 @@ def stored(df: DataFrame) -> DataFrame:
     on one machine, a folder of its own is used.
     """
     context = df.sparkSession.sparkContext
-    if not df.sparkSession.conf.get("spark.checkpoint.dir", None) and not context.getCheckpointDir():
-        if not context.master.startswith("local["):
+    if not context.getCheckpointDir():
+        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        if not shared and (not context.master.startswith("local") or "cluster" in context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        context.setCheckpointDir(tempfile.mkdtemp(prefix="llm-"))
+        context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="llm-"))
     return df.checkpoint(eager=True)
 
 
