@@ -16,7 +16,7 @@ from datetime import datetime, timezone
 from functools import reduce
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import DataFrame, SparkSession, types as T
 
 from siltworks.operators import ledger
 from siltworks.operators.cleanse import cleanse, stamped
@@ -24,24 +24,14 @@ from siltworks.operators.quality import evaluate, freshness
 from siltworks.plans import marts
 from siltworks.plans.checks import CHECKS, FRESHNESS
 from siltworks.plans.staging import STAGING, staging
-from siltworks.sources.extracts import (
-    check_contract,
-    extract_path,
-    extract_size,
-    read_extract,
-    stamp_landing,
-)
-from siltworks.sources.long_files import IRREGULAR, read_long_extract
+from siltworks.sources.extracts import check_contract, extract_path, stamp_landing
+from siltworks.sources.long_files import read_long_extract
 from siltworks.sources.store import TableStore
 from siltworks.specs import TABLES
 
 BRONZE, SILVER, GOLD, OPS = "bronze", "silver", "gold", "ops"
 DATABASES = {BRONZE: "bronze_db", SILVER: "silver_db", GOLD: "gold_db", OPS: "ops_db"}
 
-# Bytes up to which one task reads a whole CSV file, at about 8 s per GiB.  Reading
-# in blocks costs far more in all, and pays when a file would hold up the stage.
-SPLIT_OVER = 8 << 30
-
 RESULT_SCHEMA = T.StructType(
     [
         T.StructField("layer", T.StringType()),
@@ -105,38 +95,17 @@ def _raise_if_failed(stage: str, results: list[TableResult]) -> list[TableResult
 def run_bronze(
     store: TableStore, raw_root: str, source: str, run_date: str,
     batch_id: str | None = None, as_of: datetime | None = None, side_by_side: int = 4,
-    split_over: int = SPLIT_OVER,
 ) -> list[TableResult]:
-    """Land the nine extracts of one run date.
-
-    An extract with a file longer than ``split_over`` bytes is read in blocks;
-    if its quotes are irregular, it is read whole after all.  Few short files,
-    each read by one task, are spread over the cores before they are written,
-    so that the next stage starts in parallel; many files are not shuffled.
-    """
+    """Land the nine extracts of one run date, files of any length in blocks."""
     batch_id = batch_id or new_batch_id()
 
     def land(name: str) -> TableResult:
         path = extract_path(raw_root, source, run_date, name)
-        size = extract_size(store.spark, path)
-
-        def land_with(reader: Callable[[SparkSession, str], DataFrame]) -> TableResult:
-            extract = check_contract(reader(store.spark, path), TABLES[name])
-            rows = stamp_landing(extract, batch_id, run_date, as_of)
-            spread = size.partitions(store.spark)
-            if reader is read_extract and spread > size.files:
-                rows = rows.repartition(spread)
-            commit = store.replace(BRONZE, name, rows, batch_id, run_date, allow_empty=False)
-            return TableResult(BRONZE, name, "succeeded", commit.rows)
-
-        if size.longest <= split_over:
-            return land_with(read_extract)
-        try:
-            return land_with(read_long_extract)
-        except Exception as error:
-            if IRREGULAR not in str(error):
-                raise
-            return land_with(read_extract)
+        extract, file_column = read_long_extract(store.spark, path)
+        extract = check_contract(extract, TABLES[name])
+        rows = stamp_landing(extract, batch_id, run_date, as_of, file_column)
+        commit = store.replace(BRONZE, name, rows, batch_id, run_date, allow_empty=False)
+        return TableResult(BRONZE, name, "succeeded", commit.rows)
 
     return _raise_if_failed(
         BRONZE, _each_table(store.spark, BRONZE, TABLES, land, side_by_side)
@@ -195,13 +164,12 @@ def _failing(results: DataFrame) -> dict[str, str]:
 
 def run_gold(
     store: TableStore, run_date: str, batch_id: str | None = None,
-    as_of: datetime | None = None, side_by_side: int = 4, only_run_date: bool = False,
+    as_of: datetime | None = None, side_by_side: int = 4,
 ) -> list[TableResult]:
     """Check staging, build what passes, check the result.
 
     A staging model that fails a check stops the gold tables built from it.  The
-    fact is recomputed from all cleaned orders and upserted; ``only_run_date``
-    limits it to the orders stamped with ``run_date``.
+    fact is recomputed from all cleaned orders and upserted.
     """
     batch_id = batch_id or new_batch_id()
     as_of = as_of or datetime.now(timezone.utc)
@@ -227,10 +195,9 @@ def run_gold(
             )
             commit = store.replace(GOLD, name, rows, batch_id, run_date)
         elif name == "fct_orders":
-            orders = stage["stg_orders"]
-            if only_run_date:
-                orders = orders.filter(F.col("_run_date") == run_date)
-            rows = marts.fct_orders(orders, stage["stg_order_payments"], stage["stg_order_items"])
+            rows = marts.fct_orders(
+                stage["stg_orders"], stage["stg_order_payments"], stage["stg_order_items"]
+            )
             commit = store.upsert(GOLD, name, rows, ["order_id"], batch_id, run_date)
             store.compact(GOLD, name)
         else:
@@ -260,10 +227,11 @@ def record_run(
 ) -> None:
     """Put one run into the ledger table."""
     row = (pipeline_name, run_date, status, execution, started_at.isoformat())
-    records = store.spark.createDataFrame([row], ledger.SCHEMA)
-    if store.exists(OPS, "run_ledger"):
-        records = ledger.record(store.read(OPS, "run_ledger"), records)
-    store.replace(OPS, "run_ledger", records, execution, run_date)
+    record = store.spark.createDataFrame([row], ledger.SCHEMA)
+    store.change(
+        OPS, "run_ledger", lambda now: record if now is None else ledger.record(now, record),
+        execution, run_date,
+    )
 
 
 def run_all(

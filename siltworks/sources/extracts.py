@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import math
-from dataclasses import dataclass
 from datetime import datetime
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
@@ -25,31 +23,6 @@ def extract_path(root: str, source: str, run_date: str, table: str) -> str:
     return f"{root.rstrip('/')}/run_date={run_date}/{source}_{table}_dataset.csv"
 
 
-@dataclass(frozen=True)
-class ExtractSize:
-    files: int
-    longest: int
-    total: int
-
-    def partitions(self, spark: SparkSession) -> int:
-        """How many partitions Spark would read these bytes in, could it split the files."""
-
-        def conf(name: str) -> int:
-            return int(spark.conf.get(f"spark.sql.files.{name}").rstrip("bB"))
-
-        share = self.total / spark.sparkContext.defaultParallelism
-        split = min(conf("maxPartitionBytes"), max(conf("openCostInBytes"), share))
-        return math.ceil(self.total / split)
-
-
-def extract_size(spark: SparkSession, path: str) -> ExtractSize:
-    """Number and bytes of the files of an extract; reads no file content."""
-    length = F.col("length")
-    listed = spark.read.format("binaryFile").load(path)
-    sizes = listed.agg(F.count(length), F.max(length), F.sum(length)).first()
-    return ExtractSize(*(n or 0 for n in sizes))
-
-
 def read_extract(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text; quoted fields may span lines and double their quotes."""
     return spark.read.csv(path, header=True, inferSchema=False, multiLine=True, escape='"')
@@ -68,18 +41,19 @@ def check_contract(df: DataFrame, spec: TableSpec) -> DataFrame:
 
 
 def stamp_landing(
-    df: DataFrame, batch_id: str, run_date: str, as_of: datetime | Column | None = None
+    df: DataFrame, batch_id: str, run_date: str, as_of: datetime | Column | None = None,
+    file_column: str | None = None,
 ) -> DataFrame:
     """Lineage per row: when, from which file, in which run.
 
-    A reader that shuffles rows brings ``_source_file`` along itself.
+    The file is the one that Spark reads a row from, or what the reader has put
+    into ``file_column``, which is dropped; never a column of the extract.
     """
-    known = "_source_file" in df.columns
     lineage = {
         "_ingestion_timestamp": moment(as_of),
-        "_source_file": F.col("_source_file") if known else F.input_file_name(),
+        "_source_file": F.col(file_column) if file_column else F.input_file_name(),
         "_batch_id": F.lit(batch_id),
         "_run_date": F.lit(run_date),
     }
-    business = [c for c in df.columns if c not in lineage]
+    business = [c for c in df.columns if c not in lineage and c != file_column]
     return df.select(*business, *[value.alias(name) for name, value in lineage.items()])

@@ -1,145 +1,231 @@
-"""Reading a CSV file too long for one task, although its records may span lines.
+"""Reading CSV files of any length in blocks, although their records may span lines.
 
 The multi-line CSV reader gives each file to one task.  Here the file is read as
-text, in blocks, and records are put together from lines: a line holding an odd
-number of quotes opens or closes a record that spans lines.  Counting those
-lines per block, and adding up the counts of the blocks before, tells for every
-line whether it starts inside quotes.
-
-The result equals the multi-line reader's.  That needs quotes to be used the
-regular way, around whole fields and doubled inside; text that breaks the rule
-is refused with ``IRREGULAR`` in the error, never read differently.
+text, in blocks, and records are put together from lines.  At the start of a line
+a parser is either between records or inside quotes, so each line is a map of
+those two states: it resets the state, keeps it, or turns it.  Maps add up along a
+block, and the maps of blocks along a file, which tells for every line where it
+starts, whatever the quotes look like.  Text is read twice: once for the maps of
+blocks, once for the records.
+
+The result equals the multi-line reader's, also for irregular quotes.  A file's
+lines end as its first one does.  Where a file mixes line ends, a line feed that is
+not its line end is text here, while the multi-line reader takes it for a line end at
+the start of a field only.  If no line of an extract leaves quotes open, lines are
+records and the plain line reader takes over.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-IRREGULAR = "IRREGULAR_QUOTES"
-
 CSV_OPTIONS = {"escape": '"', "multiLine": "true"}
 _BLOCK = ("file", "block")
 
+# A line, begun at the start of a field, that ends inside quotes.  Before its last
+# field stand whole ones: plain, empty, or quoted with anything after the closing
+# quote, which the parser takes up to the next comma.
+_FIELDS = r'(?:(?:"(?:[^"]|"")*+"[^,]*+|[^",][^,]*+)?+,)*+'
+_OPEN = rf'^{_FIELDS}"(?:[^"]|"")*+$'
+# A line with something between a closing quote and the next comma.
+_LOOSE = r'^(?:(?:"(?:[^"]|"")*+"|[^",][^,]*+)?+,)*+"(?:[^"]|"")*+"[^,]'
+
 
-class IrregularText(ValueError):
-    def __init__(self, reason: str):
-        super().__init__(f"{IRREGULAR}: {reason}")
+def file_column(columns: list[str]) -> str:
+    """A name for the file of a row that no column of the extract has."""
+    name = "_read_from"
+    while name.lower() in (c.lower() for c in columns):
+        name += "_"
+    return name
 
 
-def _lines(spark: SparkSession, path: str, separator: str) -> DataFrame:
-    """Lines with their file, block and position; ``odd`` marks an odd number of quotes."""
-    line = F.col("value")
-    return spark.read.text(path, lineSep=separator).select(
-        line.alias("line"),
+def _lines(spark: SparkSession, path: str | list[str], separator: str) -> DataFrame:
+    """Lines with their file, block and position, and the state each leads to from either state."""
+    lines = spark.read.text(path, lineSep=separator).select(
+        F.col("value").alias("line"),
         F.input_file_name().alias("file"),
         F.col("_metadata.file_block_start").alias("block"),
         F.monotonically_increasing_id().alias("at"),
-        ((F.octet_length(line) - F.octet_length(F.replace(line, F.lit('"')))) % 2).alias("odd"),
+        (F.octet_length("value") + len(separator)).alias("bytes"),
+        F.col("_metadata.file_size").alias("size"),
+    )
+    mark = F.when(F.col("block") == 0, F.regexp_replace("line", "^﻿", "")).otherwise(F.col("line"))
+    quoted = F.col("line").contains('"')
+    return lines.withColumn("line", mark).withColumns(
+        {
+            "from_out": F.when(quoted, F.col("line").rlike(_OPEN)).otherwise(F.lit(False)),
+            "from_in": F.when(quoted, F.concat(F.lit('"'), "line").rlike(_OPEN)).otherwise(
+                F.lit(True)
+            ),
+        }
     )
 
 
-def _regular(line: Column, inside: Column) -> Column:
-    """Whether all quotes of a line stand at field borders or are doubled.
-
-    Splitting at quotes gives pieces that lie in turn outside and inside them.
-    A piece outside is bounded by commas where it touches a quote; an empty one
-    stands for a doubled quote or an empty neighbour.
-    """
-    pieces = F.split(line, '"', -1)
-    last = F.size(pieces) - 1
-
-    def bounded(piece: Column, i: Column) -> Column:
-        outside = (i + inside.cast("int")) % 2 == 0
-        left = (i == 0) | piece.startswith(",")
-        right = (i == last) | piece.endswith(",")
-        return F.struct((~outside | (piece == "") | (left & right)).alias("ok"))
-
-    every_piece = F.forall(F.transform(pieces, bounded), lambda p: p["ok"])
-    return F.when(~line.contains('"'), F.lit(True)).otherwise(every_piece)
-
-
-def _survey(spark: SparkSession, path: str) -> tuple[str, bool]:
-    """Line separator of the text, and whether any record spans lines."""
+def _survey(spark: SparkSession, path: str) -> list:
+    """Per file, its first line end, and per extract whether the line reader would do."""
     line, cr = F.col("line"), F.lit("\r")
     first_cr = F.instr(line, cr)
-    per_file = (
+    return (
         _lines(spark, path, "\n")
         .groupBy("file")
         .agg(
+            F.min_by(first_cr, F.struct("block", "at")).alias("first_cr"),
+            F.min_by(F.length(line), F.struct("block", "at")).alias("first_length"),
             F.count(F.lit(1)).alias("lines"),
-            F.sum("odd").alias("odd"),
+            F.count_if("from_out").alias("opening"),
+            F.count_if(line.contains('"') & line.rlike(_LOOSE)).alias("loose"),
             F.count_if(line.endswith("\r")).alias("cr_ends"),
             F.count_if((first_cr > 0) & (first_cr < F.length(line))).alias("cr_within"),
             F.count_if(line.rlike(r"^[\x00-\x20]+$") & (line != "\r")).alias("blank"),
-            F.count_if(~_regular(F.rtrim(line, cr), F.lit(False))).alias("irregular"),
         )
+        .withColumn(
+            "ends",
+            F.when(F.col("first_cr") == 0, "\n")
+            .when(F.col("first_cr") == F.col("first_length"), "\r\n")
+            .otherwise("\r"),
+        )
+        .groupBy("ends")
         .agg(
-            F.sum("odd").alias("odd"),
-            F.max(F.col("odd") % 2).alias("unclosed"),
-            F.sum("cr_ends").alias("cr_ends"),
-            F.sum("cr_within").alias("cr_within"),
-            F.sum("blank").alias("blank"),
-            F.sum("lines").alias("lines"),
-            F.sum("irregular").alias("irregular"),
+            F.collect_list("file").alias("files"),
+            F.max((F.col("opening") > 0) | (F.col("loose") > 0)).alias("spans"),
+            F.max((F.col("cr_within") > 0) | ~F.col("cr_ends").isin(0, F.col("lines"))).alias("mixed"),
+            F.max(F.col("blank") > 0).alias("blank"),
         )
-        .first()
+        .collect()
     )
-    if per_file.unclosed:
-        raise IrregularText("a quote is never closed")
-    if per_file.cr_within or per_file.cr_ends not in (0, per_file.lines):
-        raise IrregularText("mixed line endings")
-    if per_file.odd == 0 and per_file.blank:
-        raise IrregularText("lines of blanks only, which the line reader would skip")
-    if per_file.odd == 0 and per_file.irregular:
-        raise IrregularText("quotes inside plain fields")
-    return ("\r\n" if per_file.cr_ends else "\n"), bool(per_file.odd)
-
-
-def read_long_extract(spark: SparkSession, path: str) -> DataFrame:
-    """Same rows as the multi-line reader, plus ``_source_file``, from any number of tasks."""
-    columns = spark.read.options(header=True, **CSV_OPTIONS).csv(path).columns
-    separator, spans_lines = _survey(spark, path)
-    if not spans_lines:
-        plain = spark.read.csv(path, header=True, escape='"', lineSep=separator)
-        return plain.withColumn("_source_file", F.input_file_name())
-
-    lines = _lines(spark, path, separator)
-    up_to_here = (Window.unboundedPreceding, Window.currentRow)
-    in_block = Window.partitionBy(*_BLOCK).orderBy("at").rowsBetween(*up_to_here)
-    in_file = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
-    # One short row per block, so a window over all blocks of a file stays small.
-    earlier = (
-        lines.groupBy(*_BLOCK)
-        .agg(F.sum("odd").alias("odd_in_block"))
-        .select(*_BLOCK, F.coalesce(F.sum("odd_in_block").over(in_file), F.lit(0)).alias("earlier"))
+
+
+def _turned(state: Column, keep: Column) -> Column:
+    return F.when(keep, state).otherwise(~state)
+
+
+def _states(lines: DataFrame) -> DataFrame:
+    """For each line, the state before it and the turns up to it, if its block began outside quotes
+    (``in0``, ``turns0``) or inside (``in1``, ``turns1``)."""
+    order = Window.partitionBy(*_BLOCK).orderBy("at")
+    before = order.rowsBetween(Window.unboundedPreceding, -1)
+    until = order.rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    resets = F.col("from_out") == F.col("from_in")
+    turning = (F.col("from_out") & ~F.col("from_in")).cast("int")
+    placed = lines.withColumn("flips", F.coalesce(F.sum(turning).over(before), F.lit(0)))
+    # The last line that set the state, and the turns before it.
+    last_set = F.last(
+        F.when(resets, F.struct(F.col("from_out").alias("state"), "flips")), ignorenulls=True
+    ).over(before)
+    placed = placed.withColumn("last_set", last_set)
+    for begun in (0, 1):
+        even = F.col("flips") - F.coalesce(F.col("last_set.flips"), F.lit(0))
+        state = F.coalesce(F.col("last_set.state"), F.lit(bool(begun)))
+        inside = _turned(state, even % 2 == 0)
+        leads_to = F.when(F.col(f"in{begun}"), F.col("from_in")).otherwise(F.col("from_out"))
+        placed = placed.withColumn(f"in{begun}", inside).withColumn(f"out{begun}", leads_to)
+    return placed.withColumns(
+        {
+            f"turns{b}": F.sum((F.col(f"in{b}") != F.col(f"out{b}")).cast("int")).over(until)
+            for b in (0, 1)
+        }
     )
-    # The window and the join share one shuffle of the lines, by block.
-    placed = (
-        lines.withColumns(
-            {"odd_so_far": F.sum("odd").over(in_block), "nth": F.row_number().over(in_block)}
-        )
-        .join(earlier, list(_BLOCK))
-        .withColumn("turns", F.col("earlier") + F.col("odd_so_far"))
-        .withColumn("inside", (F.col("turns") - F.col("odd")) % 2 == 1)
+
+
+def _block_starts(states: DataFrame) -> DataFrame:
+    """Per block: the state before it, the turns before it, the line of the file's first record, and
+    a last line of the file without a line end."""
+    last = F.col("at")
+    first_line = F.when(F.col("line") != "", last)
+    per_block = states.groupBy(*_BLOCK).agg(
+        *(F.max_by(f"out{b}", last).alias(f"out{b}") for b in (0, 1)),
+        *(F.max(f"turns{b}").alias(f"turns{b}") for b in (0, 1)),
+        F.min(first_line).alias("first_line"),
+        F.max(last).alias("last_line"),
+        F.sum("bytes").alias("bytes"),
+        F.max("size").alias("size"),
     )
-    header = (F.col("block") == 0) & (F.col("nth") == 1)
-    sound = _regular(F.col("line"), F.col("inside")) & (
-        ~header | ((F.col("odd") == 0) & (F.col("line") != ""))
+    # One short row per block, so windows over all blocks of a file stay small.
+    file = Window.partitionBy("file")
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)
+    flips = F.coalesce(F.sum((F.col("out0") & ~F.col("out1")).cast("int")).over(before), F.lit(0))
+    set_here = F.when(F.col("out0") == F.col("out1"), F.struct(F.col("out0").alias("state"), "flips"))
+    placed = per_block.withColumn("flips", flips)
+    placed = placed.withColumn("last_set", F.last(set_here, ignorenulls=True).over(before))
+    even = F.col("flips") - F.coalesce(F.col("last_set.flips"), F.lit(0))
+    state = F.coalesce(F.col("last_set.state"), F.lit(False))
+    placed = placed.withColumn("begun_in", _turned(state, even % 2 == 0))
+    own = F.when(F.col("begun_in"), F.col("turns1")).otherwise(F.col("turns0"))
+    placed = placed.withColumn("own_turns", own)
+    return placed.select(
+        *_BLOCK,
+        "begun_in",
+        F.coalesce(F.sum("own_turns").over(before), F.lit(0)).alias("earlier_turns"),
+        F.when(F.count("first_line").over(before) == 0, F.col("first_line")).alias("header"),
+        # The file's last line, if no line end follows it.
+        F.when(
+            (F.col("block") == F.max("block").over(file)) & (F.sum("bytes").over(file) != F.col("size")),
+            F.col("last_line"),
+        ).alias("unended"),
     )
-    refused = F.raise_error(F.lit(f"{IRREGULAR}: quotes inside plain fields")).cast("boolean")
-    body = placed.filter(F.when(sound, ~header).otherwise(refused))
 
-    alone = ~F.col("inside") & (F.col("odd") == 0)
-    whole = body.filter(alone & (F.col("line") != "")).select("file", F.col("line").alias("record"))
+
+def _records(lines: DataFrame) -> DataFrame:
+    """(file, record): whole records of all lines but each file's first."""
+    states = _states(lines)
+    # The windows and the join share one shuffle of the lines, by block.
+    placed = states.join(_block_starts(states), list(_BLOCK))
+    begun = F.col("begun_in")
+    placed = placed.select(
+        "file",
+        "block",
+        "at",
+        "line",
+        F.when(begun, F.col("in1")).otherwise(F.col("in0")).alias("inside"),
+        F.when(begun, F.col("out1")).otherwise(F.col("out0")).alias("open"),
+        (F.col("earlier_turns") + F.when(begun, F.col("turns1")).otherwise(F.col("turns0"))).alias("turns"),
+        F.coalesce(F.col("at") == F.col("header"), F.lit(False)).alias("header"),
+        F.coalesce(F.col("at") == F.col("unended"), F.lit(False)).alias("unended"),
+    )
+    alone = ~F.col("inside") & ~F.col("open")
+    whole = placed.filter(alone & (F.col("line") != "") & ~F.col("header"))
     pieces = F.array_sort(F.collect_list(F.struct("block", "at", "line")))
     joined = (
-        body.filter(~alone)
+        placed.filter(~alone)
         .groupBy("file", F.ceil(F.col("turns") / 2).alias("nth_spanning"))
-        .agg(F.array_join(F.transform(pieces, lambda p: p["line"]), "\n").alias("record"))
-        .select("file", "record")
+        .agg(
+            F.array_join(F.transform(pieces, lambda p: p["line"]), "\n").alias("record"),
+            F.max("header").alias("header"),
+            F.max("unended").alias("unended"),
+            F.bool_and("open").alias("open"),
+        )
+        .filter(~F.col("header"))
     )
-    schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in columns)
-    parsed = whole.unionByName(joined).select(
-        F.from_csv("record", schema, CSV_OPTIONS).alias("fields"), F.col("file").alias("_source_file")
+    # The parser treats the end of its input unlike the end of a field in a line.  So a record that
+    # a line end follows gets a comma, one field more than there are columns or one that is null
+    # anyway; quotes that are never closed hold the rest of the file, its last line end included.
+    ending = F.when(F.col("unended"), "").when(F.col("open"), "\n").otherwise(",")
+    text = F.concat("record", ending)
+    both = whole.select("file", F.col("line").alias("record"), "unended", "open").unionByName(
+        joined.select("file", "record", "unended", "open")
     )
-    return parsed.select("fields.*", "_source_file")
+    return both.select("file", text.alias("record"))
+
+
+def read_long_extract(spark: SparkSession, path: str) -> tuple[DataFrame, str]:
+    """Same rows as the multi-line reader, from any number of tasks, and the name of a further
+    column that tells each row's file."""
+    columns = spark.read.options(header=True, **CSV_OPTIONS).csv(path).columns
+    name = file_column(columns)
+    groups = _survey(spark, path)
+    ends = [g.ends for g in groups]
+    if not groups or ends in (["\n"], ["\r\n"]) and not any(g.spans or g.mixed or g.blank for g in groups):
+        separator = ends[0] if ends else "\n"
+        plain = spark.read.csv(path, header=True, escape='"', lineSep=separator)
+        return plain.withColumn(name, F.input_file_name()), name
+
+    parts = []
+    for group in groups:
+        alike = len(groups) == 1
+        parts.append(_records(_lines(spark, path if alike else group.files, group.ends)))
+    records = parts[0]
+    for part in parts[1:]:
+        records = records.unionByName(part)
+    schema = ", ".join(f"`{c.replace('`', '``')}` STRING" for c in columns)
+    fields = F.from_csv("record", schema, CSV_OPTIONS | {"lineSep": "\n"})
+    return records.select(fields.alias("fields"), F.col("file").alias(name)).select("fields.*", name), name

@@ -1,7 +1,7 @@
 import pytest
 
 from siltworks.sources.extracts import (
-    ContractError, ExtractSize, check_contract, extract_path, extract_size, read_extract,
+    ContractError, check_contract, extract_path, read_extract,
     stamp_landing,
 )
 from siltworks.specs import TABLES
@@ -38,19 +38,6 @@ def test_folder_of_parts_is_one_extract(spark, tmp_path):
     assert sorted(tuple(r) for r in df.collect()) == [("1", "x\ny"), ("2", "z")]
 
 
-def test_size_and_spread(spark, tmp_path):
-    folder = tmp_path / "parts.csv"
-    folder.mkdir()
-    for name, length in (("p1.csv", 100), ("p2.csv", 400), ("_SUCCESS", 7)):
-        (folder / name).write_text("x" * length)
-    size = extract_size(spark, str(folder))
-    assert size == ExtractSize(files=2, longest=400, total=500)
-    assert size.partitions(spark) == 1
-    cores = spark.sparkContext.defaultParallelism
-    assert ExtractSize(1, 1 << 28, 1 << 28).partitions(spark) == cores
-    assert ExtractSize(1, 1 << 40, 1 << 40).partitions(spark) == (1 << 40) // (128 << 20)
-
-
 def test_path_names_one_date_and_one_table():
     assert (
         extract_path("/raw/shop/", "shop", "2024-01-01", "orders")
@@ -83,3 +70,9 @@ def test_landing_stamp(spark, tmp_path):
     assert {(r._batch_id, r._run_date) for r in rows} == {("b1", "2024-01-01")}
     assert all(r._source_file.endswith("/x.csv") for r in rows)
     assert len({r._ingestion_timestamp for r in rows}) == 1
+
+
+def test_lineage_is_never_taken_from_the_extract(spark, tmp_path):
+    df = read(spark, tmp_path, b"a,_source_file,_batch_id\n1,fake,fake\n")
+    row = stamp_landing(df, "b1", "2024-01-01").first()
+    assert row._source_file.endswith("/x.csv") and row._batch_id == "b1"

@@ -1,4 +1,4 @@
-"""The block-wise reader returns what the multi-line reader returns, or refuses."""
+"""The block-wise reader returns what the multi-line reader returns."""
 
 import random
 from collections import Counter
@@ -7,8 +7,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from siltworks.plans.runs import run_bronze
-from siltworks.sources.extracts import extract_size, read_extract
-from siltworks.sources.long_files import IRREGULAR, read_long_extract
+from siltworks.sources.extracts import read_extract
+from siltworks.sources.long_files import file_column, read_long_extract
 
 
 @pytest.fixture
@@ -27,8 +27,8 @@ def rows(df):
 
 
 def same(spark, path):
-    plain = read_extract(spark, path).withColumn("_source_file", F.input_file_name())
-    split = read_long_extract(spark, path)
+    split, name = read_long_extract(spark, path)
+    plain = read_extract(spark, path).withColumn(name, F.input_file_name())
     assert split.columns == plain.columns
     assert rows(split) == rows(plain)
 
@@ -74,7 +74,7 @@ def test_windows_line_ends(spark, tmp_path, tiny_blocks, spans):
 def test_text_without_spanning_records_is_read_by_line(spark, tmp_path, tiny_blocks):
     path = folder(tmp_path, ['x,y,z\n1,"a, ""b""",c\n\n2,,\n3,q\n'] * 2)
     same(spark, path)
-    assert "Window" not in read_long_extract(spark, path)._jdf.queryExecution().toString()
+    assert "Window" not in read_long_extract(spark, path)[0]._jdf.queryExecution().toString()
 
 
 def test_blank_lines_around_and_inside_quotes(spark, tmp_path, tiny_blocks):
@@ -82,28 +82,38 @@ def test_blank_lines_around_and_inside_quotes(spark, tmp_path, tiny_blocks):
 
 
 @pytest.mark.parametrize("seed", range(4))
-def test_irregular_text_is_refused_or_equal(spark, tmp_path, tiny_blocks, seed):
+def test_irregular_text(spark, tmp_path, tiny_blocks, seed):
     rnd = random.Random(100 + seed)
-    path = folder(tmp_path, [csv_text(rnd, wild=True) for _ in range(2)])
-    try:
-        split = rows(read_long_extract(spark, path))
-    except Exception as error:
-        assert IRREGULAR in str(error)
-    else:
-        plain = read_extract(spark, path).withColumn("_source_file", F.input_file_name())
-        assert split == rows(plain)
+    same(spark, folder(tmp_path, [csv_text(rnd, wild=True) for _ in range(2)]))
+
+
+@pytest.mark.parametrize("seed", range(6))
+def test_any_text(spark, tmp_path, tiny_blocks, seed):
+    rnd = random.Random(seed)
+    pieces = ["a", "b", ",", '"', "\n", " ", '""', '",', '\n"', ',"']
+    end = rnd.choice(["\n", "\n", "\r\n", "\r"])
+    texts = ["x,y,z\n" + "".join(rnd.choices(pieces, k=rnd.randint(0, 70))) for _ in range(3)]
+    same(spark, folder(tmp_path, [t.replace("\n", end) for t in texts]))
 
 
 @pytest.mark.parametrize(
     "text",
     [
-        'x,y\n1,5" pipe\n', 'x,y\n1,"open\n', "x,y\n1,a\r\n2,b\n", "x,y\n  \n1,a\n",
-        'x,y\n"a\nb",5" pipe "wide"\n', '"x\nx",y\n1,"a\nb"\n', '\nx,y\n"a\nb",1\n',
+        'x,y\n1,5" pipe\n', 'x,y\n1,"open\n', 'x,y\n1,"open\n2,3', "x,y\n1,a\r\n2,b\n",
+        "x,y\n  \n1,a\n", 'x,y\n"a\nb",5" pipe "wide"\n', '"x\nx",y\n1,"a\nb"\n',
+        '\nx,y\n"a\nb",1\n', 'x,y\n"a" b,1\n" c" ,"d\ne"\n', "x,y\r\n1,a\n2,b\r\n",
+        'x,y\n1,"a\r\nb"\r\n2,c\n', "\ufeffx,y\n1,2\n", 'x,y\n"a\n\n\n\n\n\n\n\n\n\n\nb",1\n',
     ],
 )
-def test_refusals(spark, tmp_path, tiny_blocks, text):
-    with pytest.raises(Exception, match=IRREGULAR):
-        read_long_extract(spark, folder(tmp_path, [text])).collect()
+def test_odd_text(spark, tmp_path, tiny_blocks, text):
+    same(spark, folder(tmp_path, [text]))
+
+
+def test_the_file_has_a_name_of_its_own(spark, tmp_path):
+    path = folder(tmp_path, ["_read_from,_source_file\n1,fake\n"])
+    df, name = read_long_extract(spark, path)
+    assert name == file_column(["_Read_from"]) == "_read_from_"
+    assert df.first()[name].endswith("/part0.csv")
 
 
 def test_documents_in_small_blocks(spark, tmp_path):
@@ -111,8 +121,6 @@ def test_documents_in_small_blocks(spark, tmp_path):
 
     path = str(tmp_path / "documents.csv")
     write_csv(spark.read.parquet("/root/testdata/sf0.001/documents.parquet").coalesce(1), path)
-    size = extract_size(spark, path)
-    assert (size.files, size.longest > 100_000, size.total) == (1, True, size.longest)
     key = "spark.sql.files.maxPartitionBytes"
     before = spark.conf.get(key)
     spark.conf.set(key, "20000")
@@ -122,8 +130,10 @@ def test_documents_in_small_blocks(spark, tmp_path):
         spark.conf.set(key, before)
 
 
-def test_landing_by_blocks_equals_landing_whole(spark, tmp_path, tiny_blocks):
+@pytest.mark.parametrize("limit", ["256m", "256MB", "268435456", "23"])
+def test_landing_under_any_block_size(spark, tmp_path, limit):
     from siltworks.plans.runs import StageFailed
+    from siltworks.sources.extracts import extract_path
     from siltworks.sources.store import TableStore
     from test_runs import CSV, DAY
 
@@ -133,14 +143,15 @@ def test_landing_by_blocks_equals_landing_whole(spark, tmp_path, tiny_blocks):
     for name in names:
         text = CSV[name].replace("campinas", '5" pipe') if name == "sellers" else CSV[name]
         (raw / f"shop_{name}_dataset.csv").write_text(text, encoding="utf-8")
-    landed = {}
-    for label, limit in (("whole", 1 << 30), ("blocks", 0)):
-        store = TableStore(spark, str(tmp_path / label))
-        with pytest.raises(StageFailed):  # the other six extracts are not there
-            run_bronze(store, str(tmp_path / "raw"), "shop", DAY, "b", split_over=limit)
-        landed[label] = {
-            n: (store.read("bronze", n).columns,
-                rows(store.read("bronze", n).drop("_ingestion_timestamp")))
-            for n in names
-        }
-    assert landed["whole"] == landed["blocks"]
+    store, key = TableStore(spark, str(tmp_path / "landed")), "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, limit)
+    try:
+        with pytest.raises(StageFailed) as failed:  # the other six extracts are not there
+            run_bronze(store, str(tmp_path / "raw"), "shop", DAY, "b")
+    finally:
+        spark.conf.set(key, before)
+    assert {r.table_name for r in failed.value.results if r.status == "succeeded"} == set(names)
+    for name in names:
+        whole = read_extract(spark, extract_path(str(tmp_path / "raw"), "shop", DAY, name))
+        assert rows(store.read("bronze", name).select(*whole.columns)) == rows(whole)

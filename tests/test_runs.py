@@ -160,15 +160,6 @@ def test_failing_staging_check_blocks_dependents(spark, store, raw):
     assert not store.exists("gold", "fct_orders")
 
 
-def test_fact_of_one_run_date(spark, store, raw):
-    run_bronze(store, raw(), "shop", DAY)
-    run_silver(store, DAY)
-    run_gold(store, "2024-03-02", as_of=NOW, only_run_date=True)
-    assert store.read("gold", "fct_orders").count() == 0
-    run_gold(store, DAY, as_of=NOW, only_run_date=True)
-    assert store.read("gold", "fct_orders").count() == 2
-
-
 def test_failed_run_is_recorded(spark, store, raw):
     with pytest.raises(StageFailed):
         run_all(store, raw(sellers="id\n1\n"), "shop", DAY, "shop_tables", NOW)
