@@ -36,6 +36,22 @@ def _opened(df: DataFrame, key: str, now: Column) -> DataFrame:
     )
 
 
+def _same_columns(history: DataFrame, source: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with the columns of either, those of the history first; new ones are NULL."""
+    kept = [f for f in history.schema.fields if f.name not in VERSION_COLUMNS]
+    known = {f.name for f in kept}
+    gained = [f for f in source.schema.fields if f.name not in known]
+    lost = [f for f in kept if f.name not in source.columns]
+    history = history.select(
+        *[f.name for f in kept],
+        *[F.lit(None).cast(f.dataType).alias(f.name) for f in gained],
+        *VERSION_COLUMNS,
+    )
+    missing = {f.name: F.lit(None).cast(f.dataType) for f in lost}
+    source = source.withColumns(missing) if missing else source
+    return history, source.select(*[f.name for f in kept + gained])
+
+
 def merge_history(
     history: DataFrame | None,
     source: DataFrame,
@@ -43,19 +59,30 @@ def merge_history(
     check: Sequence[str],
     as_of: datetime | Column | None = None,
     close_missing: bool = True,
+    earlier: DataFrame | None = None,
 ) -> DataFrame:
     """Next state of the history after seeing ``source`` at ``as_of``.
 
     A version is closed when a ``check`` column differs (NULL-safe) or, with
     ``close_missing``, when its key is gone.  Changed, new and returning keys
     get an open version.  Only open versions are joined; closed ones pass by
-    without a shuffle.
+    without a shuffle, or not at all if they are given apart as ``earlier``.
+
+    The result has the columns of both sides: one that the source has lost keeps
+    the values of versions so far and is NULL on new ones, and one that it has
+    gained is NULL on versions so far.  A change at a time that is not later than
+    all times in the history fails the query; a rerun without changes does not.
     """
     now = moment(as_of)
     source = require_unique(source, [key])
     if history is None:
         return _opened(source, key, now)
 
+    times = history.select(VALID_FROM, VALID_TO)
+    if earlier is not None:
+        times = times.unionByName(earlier.select(VALID_FROM, VALID_TO))
+    newest = times.agg(F.max(F.greatest(VALID_FROM, VALID_TO))).scalar()
+    history, source = _same_columns(history, source)
     still_open = history.filter(F.col(VALID_TO).isNull())
     closed = history.filter(F.col(VALID_TO).isNotNull())
 
@@ -63,7 +90,7 @@ def merge_history(
     new = source.withColumn("_seen", F.lit(True)).alias("s")
     known, seen = F.col("h._known").isNotNull(), F.col("s._seen").isNotNull()
     differs = reduce(
-        Column.__or__, [~F.col(f"h.{c}").eqNullSafe(F.col(f"s.{c}")) for c in check]
+        Column.__or__, [~F.col(f"h.{c}").eqNullSafe(F.col(f"s.{c}")) for c in check], F.lit(False)
     )
     changed = known & seen & differs
     ends = (changed | ~seen) if close_missing else changed
@@ -83,7 +110,10 @@ def merge_history(
     versions = F.array_compact(
         F.array(F.when(known, carried), F.when(seen & (~known | changed), opened))
     )
-    current = old.join(new, on_keys("h", "s", [key]), "full_outer").select(F.inline(versions))
+    late = (ends | (seen & ~known)) & (now <= newest)
+    refused = F.raise_error(F.lit("history: a change at a time that is not later than the newest"))
+    checked = F.when(late, refused).otherwise(versions)
+    current = old.join(new, on_keys("h", "s", [key]), "full_outer").select(F.inline(checked))
     return closed.select(*current.columns).unionByName(current)
 
 
@@ -101,7 +131,8 @@ def history_changes(
     catalog with a merge need not rewrite old versions.
     """
     still_open = history.filter(F.col(VALID_TO).isNull())
-    after = merge_history(still_open, source, key, check, as_of, close_missing)
+    ended = history.filter(F.col(VALID_TO).isNotNull())
+    after = merge_history(still_open, source, key, check, as_of, close_missing, earlier=ended)
     return after.filter(F.col(VALID_TO).isNotNull() | (F.col(VALID_FROM) == moment(as_of)))
 
 

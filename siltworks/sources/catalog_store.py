@@ -6,7 +6,7 @@ catalog keeps versions and makes each change atomic, so there is no commit log.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from datetime import datetime
 
@@ -66,6 +66,7 @@ class CatalogStore:
             df.observe(seen, F.count(F.lit(1)).alias("rows"))
             .writeTo(self.name(layer, table))
             .using("iceberg")
+            # Properties that the table format defines.
             .tableProperty("format-version", "2")
             .tableProperty("write.parquet.compression-codec", "snappy")
         )
@@ -92,12 +93,23 @@ class CatalogStore:
         if not self.exists(layer, table):
             return self.replace(layer, table, source, batch_id, run_date)
         name = self.name(layer, table)
+        self._add_columns(name, source)
+        self._merge(source, name, keys, updated=source.columns)
+        return Written(table, self.spark.table(name).count())
+
+    def change(
+        self, layer: str, table: str, build: Callable[[DataFrame | None], DataFrame],
+        batch_id: str, run_date: str,
+    ) -> Written:
+        """Replace the table by what ``build`` makes of its rows (None without a table)."""
+        now = self.read(layer, table).checkpoint() if self.exists(layer, table) else None
+        return self.replace(layer, table, build(now), batch_id, run_date)
+
+    def _add_columns(self, name: str, source: DataFrame) -> None:
         known = self.spark.table(name).columns
         added = [f"`{c}` {t}" for c, t in source.dtypes if c not in known]
         if added:
             self.spark.sql(f"ALTER TABLE {name} ADD COLUMNS ({', '.join(added)})")
-        self._merge(source, name, keys, updated=source.columns)
-        return Written(table, self.spark.table(name).count())
 
     def keep_history(
         self, layer: str, table: str, source: DataFrame, key: str, check: Sequence[str],
@@ -108,6 +120,7 @@ class CatalogStore:
             opened = merge_history(None, source, key, check, as_of)
             return self.replace(layer, table, opened, batch_id, run_date)
         name = self.name(layer, table)
+        self._add_columns(name, source)
         changes = history_changes(self.spark.table(name), source, key, check, as_of)
         self._merge(changes, name, [VERSION_ID], updated=[VALID_TO])
         return Written(table, self.spark.table(name).count())

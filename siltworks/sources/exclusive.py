@@ -1,0 +1,34 @@
+"""Creating a file that must not exist yet, on any file system that Spark reaches."""
+
+from __future__ import annotations
+
+import threading
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import SparkSession
+
+# Local file systems check and create in two steps; this closes the gap within one process.
+_ONE_AT_A_TIME = threading.Lock()
+
+
+def create_once(spark: SparkSession, path: str, text: str) -> bool:
+    """Write ``text`` to a new file; False, and no change, if the file exists.
+
+    The file system decides: HDFS creates a file for one caller only.  On an object store this
+    holds where its connector is set to conditional writes.
+    """
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    with _ONE_AT_A_TIME:
+        try:
+            out = files.create(target, False)
+        except Py4JJavaError as error:
+            if "FileAlreadyExists" in error.java_exception.getClass().getName():
+                return False
+            raise
+        try:
+            out.write(bytearray(text, "utf-8"))
+        finally:
+            out.close()
+    return True

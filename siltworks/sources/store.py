@@ -1,13 +1,15 @@
 """Tables as immutable Parquet folders, one per version, plus a commit record.
 
 A plain Spark catalog can neither replace a table atomically nor overwrite one
-that is being read.  So every change writes a new folder and then appends one
-record to the table's commit log; readers follow the newest record.  A job that
+that is being read.  So every change writes a new folder and then creates one
+record in the table's commit log; readers follow the newest record.  A job that
 dies before the record leaves the former version in place.  Earlier versions
 stay readable, and going back to one appends a record that points at it.
 
-One writer per table at a time.  ``catalog_store.CatalogStore`` has the same
-methods for catalogs whose tables can be replaced and merged into.
+Records are named after their version and created exclusively.  A change that
+was computed from a version which is no longer the newest is computed again, so
+writers may interleave.  ``catalog_store.CatalogStore`` has the same methods for
+catalogs whose tables can be replaced and merged into.
 """
 
 from __future__ import annotations
@@ -15,19 +17,25 @@ from __future__ import annotations
 import json
 import math
 import uuid
-from collections.abc import Sequence
-from dataclasses import asdict, dataclass, replace as changed
+from collections.abc import Callable, Sequence
+from dataclasses import asdict, dataclass, field, replace as changed
 from datetime import datetime, timezone
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from siltworks.operators.cleanse import OUTCOME, good_columns, quarantine_columns
-from siltworks.operators.history import merge_history
+from siltworks.operators.history import VALID_TO, merge_history
 from siltworks.operators.upsert import upsert
+from siltworks.sources.exclusive import create_once
 from siltworks.specs import GOOD, QUARANTINE
 
 # Length that compaction aims at for a file.
 FILE_BYTES = 128 << 20
+# How often a change is computed anew because another writer was faster.
+ATTEMPTS = 10
+# Folder of ended versions within a written history; the rest is open.
+_ENDED = "_ended"
 
 _LOG_SCHEMA = T.StructType(
     [
@@ -43,6 +51,7 @@ _LOG_SCHEMA = T.StructType(
         T.StructField("run_date", T.StringType()),
         T.StructField("committed_at", T.StringType()),
         T.StructField("restores", T.LongType()),
+        T.StructField("parts", T.ArrayType(T.StringType())),
     ]
 )
 
@@ -51,6 +60,10 @@ class TableNotFound(LookupError):
     pass
 
 
+class Conflict(RuntimeError):
+    """Another writer committed first."""
+
+
 @dataclass(frozen=True)
 class Commit:
     layer: str
@@ -65,6 +78,8 @@ class Commit:
     run_date: str
     committed_at: str
     restores: int | None = None
+    # Folders that hold the rows, where they are not all of ``path``.
+    parts: list[str] | None = field(default=None)
 
 
 class TableStore:
@@ -86,10 +101,13 @@ class TableStore:
     # -- reading ---------------------------------------------------------
 
     def versions(self, layer: str, table: str) -> DataFrame:
-        """The commit log of one table, started empty if there is none."""
-        log = self._log(layer, table)
-        self.spark.createDataFrame([], _LOG_SCHEMA).write.mode("ignore").json(log)
-        return self.spark.read.schema(_LOG_SCHEMA).json(log)
+        """The commit log of one table; without rows if there is none."""
+        try:
+            return self.spark.read.schema(_LOG_SCHEMA).json(self._log(layer, table))
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return self.spark.createDataFrame([], _LOG_SCHEMA)
 
     def find(self, layer: str, table: str, version: int | None = None) -> Commit | None:
         """The newest commit, or the one with the given number, if there is one."""
@@ -113,7 +131,9 @@ class TableStore:
 
     def _open(self, commit: Commit) -> DataFrame:
         schema = T.StructType.fromJson(json.loads(commit.schema))
-        rows = self.spark.read.schema(schema).parquet(self._folder(commit))
+        if commit.parts == []:
+            return self.spark.createDataFrame([], schema).select(*commit.columns)
+        rows = self.spark.read.schema(schema).parquet(*self._folders(commit))
         if commit.outcome is not None:
             rows = rows.filter(F.col(OUTCOME) == commit.outcome)
         return rows.select(*commit.columns)
@@ -133,7 +153,12 @@ class TableStore:
         counts = self._write(df, path, {"rows": F.count(F.lit(1))})
         if not allow_empty and counts["rows"] == 0:
             raise ValueError(f"{layer}.{table}: no rows")
-        return self._commit(layer, table, path, df, df.columns, counts["rows"], batch_id, run_date)
+        return self._until_committed(
+            layer, table,
+            lambda base: self._commit(
+                layer, table, path, df, df.columns, counts["rows"], batch_id, run_date, base
+            ),
+        )
 
     def replace_split(
         self, layer: str, table: str, tagged: DataFrame, batch_id: str, run_date: str
@@ -154,12 +179,17 @@ class TableStore:
             (table, GOOD, good_columns(tagged.columns)),
             (f"quarantine_{table}", QUARANTINE, quarantine_columns(tagged.columns)),
         )
-        good, quarantine = (
-            self._commit(
-                layer, name, path, tagged, columns, counts[outcome], batch_id, run_date, outcome
+
+        def record(name: str, outcome: str, columns: list[str]) -> Commit:
+            return self._until_committed(
+                layer, name,
+                lambda base: self._commit(
+                    layer, name, path, tagged, columns, counts[outcome], batch_id, run_date, base,
+                    outcome,
+                ),
             )
-            for name, outcome, columns in outputs
-        )
+
+        good, quarantine = (record(*output) for output in outputs)
         return good, quarantine
 
     def upsert(
@@ -167,57 +197,110 @@ class TableStore:
         batch_id: str, run_date: str,
     ) -> Commit:
         """Merge ``source`` into the table by ``keys``; the first run creates it."""
-        current = self.find(layer, table)
-        if current is not None:
-            source = upsert(self._open(current), source, keys)
-        return self.replace(layer, table, source, batch_id, run_date)
+        return self.change(
+            layer, table, lambda now: source if now is None else upsert(now, source, keys),
+            batch_id, run_date,
+        )
+
+    def change(
+        self, layer: str, table: str, build: Callable[[DataFrame | None], DataFrame],
+        batch_id: str, run_date: str,
+    ) -> Commit:
+        """Replace the table by what ``build`` makes of its rows (None without a table).
+
+        If another version is committed meanwhile, it is built again from that.
+        """
+
+        def attempt(base: Commit | None) -> Commit:
+            rows = build(None if base is None else self._open(base))
+            path = self._new_path(layer, table)
+            counts = self._write(rows, path, {"rows": F.count(F.lit(1))})
+            return self._commit(
+                layer, table, path, rows, rows.columns, counts["rows"], batch_id, run_date, base
+            )
+
+        return self._until_committed(layer, table, attempt)
 
     def keep_history(
         self, layer: str, table: str, source: DataFrame, key: str, check: Sequence[str],
         batch_id: str, run_date: str, as_of: datetime,
     ) -> Commit:
-        current = self.find(layer, table)
-        history = None if current is None else self._open(current)
-        merged = merge_history(history, source, key, check, as_of)
-        return self.replace(layer, table, merged, batch_id, run_date)
+        """Next state of a history; versions that ended before stay in the folders they are in."""
+
+        def attempt(base: Commit | None) -> Commit:
+            history = None if base is None else self._open(base)
+            kept = [p for p in (base and base.parts) or [] if p.endswith(f"{_ENDED}=true")]
+            if kept:
+                still_open = history.filter(F.col(VALID_TO).isNull())
+                before = history.filter(F.col(VALID_TO).isNotNull())
+                rows = merge_history(still_open, source, key, check, as_of, earlier=before)
+            else:
+                rows = merge_history(history, source, key, check, as_of)
+            path = self._new_path(layer, table)
+            ended = F.col(VALID_TO).isNotNull()
+            counts = self._write(
+                rows.withColumn(_ENDED, ended), path,
+                {"ended": F.count_if(ended), "open": F.count_if(~ended)}, partition_by=(_ENDED,),
+            )
+            new = {f"{path}/{_ENDED}=true": counts["ended"], f"{path}/{_ENDED}=false": counts["open"]}
+            parts = kept + [part for part, n in new.items() if n]
+            total = sum(counts.values())
+            if kept:
+                total += self.spark.read.parquet(*[f"{self.root}/{p}" for p in kept]).count()
+            return self._commit(
+                layer, table, path, rows, rows.columns, total, batch_id, run_date, base, parts=parts
+            )
+
+        return self._until_committed(layer, table, attempt)
 
     def compact(self, layer: str, table: str, target: int = FILE_BYTES) -> Commit | None:
-        """Bin-pack the current version if it is fragmented, same rows.
+        """Bin-pack the current version if it has more files than it needs, same rows.
 
         Each task reads a run of small files and writes one of about ``target``
-        bytes: no shuffle.  A table whose files are a quarter of that or longer
-        on average is left as it is.
+        bytes: no shuffle.  If another version is committed meanwhile, that one
+        stays and nothing is done.
         """
         now = self.commit_of(layer, table)
         listed = self.spark.read.format("binaryFile").load(
-            self._folder(now), pathGlobFilter="*.parquet"
+            self._folders(now), pathGlobFilter="*.parquet"
         )
         if now.outcome is not None:
             listed = listed.filter(F.col(OUTCOME) == now.outcome)
         files, size = listed.agg(F.count("length"), F.coalesce(F.sum("length"), F.lit(0))).first()
         wanted = max(1, math.ceil(size / target))
-        if files <= 4 * wanted:
+        if files <= wanted or now.parts is not None:
             return None
         packed = self._open(now).coalesce(wanted)
-        return self.replace(layer, table, packed, now.batch_id, now.run_date)
+        path = self._new_path(layer, table)
+        counts = self._write(packed, path, {"rows": F.count(F.lit(1))})
+        try:
+            return self._commit(
+                layer, table, path, packed, packed.columns, counts["rows"], now.batch_id,
+                now.run_date, now,
+            )
+        except Conflict:
+            return None
 
     def rollback(self, layer: str, table: str, version: int) -> Commit:
         """Make an earlier version current again, without copying data."""
         old = self.commit_of(layer, table, version)
-        latest = self.commit_of(layer, table)
-        return self._record(
-            changed(
-                old, version=latest.version + 1, committed_at=_now(), restores=old.version
+
+        def attempt(base: Commit | None) -> Commit:
+            return self._record(
+                changed(
+                    old, version=base.version + 1, committed_at=_now(), restores=old.version
+                )
             )
-        )
+
+        return self._until_committed(layer, table, attempt)
 
     # -- pieces ----------------------------------------------------------
 
     def _log(self, layer: str, table: str) -> str:
         return f"{self.root}/commits/{layer}/{table}"
 
-    def _folder(self, commit: Commit) -> str:
-        return f"{self.root}/{commit.path}"
+    def _folders(self, commit: Commit) -> list[str]:
+        return [f"{self.root}/{part}" for part in commit.parts or [commit.path]]
 
     def _new_path(self, layer: str, table: str) -> str:
         """Below the root, so that a store stays readable after it is moved."""
@@ -232,26 +315,42 @@ class TableStore:
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{self.root}/{path}")
-        return {name: seen.get.get(name) or 0 for name in counts}
+        found = seen.get
+        missing = [name for name in counts if found.get(name) is None]
+        if missing:
+            raise RuntimeError(f"{path}: the write did not report {missing}")
+        return {name: found[name] for name in counts}
+
+    def _until_committed(
+        self, layer: str, table: str, attempt: Callable[[Commit | None], Commit]
+    ) -> Commit:
+        """Call ``attempt`` with the newest version until no other writer is faster."""
+        for _ in range(ATTEMPTS):
+            try:
+                return attempt(self.find(layer, table))
+            except Conflict as conflict:
+                last = conflict
+        raise last
 
     def _commit(
         self, layer: str, table: str, path: str, df: DataFrame, columns: Sequence[str],
-        rows: int, batch_id: str, run_date: str, outcome: str | None = None,
+        rows: int, batch_id: str, run_date: str, base: Commit | None,
+        outcome: str | None = None, parts: list[str] | None = None,
     ) -> Commit:
-        former = self.find(layer, table)
+        """Record a version computed from ``base``; a Conflict if that is no longer the newest."""
+        version = base.version + 1 if base else 1
+        schema = T.StructType([f for f in df.schema.fields if f.name != _ENDED])
         return self._record(
             Commit(
-                layer, table, former.version + 1 if former else 1, path, outcome, df.schema.json(), list(columns),
-                rows, batch_id, run_date, _now(),
+                layer, table, version, path, outcome, schema.json(), list(columns),
+                rows, batch_id, run_date, _now(), parts=parts,
             )
         )
 
     def _record(self, commit: Commit) -> Commit:
-        values = asdict(commit)
-        record = self.spark.range(1, numPartitions=1).select(
-            *[F.lit(values[f.name]).cast(f.dataType).alias(f.name) for f in _LOG_SCHEMA]
-        )
-        record.write.mode("append").json(self._log(commit.layer, commit.table))
+        name = f"{self._log(commit.layer, commit.table)}/{commit.version:020d}.json"
+        if not create_once(self.spark, name, json.dumps(asdict(commit)) + "\n"):
+            raise Conflict(f"{commit.layer}.{commit.table} version {commit.version} exists")
         self._publish(commit)
         return commit
 
@@ -263,7 +362,9 @@ class TableStore:
         schema = T.StructType.fromJson(json.loads(commit.schema))
         if commit.rows:
             kept = ", ".join(f"`{c}`" for c in commit.columns)
-            body = f"SELECT {kept} FROM parquet.`{self._folder(commit)}`"
+            body = " UNION ALL ".join(
+                f"SELECT {kept} FROM parquet.`{folder}`" for folder in self._folders(commit)
+            )
             if commit.outcome is not None:
                 body += f" WHERE {OUTCOME} = '{commit.outcome}'"
         else:

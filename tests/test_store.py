@@ -1,8 +1,13 @@
 import pytest
+from concurrent.futures import ThreadPoolExecutor
+from datetime import datetime
+
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from siltworks.operators.cleanse import OUTCOME
-from siltworks.sources.store import TableNotFound, TableStore
+from siltworks.operators.upsert import upsert
+from siltworks.sources.store import Conflict, TableNotFound, TableStore
 
 RUN = ("b1", "2024-01-01")
 
@@ -156,3 +161,95 @@ def test_catalog_views_follow_the_tables(spark, tmp_path):
     spark.sql("DROP VIEW silver_test.orders")
     store.publish_all("silver", ["orders", "not_there"])
     assert spark.table("silver_test.orders").count() == 7
+
+
+def other(spark, store):
+    return TableStore(spark, store.root)
+
+
+def test_two_interleaved_upserts_keep_both_loads(spark, store):
+    store.replace("gold", "f", spark.range(2).withColumn("v", F.lit("old")), "b", "d")
+
+    def load(first, meanwhile=None):
+        rows = spark.range(first, first + 2).withColumn("v", F.lit("new"))
+        calls = []
+
+        def build(now):
+            if meanwhile and not calls:
+                meanwhile()
+            calls.append(1)
+            return upsert(now, rows, ["id"])
+
+        store.change("gold", "f", build, "b", "d")
+        return len(calls)
+
+    def faster():
+        rows = spark.range(10, 12).withColumn("v", F.lit("new"))
+        other(spark, store).upsert("gold", "f", rows, ["id"], "b", "d")
+
+    assert load(20, faster) == 2
+    assert ids(store.read("gold", "f")) == [0, 1, 10, 11, 20, 21]
+
+
+def test_compaction_never_undoes_a_load(spark, store, monkeypatch):
+    store.replace("gold", "f", spark.range(0, 100, 1, 9), "b", "d")
+    write = store._write
+
+    def write_late(*args, **kwargs):
+        counts = write(*args, **kwargs)
+        other(spark, store).upsert("gold", "f", spark.range(100, 102), ["id"], "b", "d")
+        return counts
+
+    monkeypatch.setattr(store, "_write", write_late)
+    assert store.compact("gold", "f") is None
+    assert ids(store.read("gold", "f")) == list(range(102))
+
+
+def test_simultaneous_upserts(spark, store):
+    store.replace("gold", "f", spark.range(1), "b", "d")
+
+    def load(k):
+        other(spark, store).upsert("gold", "f", spark.range(10 * k, 10 * k + 2), ["id"], "b", "d")
+
+    with ThreadPoolExecutor(4) as pool:
+        list(pool.map(inheritable_thread_target(spark)(load), (1, 2, 3, 4)))
+    assert ids(store.read("gold", "f")) == [0, 10, 11, 20, 21, 30, 31, 40, 41]
+    assert [r.version for r in store.versions("gold", "f").orderBy("version").collect()] == [1, 2, 3, 4, 5]
+
+
+def test_a_lasting_conflict_is_told(spark, store):
+    store.replace("gold", "f", spark.range(1), "b", "d")
+
+    def build(now):
+        other(spark, store).replace("gold", "f", spark.range(1), "b", "d")
+        return now
+
+    with pytest.raises(Conflict):
+        store.change("gold", "f", build, "b", "d")
+
+
+def test_reading_writes_nothing(spark, store, tmp_path):
+    assert not store.exists("gold", "nothing") and store.versions("gold", "nothing").count() == 0
+    assert not (tmp_path / "tables").exists()
+
+
+def test_history_keeps_the_folders_of_ended_versions(spark, store):
+    def run(day, rows, columns="id long, city string"):
+        source = spark.createDataFrame(rows, columns)
+        return store.keep_history("gold", "h", source, "id", ["city"], "b", "d", datetime(2024, 1, day))
+
+    run(1, [(1, "a"), (2, "b"), (3, "c")])
+    second = run(2, [(1, "A"), (2, "b"), (3, "c")])
+    ended = [p for p in second.parts if p.endswith("_ended=true")]
+    third = run(3, [(1, "A"), (2, "B"), (3, "c"), (4, "d")])
+    assert len(ended) == 1 and ended[0] in third.parts
+    assert third.rows == store.read("gold", "h").count() == 6
+    unchanged = run(3, [(1, "A"), (2, "B"), (3, "c"), (4, "d")])
+    assert unchanged.rows == 6
+    wider = run(4, [(1, "A", "x"), (2, "b", "x"), (3, "c", "x"), (4, "d", "x")], "id long, city string, note string")
+    assert wider.rows == 7 and ended[0] in wider.parts
+    rows = {(r.id, r.city, r.note) for r in store.read("gold", "h").filter("dbt_valid_to IS NULL").collect()}
+    assert (2, "b", "x") in rows and (1, "A", None) in rows
+    with pytest.raises(Exception, match="not later"):
+        run(4, [(1, "other")])
+    assert store.read("gold", "h").count() == 7

@@ -163,3 +163,30 @@ def test_ledger_last_write_wins(spark):
     assert {r.run_date: (r.status, r.execution_arn) for r in book.collect()} == {
         "d1": ("FAILED", "e3"), "d2": ("SUCCEEDED", "e4"),
     }
+
+
+def test_history_keeps_lost_columns_and_takes_new_ones(spark):
+    first = spark.createDataFrame([(1, "a", "n1"), (2, "b", "n2")], "id long, city string, note string")
+    history = merge_history(None, first, "id", ["city"], datetime(2024, 1, 1))
+    without = spark.createDataFrame([(1, "A"), (2, "b")], "id long, city string")
+    lost = merge_history(history, without, "id", ["city"], datetime(2024, 1, 2))
+    assert {(r.id, r.city, r.note) for r in lost.collect()} == {
+        (1, "a", "n1"), (1, "A", None), (2, "b", "n2")
+    }
+    wider = spark.createDataFrame([(1, "B", "x"), (2, "b", "x")], "id long, city string, extra string")
+    gained = merge_history(lost, wider, "id", ["city"], datetime(2024, 1, 3))
+    assert {(r.id, r.city, r.note, r.extra) for r in gained.collect()} == {
+        (1, "a", "n1", None), (1, "A", None, None), (1, "B", None, "x"), (2, "b", "n2", None)
+    }
+
+
+@pytest.mark.parametrize("day", [1, 2])
+def test_history_refuses_a_time_that_is_not_later(spark, day):
+    rows = spark.createDataFrame([(1, "a"), (2, "b")], "id long, city string")
+    history = merge_history(None, rows, "id", ["city"], datetime(2024, 1, 2))
+    changed = spark.createDataFrame([(1, "A"), (2, "b")], "id long, city string")
+    for source in (changed, rows.filter("id = 1"), rows.unionByName(spark.createDataFrame([(3, "c")], rows.schema))):
+        with pytest.raises(Exception, match="not later"):
+            merge_history(history, source, "id", ["city"], datetime(2024, 1, day)).collect()
+    same = merge_history(history, rows, "id", ["city"], datetime(2024, 1, day))
+    assert same.exceptAll(history).count() == 0 and same.count() == 2
