@@ -497,6 +497,35 @@ def _contract_rows() -> str:
     )
 
 
+def _moved_customers(before: str, after: str) -> str:
+    """One version of each customer, and a second of those that moved; a note before and after."""
+    first, second = "TIMESTAMP '2024-01-01 06:30:00.125'", "TIMESTAMP '2024-02-01 06:30:00.125'"
+    return f"""
+        SELECT c_custkey AS customer_id, c_mktsegment AS customer_city,
+               CAST({before} AS VARCHAR) AS note, {first} AS dbt_valid_from,
+               CASE WHEN c_custkey % 5 = 0 THEN {second} END AS dbt_valid_to
+        FROM customer
+        UNION ALL
+        SELECT c_custkey, 'moved', CAST({after} AS VARCHAR), {second}, NULL
+        FROM customer WHERE c_custkey % 5 = 0"""
+
+
+def _gates() -> str:
+    """Two extracts are rejected; a check that fails blocks what is built from its table."""
+    status = {("bronze", "sellers"): "failed", ("bronze", "geolocation"): "failed"}
+    gold = ("dim_customers", "dim_products", "fct_orders", "dim_customers_snapshot")
+    for name in ("dim_customers", "dim_customers_snapshot"):
+        status["gold", name] = f"CASE WHEN (SELECT count(*) FROM ({GOOD['customers']})) > 0 THEN 'skipped' ELSE 'succeeded' END"
+    rows = [(layer, t) for layer in ("bronze", "silver") for t in TYPED] + [("gold", t) for t in gold]
+    shown = (
+        (layer, t, found if (found := status.get((layer, t), "succeeded")).startswith("CASE") else f"'{found}'")
+        for layer, t in rows
+    )
+    return " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{t}' AS table_name, {text} AS status" for layer, t, text in shown
+    )
+
+
 def oracle_sql() -> dict[str, str]:
     items_sql = "SELECT l_orderkey, l_linenumber, {} AS raw FROM lineitem"
     documents = (
@@ -506,9 +535,13 @@ def oracle_sql() -> dict[str, str]:
     oracles = {
         # sources and gates
         "ingest_csv_roundtrip": documents,
-        "ingest_long_csv": documents,
+        "ingest_long_csv": (
+            f"{documents} UNION ALL SELECT 'o' || o_orderkey, '5\" \"' || o_orderstatus || '\" wide', "
+            "'e\"n', 'src\"', '1' FROM orders"
+        ),
         "ingest_stamped": (
-            f"SELECT *, {_NOW} AS _ingestion_timestamp, 'orders.parquet' AS _source_file, "
+            "SELECT CAST(o_orderkey AS VARCHAR) AS o_orderkey, CAST(o_custkey AS VARCHAR) AS "
+            f"o_custkey, o_orderstatus, {_NOW} AS _ingestion_timestamp, 'csv' AS _source_file, "
             "'bronze-1' AS _batch_id, '2024-02-29' AS _run_date FROM orders"
         ),
         "contract_report": _contract_rows(),
@@ -540,6 +573,11 @@ def oracle_sql() -> dict[str, str]:
             "SELECT order_id, lower(trim(order_status)) AS squashed, trim(order_status) AS "
             f"stripped FROM ({extract_sql('orders')})"
         ),
+        "money_text": (
+            "SELECT order_id, order_item_id, CAST(price AS VARCHAR) AS price, "
+            "CAST(freight_value AS VARCHAR) AS freight_value, 'decimal(10,2)' AS price_type "
+            f"FROM ({GOOD['order_items']})"
+        ),
         # filters and dedupe
         "filter_not_null": (
             f"SELECT * FROM ({TYPED['customers']}) "
@@ -597,6 +635,10 @@ def oracle_sql() -> dict[str, str]:
             UNION ALL
             SELECT *, NULL, 1 FROM ({_FIRST_LOAD})
             WHERE order_id NOT IN (SELECT order_id FROM ({_SECOND_LOAD}))""",
+        "upsert_after_conflict": (
+            "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN 'late' ELSE o_orderstatus END "
+            "AS o_orderstatus, o_orderdate FROM orders"
+        ),
         "fact_compacted": plain(TYPED["order_payments"], "payment_value"),
         "version_read": "SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders",
         "version_rollback": (
@@ -608,6 +650,8 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT * FROM ({_HISTORY}) WHERE dbt_valid_from <= TIMESTAMP '2024-02-15' "
             "AND (dbt_valid_to IS NULL OR dbt_valid_to > TIMESTAMP '2024-02-15')"
         ),
+        "history_column_added": _moved_customers("NULL", "c_name"),
+        "history_column_removed": _moved_customers("c_name", "NULL"),
         # checks
         "check_results": _check_rows(_STAGE_CHECKS + _MART_CHECKS, _CLEAN_MODELS),
         "check_results_untreated": _check_rows(
@@ -620,10 +664,15 @@ def oracle_sql() -> dict[str, str]:
                 _age("geolocation", "SELECT max(ts) FROM events", 72, 168),
                 _age("product_category_name_translation", "SELECT max(ts) FROM events", 168, 720),
                 _age("sellers", "SELECT max(ts) FROM events WHERE value IS NULL", 24, 48),
+                _age("customers", "SELECT max(o_orderdate) FROM orders", 24, 48),
+                _age("products", "SELECT max(l_shipdate) FROM lineitem", 24, 48),
+                _age("order_payments", "SELECT max(ts) FROM events WHERE value > 5", 24, 48),
+                _age("order_reviews", "SELECT max(ts) FROM events WHERE value < 5", 24, 48),
             )
         ),
         # runs
         "table_results": _run_counts(),
+        "gate_results": _gates(),
         "run_ledger": (
             "SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_name, "
             "run_date ORDER BY started_at DESC, execution_arn DESC) AS n "
@@ -638,6 +687,12 @@ def oracle_sql() -> dict[str, str]:
         oracles[f"silver_{short.get(table, table)}"] = _silver(table)
     for table in BAD:
         oracles[f"quarantine_{short.get(table, table)}"] = _quarantine(table)
+    for table in TYPED:
+        oracles[f"stored_{table}"] = _silver(table)
+    for table in BAD:
+        oracles[f"stored_quarantine_{table}"] = _quarantine(table)
+    for table in ("fct_orders", "dim_customers", "dim_products"):
+        oracles[f"stored_{table}"] = oracles[table]
     oracles["quarantine_orders_null"] = _quarantine(
         "orders",
         f"SELECT * FROM ({DISTINCT['orders']}) "

@@ -29,6 +29,8 @@ from siltworks.plans.checks import CHECKS, FRESHNESS
 from siltworks.plans.runs import (
     HISTORY_CHECK,
     HISTORY_KEY,
+    StageFailed,
+    TableResult,
     check_models,
     results_frame,
     run_bronze,
@@ -61,6 +63,12 @@ NOW = datetime(2024, 3, 1, 12, tzinfo=timezone.utc)
 BRONZE_RUN = ("bronze-1", "2024-02-29")
 SILVER_RUN = ("silver-1", "2024-03-01")
 TRANSLATION = "product_category_name_translation"
+# Tables that are read back from a store.
+STORED = (
+    *TABLES, "quarantine_orders", "quarantine_order_items", "quarantine_order_payments",
+    "quarantine_order_reviews",
+)
+STORED_GOLD = ("fct_orders", "dim_customers", "dim_products")
 
 
 def plain(df: DataFrame) -> DataFrame:
@@ -120,17 +128,47 @@ def ingest_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_extract(spark, path)
 
 
+def in_small_blocks(spark: SparkSession, read: Callable[[], DataFrame]) -> DataFrame:
+    """Stored rows of a read for which files are cut into blocks of 32 KiB."""
+    key, path = "spark.sql.files.maxPartitionBytes", scratch(spark)
+    before = spark.conf.get(key)
+    spark.conf.set(key, str(32 << 10))
+    try:
+        read().write.parquet(path)
+    finally:
+        spark.conf.set(key, before)
+    return spark.read.parquet(path)
+
+
 def ingest_long_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The same extract through the reader for files too long for one task."""
+    """Documents, and orders with quotes inside plain fields, read in many small blocks."""
     path = extract_path(scratch(spark), "shop", "2024-02-29", "documents")
-    write_csv(supplied(spark, sf_dir, "documents"), path)
-    return read_long_extract(spark, path).drop("_source_file")
+    write_csv(supplied(spark, sf_dir, "documents").coalesce(1), path)
+    orders = supplied(spark, sf_dir, "orders").select(
+        F.concat(F.lit("o"), "o_orderkey").alias("doc_id"),
+        F.concat(F.lit('5" "'), "o_orderstatus", F.lit('" wide')).alias("text"),
+        F.lit('e"n').alias("lang"),
+        F.lit('src"').alias("source"),
+        F.lit("1").alias("n_chars"),
+    )
+    orders.coalesce(1).write.csv(path, header=True, quote="\u0000", mode="append")
+
+    def read() -> DataFrame:
+        rows, file_column = read_long_extract(spark, path)
+        return rows.drop(file_column)
+
+    return in_small_blocks(spark, read)
 
 
 def ingest_stamped(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stamp_landing(supplied(spark, sf_dir, "orders"), *BRONZE_RUN, NOW)
-    file_name = F.regexp_extract("_source_file", "[^/]*$", 0)
-    return plain(rows.withColumn("_source_file", file_name))
+    """Lineage of a CSV extract that brings a column of the same name; only the kind of file is shown."""
+    path = extract_path(scratch(spark), "shop", "2024-02-29", "orders")
+    orders = supplied(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+    write_csv(orders.withColumn("_source_file", F.lit("fake.txt")), path)
+    rows, file_column = read_long_extract(spark, path)
+    stamped_rows = stamp_landing(rows, *BRONZE_RUN, NOW, file_column)
+    kind = F.regexp_extract("_source_file", "shop_orders_dataset.csv/.*[.](csv)$", 1)
+    return plain(stamped_rows.withColumn("_source_file", kind))
 
 
 def contract_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -197,6 +235,18 @@ def on_time_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     return events.select("event_id", no_later_than("done", "due").alias("on_time"))
 
 
+def money_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Cleaned money as text, which shows its scale, and its type."""
+    items = silver(spark, sf_dir, "order_items")
+    return items.select(
+        "order_id",
+        "order_item_id",
+        F.col("price").cast("string").alias("price"),
+        F.col("freight_value").cast("string").alias("freight_value"),
+        F.typeof("price").alias("price_type"),
+    )
+
+
 # -- filters and dedupe --------------------------------------------------
 
 
@@ -291,9 +341,16 @@ def second_load(fact: DataFrame) -> DataFrame:
     )
 
 
+def stored_fact(spark: SparkSession, sf_dir: str) -> tuple[TableStore, DataFrame]:
+    """The fact, computed and written once."""
+    store = new_store(spark)
+    store.replace("work", "fact", orders_fact(spark, sf_dir), *SILVER_RUN)
+    return store, store.read("work", "fact")
+
+
 def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Two loads into a stored table: the first creates it, the second merges."""
-    store, fact = new_store(spark), orders_fact(spark, sf_dir)
+    store, fact = stored_fact(spark, sf_dir)
     store.upsert("gold", "fct_orders", first_load(fact), ["order_id"], "silver-1", "2024-03-01")
     store.upsert("gold", "fct_orders", second_load(fact), ["order_id"], "silver-2", "2024-03-02")
     return plain(store.read("gold", "fct_orders"))
@@ -301,10 +358,32 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def fact_upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source brings a column, the target keeps one the source lacks."""
-    fact = orders_fact(spark, sf_dir)
+    store, fact = stored_fact(spark, sf_dir)
     target = first_load(fact).withColumn("load_no", F.lit(1).cast("bigint"))
     source = second_load(fact).withColumn("channel", F.lit("late"))
-    return plain(upsert(target, source, ["order_id"]))
+    store.upsert("gold", "fct_orders", target, ["order_id"], "silver-1", "2024-03-01")
+    store.upsert("gold", "fct_orders", source, ["order_id"], "silver-2", "2024-03-02")
+    return plain(store.read("gold", "fct_orders"))
+
+
+def upsert_after_conflict(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A load whose base is no longer the newest: another writer's load comes in between."""
+    store = new_store(spark)
+    orders = supplied(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
+    third = F.col("o_orderkey") % 3
+    store.replace("silver", "orders", orders.filter(third == 0), *SILVER_RUN)
+    rival = TableStore(spark, store.root)
+    stale = []
+
+    def build(now: DataFrame) -> DataFrame:
+        if not stale:
+            rival.upsert("silver", "orders", orders.filter(third == 1), ["o_orderkey"], "r", "d")
+        stale.append(now)
+        own = orders.filter(third == 2).withColumn("o_orderstatus", F.lit("late"))
+        return upsert(now, own, ["o_orderkey"])
+
+    store.change("silver", "orders", build, "run-2", "2024-03-02")
+    return store.read("silver", "orders")
 
 
 def fact_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -340,7 +419,9 @@ def version_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def three_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Customers at three times: some move, some leave, some come back."""
-    now = stage(spark, sf_dir, "stg_customers")
+    store = new_store(spark)
+    store.replace("work", "customers", stage(spark, sf_dir, "stg_customers"), *SILVER_RUN)
+    now = store.read("work", "customers")
     zip_code = F.col("customer_zip_code_prefix")
 
     def where(n: int, value, column: str):
@@ -355,11 +436,16 @@ def three_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
             "customer_zip_code_prefix": F.coalesce(zip_code, F.lit(1)),
         }
     )
-    history = None
     for month, snapshot in enumerate((earlier, moved, now), start=1):
-        at = datetime(2024, month, 1, 6, 30, 0, 125_000, tzinfo=timezone.utc)
-        history = merge_history(history, snapshot, HISTORY_KEY, HISTORY_CHECK, at)
-    return history
+        keep_customers(store, snapshot, month)
+    return store.read("gold", "dim_customers_snapshot")
+
+
+def keep_customers(store: TableStore, snapshot: DataFrame, month: int) -> None:
+    at = datetime(2024, month, 1, 6, 30, 0, 125_000, tzinfo=timezone.utc)
+    store.keep_history(
+        "gold", "dim_customers_snapshot", snapshot, HISTORY_KEY, HISTORY_CHECK, "b", "d", at
+    )
 
 
 def customer_history(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -371,17 +457,61 @@ def customer_history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(as_known_at(three_snapshots(spark, sf_dir), at))
 
 
+def changed_columns(before: Callable, after: Callable) -> Query:
+    """A history of customers whose columns differ between two snapshots; every fifth has moved."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        store = new_store(spark)
+        customers = supplied(spark, sf_dir, "customer").select(
+            F.col("c_custkey").alias("customer_id"),
+            F.col("c_mktsegment").alias("customer_city"),
+            F.col("c_nationkey").alias("customer_state"),
+            F.lit(1).alias("customer_zip_code_prefix"),
+            F.col("c_name").alias("note"),
+        )
+        moved = F.when(F.col("customer_id") % 5 == 0, "moved").otherwise(F.col("customer_city"))
+        keep_customers(store, before(customers), 1)
+        keep_customers(store, after(customers.withColumn("customer_city", moved)), 2)
+        history = store.read("gold", "dim_customers_snapshot")
+        shown = ("customer_id", "customer_city", "note", "dbt_valid_from", "dbt_valid_to")
+        return plain(history.select(*shown))
+
+    return query
+
+
+def without_note(customers: DataFrame) -> DataFrame:
+    return customers.drop("note")
+
+
+def as_it_is(customers: DataFrame) -> DataFrame:
+    return customers
+
+
 # -- checks --------------------------------------------------------------
 
 
 def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    models = {m: stage(spark, sf_dir, m) for m in STAGING}
-    models |= {
-        "fct_orders": orders_fact(spark, sf_dir),
-        "dim_customers": customers_dimension(spark, sf_dir),
-        "dim_products": products_dimension(spark, sf_dir),
+    """All checks on stored tables: each is computed once, then read."""
+    store = new_store(spark)
+
+    def kept(layer: str, name: str, rows: DataFrame) -> DataFrame:
+        store.replace(layer, name, rows, *SILVER_RUN)
+        return store.read(layer, name)
+
+    cleaned = {
+        name: kept("silver", name, silver(spark, sf_dir, name))
+        for name in (*(table for table, _ in STAGING.values()), TRANSLATION)
+    }
+    models = {m: staging(m, cleaned) for m in STAGING}
+    orders, items = models["stg_orders"], models["stg_order_items"]
+    built = {
+        "fct_orders": marts.fct_orders(orders, models["stg_order_payments"], items),
+        "dim_customers": marts.dim_customers(models["stg_customers"], orders, NOW),
+        "dim_products": marts.dim_products(
+            models["stg_products"], cleaned[TRANSLATION], items, NOW
+        ),
     }
-    return check_models(models)
+    return check_models(models | {name: kept("gold", name, df) for name, df in built.items()})
 
 
 def check_results_untreated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -401,6 +531,10 @@ def freshness_report(spark: SparkSession, sf_dir: str) -> DataFrame:
         "geolocation": events.select(F.col("ts").alias("at")),
         TRANSLATION: events.select(F.col("ts").alias("at")),
         "sellers": events.filter(F.col("value").isNull()).select(F.col("ts").alias("at")),
+        "customers": supplied(spark, sf_dir, "orders").select(F.col("o_orderdate").alias("at")),
+        "products": supplied(spark, sf_dir, "lineitem").select(F.col("l_shipdate").alias("at")),
+        "order_payments": events.filter("value > 5").select(F.col("ts").alias("at")),
+        "order_reviews": events.filter("value < 5").select(F.col("ts").alias("at")),
     }
     as_of = datetime(2024, 3, 1, tzinfo=timezone.utc)
     return plain(freshness(loaded, FRESHNESS, as_of, loaded_at="at"))
@@ -425,6 +559,72 @@ def table_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     return results_frame(spark, results).drop("error")
 
 
+def stored_table(table: str) -> Query:
+    """A cleaned table as it is read back: from CSV through landing and cleansing, each stored."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        name = table.removeprefix("quarantine_")
+        spec, store = TABLES[name], new_store(spark)
+        path = extract_path(scratch(spark), "shop", "2024-02-29", name)
+        write_csv(extract(spark, sf_dir, name), path)
+        rows, file_column = read_long_extract(spark, path)
+        rows = stamp_landing(rows, *BRONZE_RUN, NOW, file_column)
+        store.replace("bronze", name, rows, *BRONZE_RUN, allow_empty=False)
+        rows = stamped(cleanse(store.read("bronze", name), spec, "drop"), spec, *SILVER_RUN, NOW)
+        if spec.rule is None:
+            store.replace("silver", name, rows, *SILVER_RUN)
+        else:
+            store.replace_split("silver", name, rows, *SILVER_RUN)
+        return plain(store.read("silver", table).drop("_ingestion_timestamp", "_source_file"))
+
+    return query
+
+
+def stored_gold(table: str) -> Query:
+    """A reporting table as a whole run leaves it."""
+
+    def query(spark: SparkSession, sf_dir: str) -> DataFrame:
+        root = scratch(spark)
+        write_extracts(spark, sf_dir, f"{root}/raw", "2024-03-01")
+        store = TableStore(spark, f"{root}/tables")
+        run_bronze(store, f"{root}/raw", "shop", "2024-03-01", "bronze-1", NOW)
+        run_silver(store, "2024-03-01", "silver-1", NOW)
+        run_gold(store, "2024-03-01", "gold-1", NOW)
+        return plain(store.read("gold", table))
+
+    return query
+
+
+def results_of(stage: Callable[[], list[TableResult]]) -> list[TableResult]:
+    try:
+        return stage()
+    except StageFailed as failed:
+        return failed.results
+
+
+def gate_results(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A run with an empty extract, one without a needed column, and one that fails a check."""
+    root = scratch(spark)
+    store = TableStore(spark, f"{root}/tables")
+    for table in TABLES:
+        rows = extract(spark, sf_dir, table)
+        if table == "sellers":
+            rows = rows.filter("false").coalesce(1)
+        elif table == "geolocation":
+            rows = rows.drop(TABLES[table].contract[0])
+        elif table == "customers":
+            rows = rows.withColumn("customer_city", F.lit(None).cast("string"))
+        write_csv(rows, extract_path(f"{root}/raw", "shop", "2024-03-01", table))
+    results = results_of(lambda: run_bronze(store, f"{root}/raw", "shop", "2024-03-01", "b", NOW))
+    # The two tables that did not land are empty from here on, as on a first day without them.
+    for table in ("sellers", "geolocation"):
+        none = extract(spark, sf_dir, table).filter("false")
+        store.replace("bronze", table, none.withColumns({"_batch_id": F.lit("b"), "_run_date": F.lit("d")}), *BRONZE_RUN)
+    results += results_of(lambda: run_silver(store, "2024-03-01", "silver-1", NOW))
+    results += results_of(lambda: run_gold(store, "2024-03-01", "gold-1", NOW))
+    return results_frame(spark, results).select("layer", "table_name", "status")
+
+
 def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Runs recorded in the morning, then those of the afternoon over them."""
     records = supplied(spark, sf_dir, "events").select(
@@ -464,6 +664,7 @@ _REGISTERED: dict[str, Query] = {
     "cast_double": cast_of(DOUBLE_TEXT, to_double),
     "cast_timestamp": cast_timestamp,
     "normalise_text": normalise_text,
+    "money_text": money_text,
     "delivery_days": delivery_days,
     "on_time_flag": on_time_flag,
     "filter_not_null": filter_not_null,
@@ -501,14 +702,20 @@ _REGISTERED: dict[str, Query] = {
     "fact_preview": fact_preview,
     "fact_upsert": fact_upsert,
     "fact_upsert_new_column": fact_upsert_new_column,
+    "upsert_after_conflict": upsert_after_conflict,
     "fact_compacted": fact_compacted,
     "version_read": version_read,
     "version_rollback": version_rollback,
     "customer_history": customer_history,
     "customer_history_as_of": customer_history_as_of,
+    "history_column_added": changed_columns(without_note, as_it_is),
+    "history_column_removed": changed_columns(as_it_is, without_note),
     "check_results": check_results,
     "check_results_untreated": check_results_untreated,
     "freshness": freshness_report,
     "table_results": table_results,
+    "gate_results": gate_results,
     "run_ledger": run_ledger,
+    **{f"stored_{t}": stored_table(t) for t in STORED},
+    **{f"stored_{t}": stored_gold(t) for t in STORED_GOLD},
 }
