@@ -1,4 +1,4 @@
-"""Creating a file that must not exist yet, on any file system that Spark reaches."""
+"""Whether a path exists, and creating a file that must not, on any file system that Spark reaches."""
 
 from __future__ import annotations
 
@@ -11,15 +11,24 @@ from pyspark.sql import SparkSession
 _ONE_AT_A_TIME = threading.Lock()
 
 
+def _place(spark: SparkSession, path: str) -> tuple:
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(path)
+    return target.getFileSystem(context._jsc.hadoopConfiguration()), target
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    files, target = _place(spark, path)
+    return files.exists(target)
+
+
 def create_once(spark: SparkSession, path: str, text: str) -> bool:
     """Write ``text`` to a new file; False, and no change, if the file exists.
 
     The file system decides: HDFS creates a file for one caller only.  On an object store this
     holds where its connector is set to conditional writes.
     """
-    context = spark.sparkContext
-    target = context._jvm.org.apache.hadoop.fs.Path(path)
-    files = target.getFileSystem(context._jsc.hadoopConfiguration())
+    files, target = _place(spark, path)
     with _ONE_AT_A_TIME:
         try:
             out = files.create(target, False)

@@ -21,13 +21,12 @@ from collections.abc import Callable, Sequence
 from dataclasses import asdict, dataclass, field, replace as changed
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession, functions as F, types as T
 
 from siltworks.operators.cleanse import OUTCOME, good_columns, quarantine_columns
 from siltworks.operators.history import VALID_TO, merge_history
 from siltworks.operators.upsert import upsert
-from siltworks.sources.exclusive import create_once
+from siltworks.sources.exclusive import create_once, path_exists
 from siltworks.specs import GOOD, QUARANTINE
 
 # Length that compaction aims at for a file.
@@ -102,12 +101,10 @@ class TableStore:
 
     def versions(self, layer: str, table: str) -> DataFrame:
         """The commit log of one table; without rows if there is none."""
-        try:
-            return self.spark.read.schema(_LOG_SCHEMA).json(self._log(layer, table))
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        log = self._log(layer, table)
+        if not path_exists(self.spark, log):
             return self.spark.createDataFrame([], _LOG_SCHEMA)
+        return self.spark.read.schema(_LOG_SCHEMA).json(log)
 
     def find(self, layer: str, table: str, version: int | None = None) -> Commit | None:
         """The newest commit, or the one with the given number, if there is one."""

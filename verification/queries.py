@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from functools import reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from siltworks.functions.casts import squash, strip, to_double, to_int, to_money, to_time
@@ -129,10 +131,10 @@ def ingest_csv_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def in_small_blocks(spark: SparkSession, read: Callable[[], DataFrame]) -> DataFrame:
-    """Stored rows of a read for which files are cut into blocks of 32 KiB."""
+    """Stored rows of a read for which files are cut into blocks of 96 KiB."""
     key, path = "spark.sql.files.maxPartitionBytes", scratch(spark)
     before = spark.conf.get(key)
-    spark.conf.set(key, str(32 << 10))
+    spark.conf.set(key, str(96 << 10))
     try:
         read().write.parquet(path)
     finally:
@@ -494,14 +496,16 @@ def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All checks on stored tables: each is computed once, then read."""
     store = new_store(spark)
 
-    def kept(layer: str, name: str, rows: DataFrame) -> DataFrame:
-        store.replace(layer, name, rows, *SILVER_RUN)
-        return store.read(layer, name)
+    def kept(layer: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+        def keep(name: str) -> DataFrame:
+            store.replace(layer, name, tables[name], *SILVER_RUN)
+            return store.read(layer, name)
 
-    cleaned = {
-        name: kept("silver", name, silver(spark, sf_dir, name))
-        for name in (*(table for table, _ in STAGING.values()), TRANSLATION)
-    }
+        with ThreadPoolExecutor(max_workers=6) as pool:
+            return dict(zip(tables, pool.map(inheritable_thread_target(spark)(keep), tables)))
+
+    needed = (*(table for table, _ in STAGING.values()), TRANSLATION)
+    cleaned = kept("silver", {name: silver(spark, sf_dir, name) for name in needed})
     models = {m: staging(m, cleaned) for m in STAGING}
     orders, items = models["stg_orders"], models["stg_order_items"]
     built = {
@@ -511,7 +515,7 @@ def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
             models["stg_products"], cleaned[TRANSLATION], items, NOW
         ),
     }
-    return check_models(models | {name: kept("gold", name, df) for name, df in built.items()})
+    return check_models(models | kept("gold", built))
 
 
 def check_results_untreated(spark: SparkSession, sf_dir: str) -> DataFrame:
