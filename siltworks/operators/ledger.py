@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, functions as F, types as T
 from siltworks.operators.dedupe import first_per_key
 from siltworks.operators.upsert import upsert
 
+# Column names that readers of the ledger expect.
 KEYS = ("pipeline_name", "run_date")
 SCHEMA = T.StructType(
     [

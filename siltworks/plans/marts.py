@@ -82,6 +82,7 @@ def dim_products(
     """
     english = translation.select("product_category_name", "product_category_name_english")
     category = F.col("product_category_name")
+    # Output names of the dimension.
     return (
         products.join(sales_per_product(items), "product_id", "left")
         .join(english, "product_category_name", "left")
@@ -104,7 +105,10 @@ def dim_products(
 
 
 def fct_orders(orders: DataFrame, payments: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per order.  Both joins use the same key, so orders shuffle once."""
+    """One row per order.  Both joins use the same key, so orders shuffle once.
+
+    The output names are fixed values.
+    """
     delivered, due = "order_delivered_customer_date", "order_estimated_delivery_date"
     return (
         orders.join(payments_per_order(payments), "order_id", "left")
