@@ -172,7 +172,7 @@ def train(
     max_bytes: int = 16_000_000,
     **options,
 ) -> dict | None:
-    """Fit on at most `per_language` rows of each language and `max_bytes` of text.
+    """Fit on at most `per_language` rows of each language and `max_bytes` of text, shared by them.
 
     Rows that are held out, or whose text or language is missing, are not learned from.
     """

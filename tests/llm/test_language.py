@@ -52,6 +52,18 @@ def test_held_out_rows_teach_nothing(spark):
     assert rows and language.train(spark.createDataFrame(rows, "doc_id long, text string, lang string")) is None
 
 
+def test_long_text_does_not_end_the_sample(spark):
+    rows = [(k, f"the cat sat on the mat {k}", "en") for k in range(40)] + [(50 + k, f"die Katze saß da {k}", "de") for k in range(40)]
+    long = [(200 + k, f"long {k} " + "word " * 4_000, "en") for k in range(8)]
+    docs = spark.createDataFrame(rows + long, "doc_id long, text string, lang string")
+    model = language.train(docs, max_bytes=16_000)
+    assert model["names"] == ["de", "en"] and len(model["basis"]) == sum(not held_out(k) for k, _, _ in rows)
+
+
+def held_out(doc_id):
+    return zlib.crc32(str(doc_id).encode()) % 4 == 2
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     found = language.identify(docs, language.train(docs)).collect()
