@@ -9,7 +9,8 @@ that is predicted, so that every byte of a text belongs to one shard, and the nu
 follows the measured size of the tables. Documents are read once for each shard; sums of shards add up.
 
 A document is kept if its perplexity lies between two quantiles, taken for each language over
-trusted documents that the model has not seen.
+trusted documents that the model has not seen. Languages with few of those take limits from all
+languages, relative to what is usual in each.
 """
 
 from __future__ import annotations
@@ -29,6 +30,8 @@ ORDER = 5
 CHUNK = 2_000_000
 SPREAD = 1 << 20
 NO_LANGUAGE = ""
+#: Names the model of all trusted text together.
+POOLED = "\0all"
 
 
 def _grams(data: np.ndarray, order: int) -> np.ndarray:
@@ -202,6 +205,8 @@ def _sum(sent, part: int, parts: int, order: int):
         for langs, texts in batches:
             sums = np.full(len(texts), np.nan)
             names = np.array([NO_LANGUAGE if x is None else x for x in langs.to_pylist()], dtype=object)
+            if POOLED in known:
+                names[[x not in known for x in names]] = POOLED
             values = np.array(texts.to_pylist(), dtype=object)
             for lang in known:
                 rows = np.flatnonzero(names == lang)
@@ -239,7 +244,10 @@ def _held(rows: pa.Table) -> dict:
 def log_likelihoods(
     docs: DataFrame, model: DataFrame, *, text_col: str = "text", lang_col: str = "lang", order: int = ORDER, shard_rows: int = 2_000_000
 ) -> DataFrame:
-    """(row, logs): each row and the log probability of its text; null for languages without model."""
+    """(row, logs): each row and the log probability of its text.
+
+    Languages without a model take that of all trusted text, if `model` has it; else it is null.
+    """
     model = stored(model)
     # Grams are sharded by the byte before their last, contexts by their last; short ones go everywhere.
     before = F.when(F.col("size") <= 1, None).otherwise(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFF)))
@@ -264,6 +272,64 @@ def trusted(labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "qual
     return good.where("least = 1").select("trusted", held_out(F.col("trusted")).alias("unseen"))
 
 
+def _limits(scored: DataFrame, ids: DataFrame, low: float, high: float, least: int) -> DataFrame:
+    """(of, low, high) for each language of `scored` (id, language, perplexity).
+
+    With `least` unseen trusted documents they are quantiles over those. With fewer, they are
+    quantiles over such documents of all languages, of the log distance to the centre of the own
+    language: the median of its documents not learned from, drawn towards that of all languages as
+    if `least` more documents had it. If even these are fewer than `least`, whatever is within three
+    standard deviations of the centre, by the quartiles of the documents not learned from, is inside
+    too, and so are the more probable documents that were learned from.
+    """
+    rows = stored(
+        scored.where("perplexity is not null")
+        .join(ids, F.col("id") == F.col("trusted"), "left")
+        .select("language", "perplexity", "unseen", F.log("perplexity").alias("log"))
+    )
+    unseen = F.when(F.col("unseen"), F.col("perplexity"))
+    free = F.coalesce(F.col("unseen"), F.lit(True))
+    middles = (
+        F.coalesce(F.percentile_approx(F.when(free, F.col("log")), 0.5), F.percentile_approx("log", 0.5)).alias("middle"),
+        F.count_if(free).alias("n"),
+    )
+    middle = rows.agg(*middles).first()["middle"]
+    own = stored(
+        rows.groupBy(F.col("language").alias("of"))
+        .agg(
+            F.count(unseen).alias("rows"),
+            F.percentile_approx(unseen, low, 100_000).alias("low"),
+            F.percentile_approx(unseen, high, 100_000).alias("high"),
+            *middles,
+        )
+        .withColumn("centre", (F.col("middle") * F.col("n") + F.lit(middle).cast("double") * least) / (F.col("n") + least))
+    )
+    away = F.col("log") - F.col("centre")
+    pool = (
+        rows.join(small(own.select("of", "centre")), F.col("language") == F.col("of"))
+        .agg(
+            F.count(unseen).alias("rows"),
+            F.percentile_approx(F.when(F.col("unseen"), away), low, 100_000).alias("low"),
+            F.percentile_approx(F.when(F.col("unseen"), away), high, 100_000).alias("high"),
+            F.percentile_approx(F.when(F.col("unseen").isNotNull(), away), low, 100_000).alias("learned"),
+            F.coalesce(F.percentile_approx(F.when(free, away), [0.25, 0.75]), F.percentile_approx(away, [0.25, 0.75])).alias("half"),
+        )
+        .first()
+    )
+    ends = [pool["low"], pool["high"]]
+    if pool["rows"] < least and pool["half"]:
+        spread = 3 * (pool["half"][1] - pool["half"][0]) / 1.349
+        ends = [min(-spread, ends[0] or 0.0, pool["learned"] or 0.0), max(spread, ends[1] or 0.0)]
+    # A rounding error wider, so that the document at a limit is inside.
+    common = [
+        F.exp(F.col("centre") + F.lit(end).cast("double") + slack) for end, slack in zip(ends, (-1e-9, 1e-9), strict=True)
+    ]
+    enough = F.col("rows") >= least
+    return stored(
+        own.select("of", F.when(enough, F.col("low")).otherwise(common[0]).alias("low"), F.when(enough, F.col("high")).otherwise(common[1]).alias("high"))
+    )
+
+
 def judge(
     docs: DataFrame,
     labels: DataFrame,
@@ -281,9 +347,11 @@ def judge(
     """The columns of `docs`, or those in `carried`, and a struct `out` of (perplexity, low, high, keep).
 
     Trusted documents are those labelled of good quality; a quarter of them is not learned from and
-    gives the quantiles. `keep` is whether the perplexity lies between them. Without `least` such
-    documents of a language, or without a model for it, its documents are kept. Rows without a
-    language are one language. Null and empty text has no perplexity and is not kept.
+    gives the quantiles. `keep` is whether the perplexity lies between them. Languages without
+    `least` such documents have limits from all languages, see `_limits`; those nothing is learned
+    of are scored by the model of all trusted text. Only where no text is trusted at all is there no
+    perplexity, and all text is kept. Rows without a language are one language. Null and empty text
+    has no perplexity and is not kept.
     """
     ids = stored(trusted(labels, id_col=id_col))
     learned = small(ids.where("not unseen").select("trusted"), sent_ids)
@@ -291,7 +359,15 @@ def judge(
     texts = docs.join(learned, docs[id_col] == learned["trusted"], "left_semi").select(
         lang.alias("lang"), F.col(text_col).alias("text")
     )
-    scored = log_likelihoods(docs, tables(counted(texts)), text_col=text_col, lang_col=lang_col)
+    counts = counted(texts)
+    # Languages that nothing is learned of are scored by a model of all trusted text.
+    has_text = F.octet_length(text_col) > 0
+    own = small(stored(texts.where("octet_length(text) > 0").select("lang").distinct()))
+    others = docs.where(has_text).select(lang.alias("lang")).join(own, "lang", "left_anti")
+    if others.limit(1).count():
+        counts = stored(counts)
+        counts = counts.unionAll(counts.groupBy("gram").agg(F.sum("n").alias("n")).select(F.lit(POOLED).alias("lang"), "gram", "n"))
+    scored = log_likelihoods(docs, tables(counts), text_col=text_col, lang_col=lang_col)
     row = F.col("row")
     size = F.coalesce(F.octet_length(row[text_col]), F.lit(0))
     kept = [c for c in carried or docs.columns if c.lower() != out.lower()]
@@ -305,17 +381,7 @@ def judge(
             size.alias("size"),
         )
     )
-    limits = stored(
-        scored.where("perplexity is not null")
-        .join(ids.where("unseen"), F.col("id") == F.col("trusted"))
-        .groupBy(F.col("language").alias("of"))
-        .agg(
-            F.count("*").alias("rows"),
-            F.percentile_approx("perplexity", low, 100_000).alias("low"),
-            F.percentile_approx("perplexity", high, 100_000).alias("high"),
-        )
-        .where(F.col("rows") >= least)
-    )
+    limits = _limits(scored, small(ids, sent_ids), low, high, least)
     judged = scored.join(small(limits), F.col("language") == F.col("of"), "left")
     inside = F.col("perplexity").between(F.col("low"), F.col("high"))
     keep = (F.col("size") > 0) & F.coalesce(inside, F.lit(True))

@@ -62,6 +62,19 @@ def test_equals_plain_model(spark, shard_rows):
             assert r.logs is None
 
 
+def test_other_languages_take_the_pooled_model(spark):
+    train = ["the cat sat on the mat", "die Katze sitzt"]
+    rows = [("en", train[0]), (perplexity.POOLED, train[0]), (perplexity.POOLED, train[1])]
+    frame = spark.createDataFrame(rows, "lang string, text string")
+    docs = spark.createDataFrame([("xx", "the Katze"), (None, "the Katze"), ("en", "the Katze")], "lang string, text string")
+    model = perplexity.tables(perplexity.counted(frame))
+    pooled, english = Plain(train, perplexity.ORDER), Plain(train[:1], perplexity.ORDER)
+    for shard_rows in (2_000_000, 60):
+        for r in perplexity.log_likelihoods(docs, model, shard_rows=shard_rows).collect():
+            plain = english if r.row.lang == "en" else pooled
+            assert r.logs == pytest.approx(plain.logs(r.row.text), abs=1e-9)
+
+
 def test_probabilities_sum_to_one(spark):
     frame = spark.createDataFrame([("a", "abracadabra abba"), ("a", "cab")], "lang string, text string")
     held = perplexity._held(perplexity.tables(perplexity.counted(frame)).toArrow())
@@ -101,6 +114,47 @@ def test_awkward_rows(spark, awkward, nothing):
     assert all(r.quality.keep == bool(r.text) for r in perplexity.judge(awkward, labels.where("false")).collect())
 
 
+def some_documents(spark, where):
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").where(where)
+    return docs, spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+
+
+def kept_shares(docs, labels, told):
+    """Of the rows of each quality in `told`, how many are kept."""
+    judged = perplexity.judge(docs, labels, carried=["doc_id", "lang"])
+    rows = judged.join(told.withColumnRenamed("quality", "good"), "doc_id").collect()
+    assert rows and all(r.quality.low < r.quality.perplexity < r.quality.high for r in rows if r.quality.keep)
+    assert all(r.quality.low is not None and r.quality.high is not None for r in rows)
+    return [np.mean([r.quality.keep for r in rows if r.good == g]) for g in (1, 0)]
+
+
+def test_languages_with_few_trusted_documents_are_judged(spark):
+    docs, labels = some_documents(spark, "true")
+    few = labels.join(docs.where("lang <> 'en'").select("doc_id"), "doc_id")
+    good, bad = kept_shares(docs, labels, few)
+    assert good > 0.9 and bad < 0.3
+
+
+def test_language_without_trusted_documents_is_judged(spark):
+    docs, labels = some_documents(spark, "true")
+    french = docs.where("lang = 'fr'").select("doc_id")
+    good, bad = kept_shares(docs, labels.join(french, "doc_id", "left_anti"), labels.join(french, "doc_id"))
+    assert good > 0.8 and bad < 0.5
+
+
+def test_small_table_is_judged(spark):
+    docs, labels = some_documents(spark, "doc_id % 12 = 0")
+    good, bad = kept_shares(docs, labels, labels.join(docs.select("doc_id"), "doc_id"))
+    assert good > 0.8 and bad < 0.5
+
+
+def test_without_unseen_documents_all_are_judged(spark):
+    docs, labels = some_documents(spark, "true")
+    seen = perplexity.trusted(labels).where("not unseen").selectExpr("trusted doc_id", "1 quality")
+    good, bad = kept_shares(docs, seen, labels)
+    assert good > 0.8 and bad < 0.5
+
+
 def test_labelled_documents(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     labels = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
