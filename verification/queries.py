@@ -145,7 +145,7 @@ def in_small_blocks(spark: SparkSession, read: Callable[[], DataFrame]) -> DataF
 def ingest_long_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents, and orders with quotes inside plain fields, read in many small blocks."""
     path = extract_path(scratch(spark), "shop", "2024-02-29", "documents")
-    write_csv(supplied(spark, sf_dir, "documents").coalesce(1), path)
+    write_csv(supplied(spark, sf_dir, "documents"), path)
     orders = supplied(spark, sf_dir, "orders").select(
         F.concat(F.lit("o"), "o_orderkey").alias("doc_id"),
         F.concat(F.lit('5" "'), "o_orderstatus", F.lit('" wide')).alias("text"),
@@ -153,7 +153,7 @@ def ingest_long_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit('src"').alias("source"),
         F.lit("1").alias("n_chars"),
     )
-    orders.coalesce(1).write.csv(path, header=True, quote="\u0000", mode="append")
+    orders.write.csv(path, header=True, quote="\u0000", mode="append")
 
     def read() -> DataFrame:
         rows, file_column = read_long_extract(spark, path)
