@@ -12,18 +12,23 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def stored(df: DataFrame) -> DataFrame:
-    """Compute once, in the shared folder of `spark.checkpoint.dir`, and cut the lineage.
+def shared_folder(spark: SparkSession) -> str:
+    """The folder for stored steps, in that of `spark.checkpoint.dir`.
 
-    A lost executor then costs no earlier step. Where the setting is missing, which is right only
-    on one machine, a folder of its own is used.
+    Where the setting is missing, which is right only on one machine, a folder of its own is used.
     """
-    context = df.sparkSession.sparkContext
+    context = spark.sparkContext
     if not context.getCheckpointDir():
-        shared = df.sparkSession.conf.get("spark.checkpoint.dir", None)
+        shared = spark.conf.get("spark.checkpoint.dir", None)
         if not shared and (not context.master.startswith("local") or "cluster" in context.master):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         context.setCheckpointDir(shared or tempfile.mkdtemp(prefix="llm-"))
+    return context.getCheckpointDir()
+
+
+def stored(df: DataFrame) -> DataFrame:
+    """Compute once, in the shared folder, and cut the lineage. A lost executor then costs no earlier step."""
+    shared_folder(df.sparkSession)
     return df.checkpoint(eager=True)
 
 

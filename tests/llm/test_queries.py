@@ -115,3 +115,19 @@ def test_stages_keep_columns_and_bear_awkward_rows(spark, awkward, nothing):
             if name != "packing":
                 assert docs.columns == before
         assert (docs.count() > 0) == (frame is awkward)
+
+
+def test_stages_are_read_from_parquet(spark, monkeypatch):
+    seen = []
+
+    def watched(name, stage):
+        def run(spark, docs, sf_dir):
+            seen.append(docs.inputFiles())
+            return stage(spark, docs, sf_dir)
+
+        return name, run
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [watched(*s) for s in corpus_pipeline.STAGES])
+    seen.append(corpus_pipeline.run(spark, SF).inputFiles())
+    for (name, _), files in zip(corpus_pipeline.STAGES, seen[1:], strict=True):
+        assert files and all(f"/{name}/" in f and f.endswith(".parquet") for f in files)
