@@ -36,7 +36,3 @@ def texts(spark):
         return spark.createDataFrame([r if isinstance(r, tuple) else (r,) for r in rows], schema)
 
     return build
-
-
-def plan_of(df) -> str:
-    return df._jdf.queryExecution().executedPlan().toString()

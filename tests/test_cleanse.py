@@ -3,7 +3,7 @@ from datetime import datetime, timezone
 import pytest
 from pyspark.sql import functions as F
 
-from conftest import plan_of
+from plan_text import plan_of
 from siltworks.operators.cleanse import (
     OUTCOME, cleanse, good_rows, quarantined_rows, stamped, with_keys,
 )

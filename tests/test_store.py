@@ -99,7 +99,7 @@ def test_clean_rerun_empties_the_quarantine(spark, store):
 
 
 def test_one_outcome_is_read_without_the_other(spark, store):
-    from conftest import plan_of
+    from plan_text import plan_of
 
     store.replace_split("silver", "t", tagged(spark, 10, 3), *RUN)
     assert "PartitionFilters: [isnotnull(outcome" in plan_of(store.read("silver", "t"))
@@ -116,7 +116,7 @@ def test_upsert_creates_then_merges(spark, store):
 
 
 def test_compaction_keeps_rows_in_fewer_files(spark, store):
-    from conftest import plan_of
+    from plan_text import plan_of
 
     store.replace("gold", "f", spark.range(1000).repartition(40), *RUN)
     assert len(store.read("gold", "f").inputFiles()) == 40
