@@ -3,7 +3,7 @@ from __future__ import annotations
 import re
 from collections import Counter
 
-from conftest import awkward_texts
+from awkward_texts import awkward_texts
 from siltworks.llm import decontamination
 
 ITEMS = [

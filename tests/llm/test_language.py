@@ -4,7 +4,7 @@ import zlib
 from collections import Counter
 
 import numpy as np
-from conftest import awkward_texts
+from awkward_texts import awkward_texts
 from siltworks.llm import language
 
 

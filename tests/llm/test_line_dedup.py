@@ -3,7 +3,7 @@ from __future__ import annotations
 from collections import Counter
 
 import pytest
-from conftest import awkward_texts
+from awkward_texts import awkward_texts
 from siltworks.llm import line_dedup
 
 

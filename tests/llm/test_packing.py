@@ -7,7 +7,7 @@ from itertools import combinations
 
 import numpy as np
 import pytest
-from conftest import awkward_texts
+from awkward_texts import awkward_texts
 from siltworks.llm import packing
 from siltworks.llm.queries import tokenizer_path
 from tokenizers import Tokenizer

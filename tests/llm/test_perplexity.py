@@ -4,7 +4,7 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
-from conftest import awkward_texts
+from awkward_texts import awkward_texts
 from siltworks.llm import perplexity
 
 

@@ -3,7 +3,7 @@ from __future__ import annotations
 import re
 
 import numpy as np
-from conftest import awkward_texts
+from awkward_texts import awkward_texts
 from siltworks.llm import personal
 
 PLAIN = {

@@ -5,7 +5,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
-from conftest import awkward_texts
+from awkward_texts import awkward_texts
 from siltworks.llm import repeats
 
 
