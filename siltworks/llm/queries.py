@@ -7,7 +7,19 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from siltworks.llm import decontamination, language, line_dedup, neighbours, packing, perplexity, personal, repeats, simhash, toxicity
+from siltworks.llm import (
+    decontamination,
+    language,
+    line_dedup,
+    neighbours,
+    packing,
+    periodic,
+    perplexity,
+    personal,
+    repeats,
+    simhash,
+    toxicity,
+)
 from siltworks.llm.common import held_out, read
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
@@ -108,6 +120,38 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def _made_periodic(doc_id: Column, text: Column, words: Column) -> Column:
+    """The text; for one id in ten, words from some place on repeat the first few of them."""
+    code = F.crc32(doc_id.cast("string").cast("binary"))
+    g, n = F.floor(code / 10).cast("long"), F.size(words).cast("long")
+    a = g % n
+    p = 1 + F.floor((n - a) / (3 + g % 8)).cast("int")
+    once = F.slice(words, a.cast("int") + 1, p)
+    repeated = F.flatten(F.array_repeat(once, F.ceil((n - a) / p).cast("int")))
+    made = F.concat(F.slice(words, F.lit(1), a.cast("int")), F.slice(repeated, F.lit(1), (n - a).cast("int")))
+    return F.when(n > 0, F.array_join(made, " ")).otherwise(text)
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0
+    words = F.when(chosen, F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0)))
+    made = docs.withColumn("words", words).select("doc_id", _made_periodic(F.col("doc_id"), F.col("text"), F.col("words")).alias("text"))
+    found = periodic.collapse(made, out="periodic")
+    line = F.transform("periodic.runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    best = periodic.longest(F.col("periodic.runs"))
+    return found.select(
+        "doc_id",
+        F.size("periodic.runs").cast("long").alias("n_runs"),
+        best["start"].alias("start"),
+        best["length"].alias("length"),
+        best["period"].alias("period"),
+        F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        sha256(F.array_join(line, "")).alias("runs_sha256"),
+        sha256(F.col("periodic.kept")).alias("collapsed_sha256"),
+    )
+
+
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_decontamination,
     op2_quality,
@@ -119,6 +163,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op8_language,
     op9_repeats,
     op10_toxicity,
+    op11_periodic_runs,
 )
 
 _SQL = {

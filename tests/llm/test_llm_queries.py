@@ -33,6 +33,7 @@ COLUMNS = {
     "op8_language": "doc_id bigint, held_out boolean, lang_pred string, score double",
     "op9_repeats": "doc_id bigint, n_bytes bigint, n_removed bigint, n_spans bigint, kept_sha256 string",
     "op10_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
+    "op11_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
 }
 
 
