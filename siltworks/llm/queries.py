@@ -11,6 +11,7 @@ from siltworks.llm import (
     decontamination,
     language,
     line_dedup,
+    mixing,
     neighbours,
     packing,
     periodic,
@@ -152,6 +153,13 @@ def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, weights=(1, 2, 3), most=3).select(
+        "doc_id", "mix.size", "mix.source_size", "mix.target", "mix.taken"
+    )
+
+
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_decontamination,
     op2_quality,
@@ -164,6 +172,7 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op9_repeats,
     op10_toxicity,
     op11_periodic_runs,
+    op12_mixing,
 )
 
 _SQL = {
@@ -214,6 +223,46 @@ WITH lines AS (
 SELECT doc_id, count(*) AS n_lines, count(*) FILTER (dropped) AS n_dropped,
        sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT dropped), '')) AS kept_sha256
 FROM judged GROUP BY doc_id
+""",
+    "op12_mixing": r"""
+WITH sized AS (
+  SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size,
+         substr(md5(concat_ws('/', CAST(doc_id AS VARCHAR), md5(text))), 1, 15) AS place
+  FROM documents
+), sources AS (
+  SELECT source, CAST(sum(size) AS BIGINT) AS source_size,
+         CAST(1 + (row_number() OVER (ORDER BY source NULLS LAST) - 1) % 3 AS BIGINT) AS weight
+  FROM sized GROUP BY source
+), ordered AS (
+  SELECT *, 3 * source_size AS cap, sum(source_size) OVER () AS total,
+         coalesce(sum(3 * source_size) OVER before, 0) AS cap_before,
+         sum(weight) OVER () - coalesce(sum(weight) OVER before, 0) AS weight_left
+  FROM sources
+  WINDOW before AS (ORDER BY 3 * source_size * CASE weight WHEN 1 THEN 6 WHEN 2 THEN 3 ELSE 2 END, source NULLS LAST
+                    ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+), judged AS (
+  SELECT *, weight * (total - cap_before) > cap * weight_left AS above FROM ordered
+), shared AS (
+  SELECT coalesce(sum(cap) FILTER (above), 0) AS capped, sum(weight) FILTER (NOT above) AS weights FROM judged
+), wanted AS (
+  SELECT source, source_size,
+         CASE WHEN above THEN CAST(cap AS DOUBLE)
+              ELSE CAST(weight * (total - capped) AS DOUBLE) / CAST(weights AS DOUBLE) END AS target
+  FROM judged, shared
+), budgets AS (
+  SELECT *, CASE WHEN source_size = 0 THEN 0 ELSE CAST(target >= source_size AS INT)
+         + CAST(target >= 2 * source_size AS INT) + CAST(target >= 3 * source_size AS INT) END AS every
+  FROM wanted
+), placed AS (
+  SELECT d.doc_id, d.size, b.source_size, b.target, b.every, b.target - b.every * b.source_size AS rest,
+         sum(d.size) OVER (PARTITION BY d.source ORDER BY place) AS upto,
+         sum(d.size) OVER (PARTITION BY d.source, place) AS here
+  FROM sized d JOIN budgets b ON d.source IS NOT DISTINCT FROM b.source
+)
+SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
+       CAST(size * (every + CASE WHEN upto < rest OR (upto - here < rest AND upto - rest < rest - (upto - here))
+                                 THEN 1 ELSE 0 END) AS BIGINT) AS taken
+FROM placed
 """,
 }
 
