@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.llm import (
+    codes,
     decontamination,
     language,
     line_dedup,
@@ -21,7 +22,7 @@ from siltworks.llm import (
     simhash,
     toxicity,
 )
-from siltworks.llm.common import held_out, read
+from siltworks.llm.common import held_out, read, stored
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -160,6 +161,17 @@ def op12_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = read(spark, sf_dir, "embeddings").select("vec_id", "embedding", "label")
+    model = codes.train(vectors, parts=4, entries=256, rounds=4, scale=1024)
+    digits = F.array_join(F.transform("coded.code", lambda c: F.lpad(F.lower(F.hex(c)), 2, "0")), "")
+    coded = codes.encode(vectors, model, out="coded").select(
+        "vec_id", "label", digits.alias("code"), F.col("coded.error").alias("error")
+    )
+    summed = codes.with_label_error(stored(coded), label_col="label", error_col="error", out="label_error")
+    return summed.select("vec_id", "code", "error", "label_error", F.lit(model.digest()).alias("codebooks_sha256"))
+
+
 _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op1_decontamination,
     op2_quality,
@@ -173,8 +185,31 @@ _QUERIES: tuple[Callable[[SparkSession, str], DataFrame], ...] = (
     op10_toxicity,
     op11_periodic_runs,
     op12_mixing,
+    op13_vector_codes,
 )
 
+
+
+def _rounds_sql(rounds: int) -> str:
+    """Common table expressions `near0`, `book1`, ... up to the assignment after the last round."""
+    out = []
+    for r in range(rounds + 1):
+        out.append(f"""near{r} AS MATERIALIZED (
+  SELECT vec_id, p, any_value(x) AS x, min({{'d': xx - 2 * list_inner_product(xs, cs) + cc, 'e': e}}) AS best
+  FROM parts JOIN (SELECT *, list_inner_product(cs, cs) AS cc FROM book{r}) USING (p) GROUP BY vec_id, p
+)""")
+        if r < rounds:
+            out.append(f"""book{r + 1} AS MATERIALIZED (
+  SELECT p, e, coalesce(means, c) AS c, CAST(coalesce(means, c) AS DOUBLE[]) AS cs
+  FROM book{r} LEFT JOIN (
+    SELECT p, e, list(CAST(floor(total / n) AS BIGINT) ORDER BY i) AS means
+    FROM (SELECT p, best.e AS e, i, CAST(sum(x[i]) AS DOUBLE) AS total, count(*) AS n
+          FROM (SELECT p, best, x, unnest(range(1, len(x) + 1)) AS i FROM near{r}) GROUP BY p, best.e, i)
+    GROUP BY p, e) USING (p, e)
+)""")
+    return ", ".join(out)
+
+
 _SQL = {
     "op1_decontamination": f"""
 WITH item_words AS (
@@ -263,6 +298,28 @@ SELECT doc_id, CAST(size AS BIGINT) AS size, source_size, target,
        CAST(size * (every + CASE WHEN upto < rest OR (upto - here < rest AND upto - rest < rest - (upto - here))
                                  THEN 1 ELSE 0 END) AS BIGINT) AS taken
 FROM placed
+""",
+    "op13_vector_codes": f"""
+WITH kept AS (
+  SELECT vec_id, label, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v
+  FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), parts AS MATERIALIZED (
+  SELECT *, CAST(x AS DOUBLE[]) AS xs, list_inner_product(CAST(x AS DOUBLE[]), CAST(x AS DOUBLE[])) AS xx
+  FROM (SELECT vec_id, p, v[p * (len(v) // 4) + 1 : (p + 1) * (len(v) // 4)] AS x
+        FROM (SELECT vec_id, v, unnest(range(4)) AS p FROM kept))
+), book0 AS MATERIALIZED (
+  SELECT p, nth - 1 AS e, x AS c, xs AS cs
+  FROM parts JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) AS nth FROM kept) USING (vec_id) WHERE nth <= 256
+), {_rounds_sql(4)}, coded AS (
+  SELECT vec_id, string_agg(lpad(lower(to_hex(best.e)), 2, '0'), '' ORDER BY p) AS code,
+         CAST(sum(best.d) AS BIGINT) AS error
+  FROM near4 GROUP BY vec_id
+), digest AS (
+  SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS codebooks_sha256 FROM book4
+)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error, codebooks_sha256
+FROM coded JOIN kept USING (vec_id), digest
 """,
 }
 

@@ -35,6 +35,7 @@ COLUMNS = {
     "op10_toxicity": "doc_id bigint, held_out boolean, score double, predicted int",
     "op11_periodic_runs": "doc_id bigint, n_runs bigint, start bigint, length bigint, period bigint, exponent_milli bigint, runs_sha256 string, collapsed_sha256 string",
     "op12_mixing": "doc_id bigint, size bigint, source_size bigint, target double, taken bigint",
+    "op13_vector_codes": "vec_id bigint, code string, error bigint, label_error bigint, codebooks_sha256 string",
 }
 
 
