@@ -60,13 +60,15 @@ def merge_history(
     as_of: datetime | Column | None = None,
     close_missing: bool = True,
     earlier: DataFrame | None = None,
+    newest: Column | None = None,
 ) -> DataFrame:
     """Next state of the history after seeing ``source`` at ``as_of``.
 
     A version is closed when a ``check`` column differs (NULL-safe) or, with
     ``close_missing``, when its key is gone.  Changed, new and returning keys
     get an open version.  Only open versions are joined; closed ones pass by
-    without a shuffle, or not at all if they are given apart as ``earlier``.
+    without a shuffle, or not at all if they are given apart as ``earlier``, or left
+    out where ``newest`` tells the newest time in the history.
 
     The result has the columns of both sides: one that the source has lost keeps
     the values of versions so far and is NULL on new ones, and one that it has
@@ -78,10 +80,11 @@ def merge_history(
     if history is None:
         return _opened(source, key, now)
 
-    times = history.select(VALID_FROM, VALID_TO)
-    if earlier is not None:
-        times = times.unionByName(earlier.select(VALID_FROM, VALID_TO))
-    newest = times.agg(F.max(F.greatest(VALID_FROM, VALID_TO))).scalar()
+    if newest is None:
+        times = history.select(VALID_FROM, VALID_TO)
+        if earlier is not None:
+            times = times.unionByName(earlier.select(VALID_FROM, VALID_TO))
+        newest = times.agg(F.max(F.greatest(VALID_FROM, VALID_TO))).scalar()
     history, source = _same_columns(history, source)
     still_open = history.filter(F.col(VALID_TO).isNull())
     closed = history.filter(F.col(VALID_TO).isNotNull())

@@ -7,7 +7,7 @@ from dataclasses import dataclass
 from datetime import datetime
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
 NOT_NULL = "not_null"
 UNIQUE = "unique"
@@ -27,6 +27,10 @@ class Check:
     def label(self) -> str:
         return f"{self.kind}({self.expression})" if self.expression else self.kind
 
+    @property
+    def name(self) -> str:
+        return f"{self.column} {self.label}"
+
     def fails(self) -> Column:
         """Condition for a failing row; NULL passes all but ``not_null``."""
         c = F.col(self.column)
@@ -37,6 +41,10 @@ class Check:
         return ~F.expr(f"`{self.column}` {self.expression}")
 
 
+# Prefix of columns that number the rows of a value.
+_NTH = "_nth_with_equal_"
+
+
 class CheckFailed(RuntimeError):
     pass
 
@@ -86,6 +94,47 @@ def evaluate(model: str, df: DataFrame, checks: Sequence[Check]) -> DataFrame:
     return reduce(DataFrame.unionByName, outputs)
 
 
+def numbered(df: DataFrame, columns: Iterable[str]) -> DataFrame:
+    """Rows with their number among those of an equal value, for each of ``columns``.
+
+    Neither a shuffle nor a sort of its own where ``df`` comes out of a join on the column.
+    """
+    return df.withColumns(
+        {f"{_NTH}{c}": F.row_number().over(Window.partitionBy(c).orderBy(c)) for c in columns}
+    )
+
+
+def counters(
+    checks: Iterable[Check], unique: Iterable[str] = (), within: Column | None = None
+) -> dict[str, Column]:
+    """Aggregates that count what fails, by name of the check, for a write to observe.
+
+    Columns in ``unique`` cannot have repeated values; others need ``numbered`` rows.  ``within``
+    is a condition for the rows that count.
+    """
+    out = {}
+    for check in checks:
+        failing = check.fails() if check.kind != UNIQUE else F.lit(False)
+        if check.kind == UNIQUE and check.column not in unique:
+            failing = (F.col(f"{_NTH}{check.column}") == 2) & F.col(check.column).isNotNull()
+        out[check.name] = F.count_if(failing if within is None else failing & within)
+    return out
+
+
+def counted_results(
+    spark: SparkSession, models: Mapping[str, tuple[Sequence[Check], Mapping[str, int]]]
+) -> DataFrame:
+    """Results of checks from the numbers of failing rows that writes have counted."""
+    rows = [
+        (model, check.column, check.label, check.severity, failures[check.name])
+        for model, (checks, failures) in models.items()
+        for check in checks
+    ]
+    schema = "model string, column_name string, test string, severity string, failures bigint"
+    status = F.when(F.col("failures") == 0, F.lit("pass")).otherwise(F.col("severity"))
+    return spark.createDataFrame(rows, schema).withColumn("status", status)
+
+
 def require_passing(results: DataFrame) -> None:
     """Raise if any check of error severity failed; warnings only stay in the results."""
     failed = results.filter(F.col("status") == "error").collect()

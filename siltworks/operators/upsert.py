@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from siltworks.operators.dedupe import require_unique
 
 _IN_SOURCE = "_in_source"
+_IN_TARGET = "_in_target"
 
 
 def on_keys(left: str, right: str, keys: Sequence[str]) -> Column:
@@ -18,16 +19,20 @@ def on_keys(left: str, right: str, keys: Sequence[str]) -> Column:
     return condition
 
 
-def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFrame:
+def upsert(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], inserted: str | None = None
+) -> DataFrame:
     """Update matched rows, insert new ones, keep the rest.
 
     Columns only in ``source`` are appended (NULL on rows it does not touch);
     columns only in ``target`` keep their values.  A key that occurs twice in
     ``source`` fails the query.  One full outer join: a source that comes out of
-    joins on the same keys is not shuffled again.
+    joins on the same keys is not shuffled again.  ``inserted`` names a further column that is
+    true on new rows.
     """
     fresh = require_unique(source, keys).withColumn(_IN_SOURCE, F.lit(True))
-    joined = target.alias("t").join(fresh.alias("s"), on_keys("t", "s", keys), "full_outer")
+    known = target.withColumn(_IN_TARGET, F.lit(True))
+    joined = known.alias("t").join(fresh.alias("s"), on_keys("t", "s", keys), "full_outer")
     touched = F.col(f"s.{_IN_SOURCE}").isNotNull()
 
     columns = []
@@ -38,4 +43,6 @@ def upsert(target: DataFrame, source: DataFrame, keys: Sequence[str]) -> DataFra
         else:
             columns.append(F.col(f"t.{f.name}"))
     columns += [F.col(f"s.{c}") for c in source.columns if c not in target.columns]
+    if inserted is not None:
+        columns.append(F.col(f"t.{_IN_TARGET}").isNull().alias(inserted))
     return joined.select(*columns)
