@@ -113,6 +113,34 @@ class TableStore:
             rows = rows.filter(F.col(OUTCOME) == commit.outcome)
         return rows.select(*commit.columns)
 
+    # -- what commits tell -------------------------------------------------
+
+    def version_of(self, layer: str, table: str) -> int | None:
+        commit = self.find(layer, table)
+        return commit and commit.version
+
+    def rows_of(self, layer: str, table: str) -> int | None:
+        commit = self.find(layer, table)
+        return commit and commit.rows
+
+    def counted(self, layer: str, table: str) -> dict[str, int] | None:
+        """Failing rows of the checks that the newest write has counted."""
+        commit = self.find(layer, table)
+        return commit and commit.checks
+
+    def inputs_of(self, layer: str, table: str) -> dict[str, int] | None:
+        """Versions of other tables that the newest version was computed from, if they are known."""
+        commit = self.find(layer, table)
+        return commit and commit.inputs
+
+    def has_version(self, layer: str, table: str, version: int | None) -> bool:
+        return version is not None and self.find(layer, table, version) is not None
+
+    def same_rows(self, layer: str, table: str, one: int, other: int) -> bool:
+        """Whether two versions are the same folders."""
+        a, b = self.commit_of(layer, table, one), self.commit_of(layer, table, other)
+        return (a.path, a.parts, a.columns) == (b.path, b.parts, b.columns)
+
     # -- writing ---------------------------------------------------------
 
     def replace(

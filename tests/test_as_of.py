@@ -1,0 +1,82 @@
+"""The as-of join against a plain search."""
+
+import random
+from collections import Counter
+from datetime import datetime, timedelta
+
+import pytest
+from pyspark.sql import functions as F
+
+from siltworks.operators.as_of import join_as_of
+from plan_text import plan_of
+
+START = datetime(2024, 1, 1)
+FACTS = "order_id int, k string, at timestamp, version string, slice int"
+VERSIONS = "k string, city string, dbt_valid_from timestamp, dbt_valid_to timestamp"
+
+
+def hour(n):
+    return None if n is None else START + timedelta(hours=n)
+
+
+def versions_of(rng, key):
+    """Some versions of a key, with gaps, the last one open or not."""
+    out, at = [], rng.randrange(20)
+    for n in range(rng.randrange(6)):
+        end = at + rng.randrange(1, 15)
+        out.append((key, f"{key}-{n}", hour(at), hour(end)))
+        at = end + rng.choice((0, 0, 3))
+    if out and rng.random() < 0.6:
+        out[-1] = (*out[-1][:3], None)
+    return out
+
+
+def plain(facts, versions):
+    out = Counter()
+    for order_id, key, at, *rest in facts:
+        found = [v for v in versions if key is not None and at is not None and v[0] == key and v[2] <= at and (v[3] is None or at < v[3])]
+        assert len(found) <= 1
+        out[order_id, key, at, *rest, found[0][1:] if found else None] += 1
+    return out
+
+
+def joined(spark, facts, versions, **how):
+    df = join_as_of(spark.createDataFrame(facts, FACTS).repartition(3), spark.createDataFrame(versions, VERSIONS), "k", "at", "then", **how)
+    assert df.columns == ["order_id", "k", "at", "version", "slice", "then"]
+    return Counter((*r[:5], tuple(r.then)[1:] if r.then else None) for r in df.collect())
+
+
+@pytest.mark.parametrize("hot_rows", [1, 7, 40, 10**6])
+@pytest.mark.parametrize("seed", range(3))
+def test_equals_plain(spark, seed, hot_rows):
+    """A third of all rows under one key; missing keys and times; rows at the very borders."""
+    rng = random.Random(seed)
+    keys = ["hot", *"abcdefgh"]
+    versions = [v for k in keys[:-1] for v in versions_of(rng, k)] + [(None, "nobody", hour(0), None)]
+    facts = [
+        (n, "hot" if n % 3 == 0 else rng.choice([*keys, None]), hour(rng.choice([rng.randrange(80), None])), f"v{n}", n)
+        for n in range(300)
+    ]
+    facts += [(1000 + n, k, at, None, None) for n, (k, _, at, _) in enumerate(versions)] + facts[:5]
+    assert joined(spark, facts, versions, hot_rows=hot_rows) == plain(facts, versions)
+
+
+def test_one_time_only_and_empty_sides(spark):
+    facts = [(n, "a", hour(5), None, None) for n in range(50)]
+    versions = [("a", "x", hour(1), hour(5)), ("a", "y", hour(5), None)]
+    assert joined(spark, facts, versions, hot_rows=4) == plain(facts, versions)
+    assert joined(spark, facts, [], hot_rows=4) == plain(facts, [])
+    assert joined(spark, [], versions) == Counter()
+
+
+def test_nothing_is_multiplied(spark):
+    """Many versions and many rows of one key: the plan has no join of rows with versions."""
+    facts = spark.range(2000).select(F.lit("a").alias("k"), F.timestamp_seconds("id").alias("at"))
+    versions = spark.range(2000).select(
+        F.lit("a").alias("k"), F.timestamp_seconds("id").alias("dbt_valid_from"), F.timestamp_seconds(F.col("id") + 1).alias("dbt_valid_to")
+    )
+    df = join_as_of(facts, versions, "k", "at", "then")
+    assert "Join" not in plan_of(df)
+    assert df.filter("then.dbt_valid_from = at").count() == 2000
+    slices = join_as_of(facts, versions, "k", "at", "then", hot_rows=100)
+    assert slices.filter("then.dbt_valid_from = at").count() == 2000

@@ -304,6 +304,57 @@ _FCT_ORDERS = f"""
     LEFT JOIN ({_ORDER_PAYMENTS}) p ON p.order_id = o.order_id
     LEFT JOIN ({_ORDER_ITEMS}) i ON i.order_id = o.order_id"""
 
+
+
+def _fact_on_second_day() -> str:
+    """The fact rebuilt from changed tables; orders that have not changed keep the first run's marks."""
+    number = "CAST(order_id AS BIGINT)"
+    orders = f"""
+        SELECT * REPLACE (CASE WHEN {number} % 50 = 5 THEN 'delivered' ELSE order_status END AS order_status),
+               {number} % 20 = 7 OR ({number} % 50 = 5 AND order_status <> 'delivered') AS differs
+        FROM ({GOOD['orders']})"""
+    payments = f"""
+        SELECT * REPLACE (payment_value * CASE WHEN {number} % 10 = 1 THEN 2 ELSE 1 END AS payment_value)
+        FROM ({GOOD['order_payments']}) WHERE {number} % 10 <> 2"""
+    items = f"""
+        SELECT order_id, price + CASE WHEN {number} % 10 = 4 THEN 1 ELSE 0 END AS price, freight_value
+        FROM ({GOOD['order_items']})
+        UNION ALL SELECT order_id, price, freight_value FROM ({GOOD['order_items']}) WHERE {number} % 10 = 3"""
+    return f"""
+        WITH o AS ({orders}), p AS (
+            SELECT order_id, sum(payment_value) AS total_payment_value, count(*) AS payment_count,
+                   max(payment_type) AS primary_payment_type
+            FROM ({payments}) GROUP BY order_id
+        ), i AS (
+            SELECT order_id, count(*) AS item_count, sum(price) AS items_total,
+                   sum(freight_value) AS freight_total
+            FROM ({items}) GROUP BY order_id
+        ), touched AS (
+            SELECT order_id FROM ({GOOD['order_payments']})
+            WHERE {number} % 10 = 2 OR ({number} % 10 = 1 AND payment_value <> 0)
+            UNION SELECT order_id FROM ({GOOD['order_items']}) WHERE {number} % 10 IN (3, 4)
+            UNION SELECT order_id FROM o WHERE differs
+        )
+        SELECT o.order_id, o.customer_id, o.order_status, o.order_purchase_timestamp,
+               o.order_approved_at, o.order_delivered_customer_date,
+               o.order_estimated_delivery_date, ifnull(i.item_count, 0) AS item_count,
+               CAST(ifnull(i.items_total, 0) AS DOUBLE) AS items_total,
+               CAST(ifnull(i.freight_total, 0) AS DOUBLE) AS freight_total,
+               CAST(ifnull(p.total_payment_value, 0) AS DOUBLE) AS total_payment_value,
+               ifnull(p.payment_count, 0) AS payment_count,
+               ifnull(p.primary_payment_type, 'unknown') AS primary_payment_type,
+               date_sub('day', o.order_purchase_timestamp, o.order_delivered_customer_date)
+                 AS delivery_days,
+               o.order_delivered_customer_date IS NOT NULL
+                 AND o.order_estimated_delivery_date IS NOT NULL
+                 AND o.order_delivered_customer_date <= o.order_estimated_delivery_date
+                 AS delivered_on_time,
+               CASE WHEN t.order_id IS NULL THEN '2024-03-01' ELSE '2024-03-02' END AS _run_date,
+               CASE WHEN t.order_id IS NULL THEN 'silver-1' ELSE 'silver-2' END AS _batch_id
+        FROM o LEFT JOIN p USING (order_id) LEFT JOIN i USING (order_id)
+        LEFT JOIN touched t ON t.order_id = o.order_id"""
+
+
 # Two loads of the fact: they share the orders bought in 1999.
 _FIRST_LOAD = f"SELECT * FROM ({_FCT_ORDERS}) WHERE order_purchase_timestamp < TIMESTAMP '2000-01-01'"
 _SECOND_LOAD = (
@@ -357,14 +408,19 @@ def _next_history(before: str, snap: str, at: str) -> str:
                                 AND h.dbt_valid_to IS NULL AND {same})''', at)})"""
 
 
-_HISTORY = f"""
+def _history(t1: str, t2: str, t3: str) -> str:
+    return f"""
     WITH s1 AS MATERIALIZED ({_SNAP_1}), s2 AS MATERIALIZED ({_SNAP_2}),
          s3 AS MATERIALIZED ({_SNAP_3}),
-         h1 AS MATERIALIZED ({_opened('SELECT * FROM s1', _T1)}),
-         h2 AS MATERIALIZED ({_next_history('SELECT * FROM h1', 'SELECT * FROM s2', _T2)}),
-         h3 AS MATERIALIZED ({_next_history('SELECT * FROM h2', 'SELECT * FROM s3', _T3)})
+         h1 AS MATERIALIZED ({_opened('SELECT * FROM s1', t1)}),
+         h2 AS MATERIALIZED ({_next_history('SELECT * FROM h1', 'SELECT * FROM s2', t2)}),
+         h3 AS MATERIALIZED ({_next_history('SELECT * FROM h2', 'SELECT * FROM s3', t3)})
     SELECT * FROM h3"""
 
+
+_HISTORY = _history(_T1, _T2, _T3)
+_HISTORY_OF_ORDERS = _history(*(f"TIMESTAMP '{y}-06-15 07:00:00'" for y in (1993, 1995, 1997)))
+
 # model, column, test, severity, SQL condition of a failing row (or None: repeated values)
 _STAGE_CHECKS = [
     ("stg_orders", "order_id", "not_null", "error", "order_id IS NULL"),
@@ -510,6 +566,21 @@ def _moved_customers(before: str, after: str) -> str:
         FROM customer WHERE c_custkey % 5 = 0"""
 
 
+def _views() -> str:
+    """Views of a run: what each stage has written, and the staging models over cleaned tables."""
+    rows = [("bronze", t, extract_sql(t)) for t in TYPED] + [("silver", t, GOOD[t]) for t in TYPED]
+    rows += [("silver", f"quarantine_{t}", BAD[t][1]) for t in BAD]
+    rows += [("gold", m, GOOD[t]) for m, t in _STAGE_TABLE.items()]
+    rows += [
+        ("gold", "dim_customers", _DIM_CUSTOMERS), ("gold", "dim_products", _DIM_PRODUCTS),
+        ("gold", "fct_orders", _FCT_ORDERS), ("gold", "dim_customers_snapshot", GOOD["customers"]),
+    ]
+    return " UNION ALL ".join(
+        f"SELECT '{layer}' AS layer, '{v}' AS view_name, (SELECT count(*) FROM ({sql})) AS row_count"
+        for layer, v, sql in rows
+    )
+
+
 def _gates() -> str:
     """Two extracts are rejected; a check that fails blocks what is built from its table."""
     status = {("bronze", "sellers"): "failed", ("bronze", "geolocation"): "failed"}
@@ -639,6 +710,8 @@ def oracle_sql() -> dict[str, str]:
             "SELECT o_orderkey, CASE WHEN o_orderkey % 3 = 2 THEN 'late' ELSE o_orderstatus END "
             "AS o_orderstatus, o_orderdate FROM orders"
         ),
+        "fct_orders_incremental": _fact_on_second_day(),
+        "fct_orders_clustered": _FCT_ORDERS,
         "fact_compacted": plain(TYPED["order_payments"], "payment_value"),
         "version_read": "SELECT o_orderkey, o_orderstatus, o_orderdate FROM orders",
         "version_rollback": (
@@ -650,6 +723,12 @@ def oracle_sql() -> dict[str, str]:
             f"SELECT * FROM ({_HISTORY}) WHERE dbt_valid_from <= TIMESTAMP '2024-02-15' "
             "AND (dbt_valid_to IS NULL OR dbt_valid_to > TIMESTAMP '2024-02-15')"
         ),
+        "orders_with_customer_as_of": f"""
+            SELECT o.order_id, o.customer_id, o.order_purchase_timestamp, h.customer_city,
+                   h.customer_state, h.dbt_valid_from, h.dbt_valid_to
+            FROM ({GOOD['orders']}) o LEFT JOIN ({_HISTORY_OF_ORDERS}) h
+              ON h.customer_id = o.customer_id AND h.dbt_valid_from <= o.order_purchase_timestamp
+             AND (h.dbt_valid_to IS NULL OR o.order_purchase_timestamp < h.dbt_valid_to)""",
         "history_column_added": _moved_customers("NULL", "c_name"),
         "history_column_removed": _moved_customers("c_name", "NULL"),
         # checks
@@ -673,6 +752,8 @@ def oracle_sql() -> dict[str, str]:
         # runs
         "table_results": _run_counts(),
         "gate_results": _gates(),
+        "published_views": _views(),
+        "fact_through_view": _FCT_ORDERS,
         "run_ledger": (
             "SELECT * EXCLUDE (n) FROM (SELECT *, row_number() OVER (PARTITION BY pipeline_name, "
             "run_date ORDER BY started_at DESC, execution_arn DESC) AS n "

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
@@ -13,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from siltworks.functions.casts import squash, strip, to_double, to_int, to_money, to_time
 from siltworks.functions.measures import elapsed_days, no_later_than
 from siltworks.operators import ledger
+from siltworks.operators.as_of import join_as_of
 from siltworks.operators.cleanse import (
     cleanse,
     good_rows,
@@ -24,16 +26,16 @@ from siltworks.operators.cleanse import (
 )
 from siltworks.operators.dedupe import first_per_key
 from siltworks.operators.history import as_known_at, merge_history
-from siltworks.operators.quality import evaluate, freshness
+from siltworks.operators.quality import counted_results, evaluate, freshness
 from siltworks.operators.upsert import upsert
-from siltworks.plans import marts
+from siltworks.plans import incremental, marts
 from siltworks.plans.checks import CHECKS, FRESHNESS
 from siltworks.plans.runs import (
     HISTORY_CHECK,
     HISTORY_KEY,
     StageFailed,
     TableResult,
-    check_models,
+    refresh_fact,
     results_frame,
     run_bronze,
     run_gold,
@@ -358,6 +360,53 @@ def fact_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(store.read("gold", "fct_orders"))
 
 
+def changed_sources(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The fact's sources a day later: rows changed, added and removed in each of them."""
+    number = F.col("order_id").cast("bigint")
+    orders, payments, items = (tables[t] for t in incremental.SOURCES)
+    closed = F.when(number % 50 == 5, "delivered").otherwise(F.col("order_status"))
+    twice = F.when(number % 10 == 1, 2 * F.col("payment_value")).otherwise(F.col("payment_value"))
+    dearer = F.when(number % 10 == 4, F.col("price") + 1).otherwise(F.col("price"))
+    again = items.filter(number % 10 == 3).withColumn("order_item_id", F.col("order_item_id") + 100)
+    found = {
+        "orders": orders.withColumn("order_status", closed),
+        "order_payments": payments.filter(number % 10 != 2).withColumn(
+            "payment_value", twice.cast("decimal(10,2)")
+        ),
+        "order_items": items.withColumn("price", dearer.cast("decimal(10,2)")).unionByName(again),
+    }
+    run = {"_batch_id": F.lit("silver-2"), "_run_date": F.lit("2024-03-02")}
+    return {t: df.withColumns(run) for t, df in found.items()}
+
+
+def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact of a first day, then of a second day from the orders that have changed."""
+    store = new_store(spark)
+    cleaned = {t: silver(spark, sf_dir, t) for t in incremental.SOURCES}
+    first = F.col("order_id").cast("bigint") % 20 != 7
+
+    def load(tables: dict[str, DataFrame], run: tuple[str, str]) -> None:
+        inputs = {t: store.replace("silver", t, df, *run).version for t, df in tables.items()}
+        stored = {t: store.read("silver", t) for t in tables}
+        models = {m: staging(m, stored) for m, (t, _) in STAGING.items() if t in stored}
+        refresh_fact(store, models, inputs, *run)
+
+    load(cleaned | {"orders": cleaned["orders"].filter(first)}, SILVER_RUN)
+    load(changed_sources(cleaned), ("silver-2", "2024-03-02"))
+    return plain(store.read("gold", "fct_orders"))
+
+
+def fact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The fact from cleaned tables that are clustered by order, so that its joins need no shuffle."""
+    store = TableStore(spark, scratch(spark), {"silver": f"silver_{uuid.uuid4().hex}"})
+    for table in incremental.SOURCES:
+        rows = tagged(spark, sf_dir, table)
+        store.replace_split("silver", table, rows, *SILVER_RUN, cluster=(incremental.KEY, 8))
+    stored = {t: store.read("silver", t) for t in incremental.SOURCES}
+    models = [staging(m, stored) for m in ("stg_orders", "stg_order_payments", "stg_order_items")]
+    return plain(marts.fct_orders(*models))
+
+
 def fact_upsert_new_column(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The source brings a column, the target keeps one the source lacks."""
     store, fact = stored_fact(spark, sf_dir)
@@ -419,7 +468,13 @@ def version_rollback(spark: SparkSession, sf_dir: str) -> DataFrame:
 # -- history -------------------------------------------------------------
 
 
-def three_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
+def in_2024(month: int) -> datetime:
+    return datetime(2024, month, 1, 6, 30, 0, 125_000, tzinfo=timezone.utc)
+
+
+def three_snapshots(
+    spark: SparkSession, sf_dir: str, at: Callable[[int], datetime] = in_2024
+) -> DataFrame:
     """Customers at three times: some move, some leave, some come back."""
     store = new_store(spark)
     store.replace("work", "customers", stage(spark, sf_dir, "stg_customers"), *SILVER_RUN)
@@ -439,12 +494,11 @@ def three_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
         }
     )
     for month, snapshot in enumerate((earlier, moved, now), start=1):
-        keep_customers(store, snapshot, month)
+        keep_customers(store, snapshot, at(month))
     return store.read("gold", "dim_customers_snapshot")
 
 
-def keep_customers(store: TableStore, snapshot: DataFrame, month: int) -> None:
-    at = datetime(2024, month, 1, 6, 30, 0, 125_000, tzinfo=timezone.utc)
+def keep_customers(store: TableStore, snapshot: DataFrame, at: datetime) -> None:
     store.keep_history(
         "gold", "dim_customers_snapshot", snapshot, HISTORY_KEY, HISTORY_CHECK, "b", "d", at
     )
@@ -459,6 +513,23 @@ def customer_history_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plain(as_known_at(three_snapshots(spark, sf_dir), at))
 
 
+def orders_with_customer_as_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All cleaned orders with the customer as known when they were placed."""
+
+    def at(nth: int) -> datetime:
+        return datetime(1991 + 2 * nth, 6, 15, 7, tzinfo=timezone.utc)
+
+    history = three_snapshots(spark, sf_dir, at)
+    orders = stage(spark, sf_dir, "stg_orders")
+    met = join_as_of(orders, history, "customer_id", "order_purchase_timestamp", "then", hot_rows=20)
+    customer = ("customer_city", "customer_state", "dbt_valid_from", "dbt_valid_to")
+    return plain(
+        met.select(
+            "order_id", "customer_id", "order_purchase_timestamp", *[f"then.{c}" for c in customer]
+        )
+    )
+
+
 def changed_columns(before: Callable, after: Callable) -> Query:
     """A history of customers whose columns differ between two snapshots; every fifth has moved."""
 
@@ -472,8 +543,8 @@ def changed_columns(before: Callable, after: Callable) -> Query:
             F.col("c_name").alias("note"),
         )
         moved = F.when(F.col("customer_id") % 5 == 0, "moved").otherwise(F.col("customer_city"))
-        keep_customers(store, before(customers), 1)
-        keep_customers(store, after(customers.withColumn("customer_city", moved)), 2)
+        keep_customers(store, before(customers), in_2024(1))
+        keep_customers(store, after(customers.withColumn("customer_city", moved)), in_2024(2))
         history = store.read("gold", "dim_customers_snapshot")
         shown = ("customer_id", "customer_city", "note", "dbt_valid_from", "dbt_valid_to")
         return plain(history.select(*shown))
@@ -493,29 +564,36 @@ def as_it_is(customers: DataFrame) -> DataFrame:
 
 
 def check_results(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All checks on stored tables: each is computed once, then read."""
+    """All checks on stored tables, counted by the writes of these tables."""
     store = new_store(spark)
+    models = {table: model for model, (table, _) in STAGING.items()}
 
     def kept(layer: str, tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
         def keep(name: str) -> DataFrame:
-            store.replace(layer, name, tables[name], *SILVER_RUN)
+            keys = TABLES[name].keys if name in TABLES else ()
+            store.replace(
+                layer, name, tables[name], *SILVER_RUN, checks=CHECKS.get(models.get(name, name), ()),
+                unique=keys if len(keys) == 1 else (),
+            )
             return store.read(layer, name)
 
         with ThreadPoolExecutor(max_workers=6) as pool:
             return dict(zip(tables, pool.map(inheritable_thread_target(spark)(keep), tables)))
 
-    needed = (*(table for table, _ in STAGING.values()), TRANSLATION)
-    cleaned = kept("silver", {name: silver(spark, sf_dir, name) for name in needed})
-    models = {m: staging(m, cleaned) for m in STAGING}
-    orders, items = models["stg_orders"], models["stg_order_items"]
+    cleaned = kept("silver", {name: silver(spark, sf_dir, name) for name in (*models, TRANSLATION)})
+    stages = {m: staging(m, cleaned) for m in STAGING}
+    orders, items = stages["stg_orders"], stages["stg_order_items"]
     built = {
-        "fct_orders": marts.fct_orders(orders, models["stg_order_payments"], items),
-        "dim_customers": marts.dim_customers(models["stg_customers"], orders, NOW),
+        "fct_orders": marts.fct_orders(orders, stages["stg_order_payments"], items),
+        "dim_customers": marts.dim_customers(stages["stg_customers"], orders, NOW),
         "dim_products": marts.dim_products(
-            models["stg_products"], cleaned[TRANSLATION], items, NOW
+            stages["stg_products"], cleaned[TRANSLATION], items, NOW
         ),
     }
-    return check_models(models | kept("gold", built))
+    kept("gold", built)
+    counted = {model: store.counted("silver", table) for table, model in models.items()}
+    counted |= {name: store.counted("gold", name) for name in built}
+    return counted_results(spark, {m: (CHECKS[m], counted[m]) for m in CHECKS})
 
 
 def check_results_untreated(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -599,6 +677,32 @@ def stored_gold(table: str) -> Query:
     return query
 
 
+def published(spark: SparkSession, sf_dir: str) -> dict[str, str]:
+    """A whole run whose tables are published; the database of each layer."""
+    root, own = scratch(spark), uuid.uuid4().hex
+    databases = {layer: f"{layer}_{own}" for layer in ("bronze", "silver", "gold")}
+    write_extracts(spark, sf_dir, f"{root}/raw", "2024-03-01")
+    store = TableStore(spark, f"{root}/tables", databases)
+    run_bronze(store, f"{root}/raw", "shop", "2024-03-01", "bronze-1", NOW)
+    run_silver(store, "2024-03-01", "silver-1", NOW)
+    run_gold(store, "2024-03-01", "gold-1", NOW)
+    return databases
+
+
+def published_views(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every view in the databases of a run, with its rows."""
+    counts = []
+    for layer, database in published(spark, sf_dir).items():
+        for view in spark.sql(f"SHOW VIEWS IN {database}").filter("NOT isTemporary").collect():
+            rows = spark.table(f"{database}.{view.viewName}").agg(F.count(F.lit(1)).alias("row_count"))
+            counts.append(rows.select(F.lit(layer).alias("layer"), F.lit(view.viewName).alias("view_name"), "row_count"))
+    return reduce(DataFrame.unionByName, counts)
+
+
+def fact_through_view(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plain(spark.table(f"{published(spark, sf_dir)['gold']}.fct_orders"))
+
+
 def results_of(stage: Callable[[], list[TableResult]]) -> list[TableResult]:
     try:
         return stage()
@@ -707,11 +811,14 @@ _REGISTERED: dict[str, Query] = {
     "fact_upsert": fact_upsert,
     "fact_upsert_new_column": fact_upsert_new_column,
     "upsert_after_conflict": upsert_after_conflict,
+    "fct_orders_incremental": fact_incremental,
+    "fct_orders_clustered": fact_clustered,
     "fact_compacted": fact_compacted,
     "version_read": version_read,
     "version_rollback": version_rollback,
     "customer_history": customer_history,
     "customer_history_as_of": customer_history_as_of,
+    "orders_with_customer_as_of": orders_with_customer_as_of,
     "history_column_added": changed_columns(without_note, as_it_is),
     "history_column_removed": changed_columns(as_it_is, without_note),
     "check_results": check_results,
@@ -719,6 +826,8 @@ _REGISTERED: dict[str, Query] = {
     "freshness": freshness_report,
     "table_results": table_results,
     "gate_results": gate_results,
+    "published_views": published_views,
+    "fact_through_view": fact_through_view,
     "run_ledger": run_ledger,
     **{f"stored_{t}": stored_table(t) for t in STORED},
     **{f"stored_{t}": stored_gold(t) for t in STORED_GOLD},
