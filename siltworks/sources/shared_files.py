@@ -57,6 +57,18 @@ def read_text(spark: SparkSession, path: str) -> str | None:
         opened.close()
 
 
+def first_text(spark: SparkSession, uri: str, length: int) -> str:
+    """The first bytes of a file, one character each."""
+    jvm = spark.sparkContext._jvm
+    target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(uri))
+    opened = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    try:
+        bounded = jvm.org.apache.commons.io.input.BoundedInputStream(opened, length)
+        return jvm.org.apache.commons.io.IOUtils.toString(bounded, "ISO-8859-1")
+    finally:
+        opened.close()
+
+
 def modified(spark: SparkSession, path: str) -> int:
     """When a file or folder was last changed, in microseconds."""
     files, target = _place(spark, path)

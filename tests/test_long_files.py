@@ -11,9 +11,13 @@ from siltworks.sources.extracts import read_extract
 from siltworks.sources.long_files import file_column, read_long_extract
 
 
-@pytest.fixture
-def tiny_blocks(spark):
-    keys = {"spark.sql.files.maxPartitionBytes": "23", "spark.sql.files.openCostInBytes": "1"}
+@pytest.fixture(params=["10000", "2"])
+def tiny_blocks(spark, request):
+    """Blocks of 23 bytes, whose lines come to the assembling task all at once or two at a time."""
+    keys = {
+        "spark.sql.files.maxPartitionBytes": "23", "spark.sql.files.openCostInBytes": "1",
+        "spark.sql.execution.arrow.maxRecordsPerBatch": request.param,
+    }
     before = {k: spark.conf.get(k) for k in keys}
     for k, v in keys.items():
         spark.conf.set(k, v)
@@ -109,6 +113,55 @@ def test_odd_text(spark, tmp_path, tiny_blocks, text):
     same(spark, folder(tmp_path, [text]))
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_every_line_end_is_read_in_many_blocks(spark, tmp_path, tiny_blocks, end):
+    text = 'x,y,z\n' + '1,"a\nb",c\n2,"d",e\n' * 20
+    path = folder(tmp_path, [text.replace("\n", end), text.replace("\n", end).strip(end)])
+    same(spark, path)
+    from siltworks.sources.long_files import _files_by_line_end, _lines, _survey
+
+    (found, files), = _files_by_line_end(spark, path).items()
+    assert found == end and len(files) == 2
+    assert len(_survey(_lines(spark, path, end))) > 20
+
+
+def test_only_cut_records_are_shuffled(spark, tmp_path):
+    """Lines go through no exchange; pieces of cut records do, if there are any."""
+    path = folder(tmp_path, ['x,y\n' + '1,"a\nb"\n' * 50])
+    plan = read_long_extract(spark, path)[0]._jdf.queryExecution().executedPlan().toString()
+    assert "MapInArrow" in plan and "Exchange hash" not in plan and "Window" not in plan
+
+
+def test_new_settings_do_not_cut_files_anew(spark, tmp_path, tiny_blocks):
+    path = folder(tmp_path, ['x,y\n' + '1,"a\nb"\n' * 50])
+    df, _ = read_long_extract(spark, path)
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "100")
+    try:
+        assert df.filter("y = 'a\nb'").count() == 50
+        assert df.unionByName(spark.range(1).selectExpr("'x' AS x", "'y' AS y", "'f' AS _read_from")).count() == 51
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_blocks_that_the_survey_does_not_know_are_refused(spark, tmp_path, tiny_blocks):
+    from siltworks.sources.long_files import _lines, _records, _survey
+
+    path = folder(tmp_path, ['x,y\n' + '1,"a\nb"\n' * 50])
+    blocks = _survey(_lines(spark, path, "\n"))
+    assert _records(spark, path, "\n", blocks).count() == 50
+    with pytest.raises(Exception, match="read again"):
+        _records(spark, path, "\n", blocks[:-1]).collect()
+
+
+def test_files_and_folders_with_odd_names(spark, tmp_path):
+    path = tmp_path / "a b%20c"
+    path.mkdir()
+    (path / "part é+1.csv").write_text('x,y\n1,"a\nb"\n')
+    same(spark, str(path))
+
+
 def test_the_file_has_a_name_of_its_own(spark, tmp_path):
     path = folder(tmp_path, ["_read_from,_source_file\n1,fake\n"])
     df, name = read_long_extract(spark, path)
