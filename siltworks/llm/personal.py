@@ -1,16 +1,20 @@
 """Personal data in whole texts, by weak supervision, in DataFrame functions only.
 
-Patterns propose spans. For each span, labelers vote for, against, or not at all: the pattern's own
-check, gazetteers of what the span holds, cue words in front of it, what it touches, and how varied
-its characters are. Only counts of vote patterns, a table bounded by the number of labelers and
-features, come to the driver. There expectation-maximisation estimates how reliable each labeler is,
-and a logistic span classifier is trained on the labels that follow. It goes back as an expression.
-
-Spans that pass their pattern's check always stay; the classifier adds others.
-
-Places are found without Python: a pattern splits the text, and the lengths of parts and matches
-give the code points. Patterns are written so that a search takes linear time also in long runs of
-digits or letters: they start at the edge of a run or where the last match ended.
+Three sorts of labelers propose spans: patterns; gazetteers, which look for entries of tables (mail
+providers, dialling codes, card issuers) in forms that the patterns do not take; and contexts, which
+look at what follows cue words or is spelt out ("call 0171 ...", "name at host dot com"). For each span
+all labelers vote for, against, or not at all: the check of what proposed it, the tables, cue words in
+front of it, what it touches, and how varied its characters are. Only counts of vote patterns, a table
+bounded by the number of labelers and features, come to the driver. There expectation-maximisation
+estimates how reliable each labeler is, and a logistic span classifier is trained on the labels that
+follow. It goes back as an expression.
+
+Spans of the four base patterns that pass their check always stay; the classifier adds others.
+
+Places are found without Python: a pattern splits the text, and the lengths of parts and matches,
+added up in stretches of `STRETCH` matches, give the code points; so time grows in proportion to the
+matches of a text. Patterns are written so that a search takes linear time also in long runs of digits
+or letters: they start at the edge of a run or where the last match ended, or look a bounded way back.
 """
 
 from __future__ import annotations
@@ -23,6 +27,66 @@ from pyspark.sql import functions as F
 
 from siltworks.llm.common import stored
 
+#: Tables of the gazetteers.
+PROVIDERS = (
+    "gmail", "googlemail", "yahoo", "ymail", "outlook", "hotmail", "live", "msn", "icloud", "aol", "proton",
+    "protonmail", "zoho", "fastmail", "gmx", "web", "freenet", "posteo", "mailbox", "orange", "laposte", "free",
+    "wanadoo", "terra", "telefonica", "libero", "mail",
+)
+DOMAINS = (
+    "com", "org", "net", "edu", "gov", "info", "biz", "io", "de", "at", "ch", "fr", "es", "it", "pt", "nl", "be",
+    "uk", "eu", "ie", "pl", "se", "no", "dk", "us", "ca", "mx", "ar", "cl", "br", "au", "nz", "jp", "cn", "in",
+)
+DIALLING = (
+    "1", "7", "20", "27", "30", "31", "32", "33", "34", "36", "39", "40", "41", "43", "44", "45", "46", "47", "48",
+    "49", "51", "52", "53", "54", "55", "56", "57", "58", "60", "61", "62", "63", "64", "65", "66", "81", "82", "84",
+    "86", "90", "91", "92", "94", "98", "212", "213", "216", "234", "254", "351", "352", "353", "354", "358", "359",
+    "370", "371", "372", "380", "381", "385", "386", "420", "421", "593", "595", "598", "852", "886", "966", "971", "972",
+)
+ISSUERS = (
+    "4", "5[1-5]", "222[1-9]", "22[3-9]", "2[3-6]", "27[01]", "2720", "3[47]", "30[0-5]", "3[68]", "352[89]",
+    "35[3-8]", "6011", "64[4-9]", "65", "62", "50", "5[6-8]",
+)
+KEY_STARTS = ("AKIA", "ASIA", "ghp", "gho", "ghs", "glpat", "sk", "pk", "rk", "xox", "AIza", "eyJ", "SG")
+FIRST_NAMES = (
+    "james", "john", "robert", "michael", "william", "david", "richard", "thomas", "charles", "daniel", "mark",
+    "paul", "george", "peter", "kevin", "brian", "mary", "patricia", "jennifer", "linda", "elizabeth", "barbara",
+    "susan", "jessica", "sarah", "karen", "lisa", "nancy", "anna", "emma", "olivia", "alice", "jane", "kate", "hans",
+    "klaus", "jürgen", "wolfgang", "stefan", "andreas", "markus", "uwe", "sabine", "petra", "monika", "ursula",
+    "heike", "claudia", "jean", "pierre", "michel", "philippe", "alain", "jacques", "marie", "nathalie", "isabelle",
+    "sylvie", "catherine", "sophie", "jose", "juan", "antonio", "manuel", "francisco", "carlos", "jesus", "javier",
+    "miguel", "luis", "pedro", "maria", "carmen", "ana", "isabel", "dolores", "pilar", "teresa", "lucia", "elena",
+)
+#: Cue words in front of a span of a kind, and of what it is not.
+CUE_WORDS = {
+    "email": ("mail", "contact", "write", "kontakt", "correo", "courriel", "schreib"),
+    "ip": (r"\bip\b", "host", "server", "address", "adresse", "dirección"),
+    "card": ("card", "visa", "credit", "payment", "karte", "carte", "tarjeta"),
+    "phone": ("phone", r"\btel", "call", "fax", "mobile", "handy", "telefon", "móvil", "rufen", "llame", "appelez"),
+    "secret": (r"(?:password|passwd|pwd|token|secret|key)[\x20\"'=:]*$",),
+}
+AGAINST = r"(?i)(version|isbn|license|invoice|order|page|\bno\.|commit|sha)[\x20#:=]*$"
+_CALL = "call|phone|telephone|tel|fax|mobile|cell|handy|telefon|telefono|teléfono|móvil|mobil|rufen|llame|appelez|portable"
+_BETWEEN = "me|us|him|her|at|on|is|now|nr|no|sie|unter|al|au"
+_NAMED = "password|passwd|pwd|passwort|contraseña|token|secret|api_key|api-key|apikey"
+
+
+def _has(*words: str):
+    """Whether a text holds one of the words; a plain search, before a pattern is tried."""
+
+    def needed(t: Column, lower: Column) -> Column:
+        found = F.contains(lower, F.lit(words[0]))
+        for word in words[1:]:
+            found = found | F.contains(lower, F.lit(word))
+        return found
+
+    return needed
+
+
+def _any(words: tuple[str, ...]) -> str:
+    return "(?:" + "|".join(words) + ")"
+
+
 #: Kinds in the order of their listing, and their patterns. Possessive repeats and the
 #: edges in front change no match; they keep the search linear.
 PATTERNS = {
@@ -36,32 +100,73 @@ PATTERNS = {
 KINDS = tuple(PATTERNS)
 #: What a text must hold for a pattern to be tried at all.
 NEEDED = {
-    "email": lambda t: F.contains(t, F.lit("@")),
-    "ip": lambda t: t.rlike(r"[0-9]\.[0-9]"),
-    "card": lambda t: t.rlike(r"[0-9][\x20-]?[0-9]"),
-    "phone": lambda t: t.rlike(r"\+[0-9]"),
-    "secret": lambda t: t.rlike(r"[A-Za-z][0-9]|[0-9][A-Za-z]"),
+    "email": _has("@"),
+    "ip": lambda t, _: t.rlike(r"[0-9]\.[0-9]"),
+    "card": lambda t, _: t.rlike(r"[0-9][\x20-]?[0-9]"),
+    "phone": lambda t, _: t.rlike(r"\+[0-9]"),
+    "secret": lambda t, _: t.rlike(r"[A-Za-z][0-9]|[0-9][A-Za-z]"),
 }
-#: Gazetteers: what a span of a kind typically holds.
+_START = r"(?<![A-Za-z0-9._%+@-])[A-Za-z0-9._%+-]{1,64}+"
+_DOT = r"(?:\[\.\]|\(\.\)|\x20dot\x20)"
+#: Further proposals, by sort of labeler: (kind, pattern, what a text must hold). They are written so
+#: that none overlaps a span of the kind's own pattern.
+GAZETTEERS = (
+    (
+        "email",
+        rf"(?i){_START}(?:(?:\x20@\x20?|@\x20){_any(PROVIDERS)}(?:\.[a-z]{{2,10}}){{0,2}}(?![A-Za-z0-9@-])"
+        rf"|@{_any(PROVIDERS)}(?!\.?[A-Za-z0-9@-]))",
+        _has("@"),
+    ),
+    (
+        "phone",
+        rf"(?<![0-9+.(-])(?<!\+[0-9][\x20().0-9-]{{0,24}})00\x20?{_any(DIALLING)}[\x20().0-9-]{{6,18}}[0-9](?![0-9])",
+        lambda t, low: _has("00")(t, low) & t.rlike(r"00\x20?[0-9]"),
+    ),
+    (
+        "card",
+        rf"(?<![0-9.])(?={_any(ISSUERS)})[0-9]{{4}}([./_])[0-9]{{4}}\1[0-9]{{4}}\1[0-9]{{1,4}}(?![0-9])",
+        lambda t, _: t.rlike(r"[0-9]{4}[./_][0-9]{4}[./_]"),
+    ),
+)
+CONTEXTS = (
+    (
+        "email",
+        rf"(?i){_START}\x20?[\x20(\[{{]at[\x20)\]}}]\x20?[A-Za-z0-9-]{{1,63}}"
+        r"(?:\x20?[\x20(\[{]dot[\x20)\]}]\x20?[A-Za-z0-9-]{2,63}){1,4}+(?![A-Za-z0-9._%+-]{0,64}@)",
+        _has(" dot ", "(dot)", "[dot]", "{dot}"),
+    ),
+    (
+        "ip",
+        rf"(?<![0-9])[0-9]{{1,3}}(?:{_DOT}[0-9]{{1,3}}){{3}}(?![0-9])",
+        _has("[.]", "(.)", " dot "),
+    ),
+    (
+        "phone",
+        rf"(?=[(0-9])(?<=(?i)\b(?:{_CALL})\b[\x20.:#]{{1,3}}(?:(?:{_BETWEEN})[\x20.:#]{{1,2}})?(?:(?:{_BETWEEN})[\x20.:#]{{1,2}})?)"
+        r"\(?[0-9][\x20().0-9/-]{5,18}[0-9](?![0-9])",
+        lambda t, low: t.rlike(r"[0-9][\x20().0-9/-]{5,18}[0-9]") & _has(*_CALL.split("|"))(t, low),
+    ),
+    (
+        "secret",
+        rf"(?<=(?i)\b(?:{_NAMED})\x20{{0,2}}[=:]\x20{{0,2}}[\"']{{0,1}})(?![\x20=:\"'])(?![A-Za-z0-9]{{16}})[^\s\"',;<>]{{8,64}}",
+        _has(*_NAMED.split("|")),
+    ),
+)
+PATTERN, GAZETTEER, CONTEXT_CUE = range(3)
+#: What a span of a kind holds that is in a table.
 HOLDS = {
-    "email": r"(?i)\.(com|org|net|edu|gov|info|io|de|fr|es|uk|eu)$",
+    "email": rf"(?i)(\.|\bdot\b[)\]}}]?\x20?){_any(DOMAINS)}$|[@\x20]{_any(PROVIDERS)}\b|^{_any(FIRST_NAMES)}\b",
     "ip": r"^(?!0)(?!127\.)(?!255\.)",
-    "card": r"^(4|5[1-5]|2[2-7]|3[47]|6)",
-    "phone": r"^\+(1|7|[2-9][0-9])",
-    "secret": r"^(AKIA|ASIA|ghp|gho|sk|pk|xox|AIza|eyJ)|^[0-9a-f]+$",
+    "card": rf"^{_any(ISSUERS)}",
+    "phone": rf"^(\+|00\x20?){_any(DIALLING)}|^\(?0[1-9]",
+    "secret": rf"^{_any(KEY_STARTS)}|^[0-9a-f]+$",
 }
-#: Cue words in front of a span, for and against.
-CUES = {
-    "email": r"(?i)(mail|contact|write|kontakt|correo|courriel)",
-    "ip": r"(?i)(\bip\b|host|server|address|adresse)",
-    "card": r"(?i)(card|visa|credit|payment|karte|carte|tarjeta)",
-    "phone": r"(?i)(phone|\btel|call|fax|mobile|handy)",
-    "secret": r"(?i)(password|passwd|pwd|token|secret|key)[\x20\"'=:]*$",
-}
-AGAINST = r"(?i)(version|isbn|license|invoice|order|page|\bno\.|commit|sha)[\x20#:=]*$"
+CUES = {kind: "(?i)(" + "|".join(words) + ")" for kind, words in CUE_WORDS.items()}
 LABELERS = ("check", "holds", "cue", "edge", "variety")
-FEATURES = ("long", "digits", "split", "lower")
+FEATURES = ("long", "digits", "split", "lower", "gazetteer", "context")
 CONTEXT = 32
+#: Matches whose lengths are added up in one go.
+STRETCH = 256
 
 
 def _digits(value: Column) -> Column:
@@ -96,12 +201,29 @@ def _vote(yes: Column, no: Column) -> Column:
     return F.when(yes, 1).when(no, -1).otherwise(0).cast("tinyint")
 
 
-def _span(kind: str, start: Column, value: Column, before: Column, after: Column) -> Column:
-    valid = _valid(kind, value)
+def _check(kind: str, by: int, value: Column) -> Column:
+    """Vote of what proposed the span, on its content."""
+    if by == PATTERN:
+        valid = _valid(kind, value)
+        return _vote(valid, ~valid & F.lit(kind != "secret"))
+    digits = _digits(value)
+    if kind == "phone":
+        fits = F.length(digits).between(7, 13) if by == CONTEXT_CUE else F.length(digits).between(9, 15)
+    elif kind == "card":
+        fits = F.when(F.length(digits).between(12, 19), _luhn(digits)).otherwise(False)
+    elif kind == "ip":
+        fits = _valid("ip", F.regexp_replace(value, _DOT, "."))
+    else:
+        return F.lit(0).cast("tinyint")
+    return _vote(fits, ~fits)
+
+
+def _span(kind: str, by: int, start: Column, value: Column, before: Column, after: Column) -> Column:
+    valid = _valid(kind, value) if by == PATTERN else F.lit(False)
     touches = before.rlike(r"[A-Za-z0-9_]$") | after.rlike(r"^[A-Za-z0-9_]")
     varied = F.size(F.array_distinct(F.split(value, "")))
     votes = {
-        "check": _vote(valid, ~valid & F.lit(kind != "secret")),
+        "check": _check(kind, by, value),
         "holds": _vote(value.rlike(HOLDS[kind]), F.lit(False)),
         "cue": _vote(before.rlike(CUES[kind]), before.rlike(AGAINST)),
         "edge": _vote(~touches, touches),
@@ -112,6 +234,8 @@ def _span(kind: str, start: Column, value: Column, before: Column, after: Column
         "digits": F.length(_digits(value)) * 2 >= F.length(value),
         "split": value.rlike(r"[\x20().-]"),
         "lower": value.rlike("[a-z]"),
+        "gazetteer": F.lit(by == GAZETTEER),
+        "context": F.lit(by == CONTEXT_CUE),
     }
     return F.struct(
         start.alias("start"),
@@ -130,35 +254,79 @@ _SPAN = (
 )
 
 
-def _proposed(kind: str, text: Column) -> Column:
-    """All matches of a kind, leftmost first and not overlapping, as spans with votes and features."""
+def _starts(steps: Column) -> Column:
+    """Where each match starts, from the lengths (part, value) of matches and the text before each.
+
+    Lengths are added up by stretches, then the stretches, then within each from where it starts: an
+    array that grows is never longer than a stretch, or than the number of stretches.
+    """
+    step = lambda s: s["part"] + s["value"]
+    nothing = F.array().cast("array<int>")
+
+    def running(lengths: Column, first: Column, before, of) -> Column:
+        grown = F.aggregate(
+            lengths,
+            F.struct(first.alias("at"), nothing.alias("out")),
+            lambda so_far, x: F.struct(
+                (so_far["at"] + of(x)).alias("at"),
+                F.concat(so_far["out"], F.array(so_far["at"] + before(x))).alias("out"),
+            ),
+        )
+        return grown["out"]
+
+    def stretch(k: Column) -> Column:
+        return F.slice(steps, k * STRETCH + 1, STRETCH)
+
+    every = F.sequence(F.lit(0), F.floor((F.size(steps) - 1) / STRETCH).cast("int"))
+    sums = F.transform(every, lambda k: F.aggregate(stretch(k), F.lit(0), lambda total, s: total + step(s)))
+    firsts = F.array(running(sums, F.lit(0), lambda _: F.lit(0), lambda x: x))
+    placed = F.transform(
+        firsts,
+        lambda first: F.flatten(
+            F.transform(every, lambda k: running(stretch(k), F.get(first, k), lambda s: s["part"], step))
+        ),
+    )
+    return F.get(placed, 0)
+
+
+def _proposed(kind: str, by: int, pattern: str, needed: Column, text: Column) -> Column:
+    """All matches of a pattern, leftmost first and not overlapping, as spans with votes and features."""
     none = F.array().cast(_SPAN)
-    values = F.regexp_extract_all(text, F.lit(PATTERNS[kind]), F.lit(0))
-    parts = F.split(text, PATTERNS[kind], -1)
+    values = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.split(text, pattern, -1)
+
+    def once(*columns: Column) -> Column:
+        """One element, so that arrays are made once and then read by place."""
+        return F.array(F.struct(*columns))
 
     def spans(found: Column) -> Column:
-        def add(so_far: Column, i: Column) -> Column:
-            value, part = F.get(found["values"], i), F.get(found["parts"], i)
-            start = so_far["at"] + F.length(part)
-            span = _span(kind, start, value, F.right(part, F.lit(CONTEXT)), F.left(F.get(found["parts"], i + 1), F.lit(1)))
-            return F.struct(
-                (start + F.length(value)).alias("at"), F.concat(so_far["out"], F.array(span).cast(_SPAN)).alias("out")
-            )
+        steps = F.transform(
+            found["values"],
+            lambda v, i: F.struct(F.length(F.get(found["parts"], i)).alias("part"), F.length(v).alias("value")),
+        )
+        placed = F.transform(once(steps.alias("steps")), lambda s: F.struct(_starts(s["steps"]).alias("starts")))
+
+        def span(start: Column, i: Column) -> Column:
+            before, after = F.get(found["parts"], i), F.get(found["parts"], i + 1)
+            return _span(kind, by, start, F.get(found["values"], i), F.right(before, F.lit(CONTEXT)), F.left(after, F.lit(1)))
 
-        start = F.struct(F.lit(0).alias("at"), none.alias("out"))
-        every = F.sequence(F.lit(0), F.size(found["values"]) - 1)
-        return F.when(F.size(found["values"]) == 0, none).otherwise(F.aggregate(every, start, add)["out"])
+        every = F.get(F.transform(placed, lambda p: F.transform(p["starts"], span)), 0).cast(_SPAN)
+        return F.when(F.size(found["values"]) == 0, none).otherwise(every)
 
-    # One element, so that the arrays are made once and then read by place.
-    held = F.array(F.struct(values.alias("values"), parts.alias("parts")))
-    return F.when(NEEDED[kind](text), F.get(F.transform(held, spans), 0)).otherwise(none)
+    held = once(values.alias("values"), parts.alias("parts"))
+    return F.when(needed, F.get(F.transform(held, spans), 0)).otherwise(none)
 
 
 def proposed(docs: DataFrame, *, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(id, spans): for each row its spans of every kind, with votes and features. Null is empty."""
     text = F.coalesce(F.col(text_col), F.lit(""))
-    return docs.select(F.col(id_col).alias("id"), text.alias("text")).select(
-        "id", F.concat(*(_proposed(kind, F.col("text")) for kind in KINDS)).alias("spans")
+    ways = [(kind, PATTERN, pattern, NEEDED[kind]) for kind, pattern in PATTERNS.items()]
+    ways += [(kind, GAZETTEER, pattern, needed) for kind, pattern, needed in GAZETTEERS]
+    ways += [(kind, CONTEXT_CUE, pattern, needed) for kind, pattern, needed in CONTEXTS]
+    rows = docs.select(F.col(id_col).alias("id"), text.alias("text")).withColumn("lower", F.lower("text"))
+    t, low = F.col("text"), F.col("lower")
+    return rows.select(
+        "id", F.concat(*(_proposed(kind, by, pattern, needed(t, low), t) for kind, by, pattern, needed in ways)).alias("spans")
     )
 
 

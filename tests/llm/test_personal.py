@@ -1,6 +1,8 @@
 from __future__ import annotations
 
+import random
 import re
+import time
 
 import numpy as np
 from awkward_texts import awkward_texts
@@ -90,3 +92,87 @@ def test_secrets_are_added(spark):
     texts = {r.doc_id: r.text for r in docs.select("doc_id", "text").collect()}
     marked = {k for k, t in texts.items() if re.search(r"password=|token = |AKIA", t or "")}
     assert marked and marked <= {k for k, spans in added.items() if spans}
+
+
+SAID = [
+    ("please call 0171 234567 now", "phone", "0171 234567"),
+    ("Call me at (030) 1234 567.", "phone", "(030) 1234 567"),
+    ("dial 0049 30 1234567 today", "phone", "0049 30 1234567"),
+    ("mail john.smith at example dot com or", "email", "john.smith at example dot com"),
+    ("jane (at) host [dot] org.", "email", "jane (at) host [dot] org"),
+    ("mary @ gmail.com said", "email", "mary @ gmail.com"),
+    ("bob@yahoo and", "email", "bob@yahoo"),
+    ("card 4111.1111.1111.1111 is", "card", "4111.1111.1111.1111"),
+    ("host 10[.]0[.]20[.]1 is", "ip", "10[.]0[.]20[.]1"),
+    ("ip 192 dot 168 dot 2 dot 3 is", "ip", "192 dot 168 dot 2 dot 3"),
+    ("password: hunter22x! or", "secret", "hunter22x!"),
+]
+
+
+def test_tables_and_cue_words_propose(spark):
+    texts = [t for t, _, _ in SAID]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in personal.proposed(frame).collect():
+        found = {(personal.KINDS[s.kind], texts[r.id][s.start : s.end]) for s in r.spans if s.gazetteer or s.context}
+        assert SAID[r.id][1:] in found, texts[r.id]
+
+
+def test_proposals_leave_base_spans_alone(spark):
+    """No proposal overlaps a span of its kind's own pattern that passes."""
+    rng = random.Random(8)
+    bits = ["call", " ", "me", "0171 234567", "+1 0049 30 1234567", "a@b.cc", " at ", "host", " dot ", "com", "@", "gmail", "00", "49",
+            "4111.1111.1111.1111", "4111 1111 1111 1111", "1.2.3.4", "[.]", "(", ")", "token=", "x1y2z3w4", "-", ".", "tel: "]
+    texts = ["".join(rng.choices(bits, k=rng.randrange(1, 25))) for _ in range(1500)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in personal.proposed(frame).collect():
+        base = [s for s in r.spans if s.valid]
+        for s in (s for s in r.spans if s.gazetteer or s.context):
+            assert not any(b.kind == s.kind and b.start < s.end and s.start < b.end for b in base), (texts[r.id], s)
+
+
+def test_what_is_proposed_can_be_added(spark):
+    """A corpus in which cue words stand before good numbers: they are added, bare numbers are not."""
+    rng = random.Random(3)
+    rows = []
+    for k in range(600):
+        number = f"0{rng.randrange(100, 999)} {rng.randrange(10**5, 10**6)}"
+        plus = f"+49 {rng.randrange(100, 999)} {rng.randrange(10**6, 10**7)}"
+        rows.append((k, (f"please call {number} today", f"please call {plus} today", f"part {number} of it")[k % 3]))
+    found = personal.find(spark.createDataFrame(rows, "doc_id long, text string"))
+    kinds = {r.id: {personal.KINDS[s.kind] for s in r.spans} for r in found.collect()}
+    assert all("phone" in kinds[k] for k, _ in rows if k % 3 < 2)
+    assert not any("phone" in kinds[k] for k, _ in rows if k % 3 == 2)
+
+
+def test_places_of_many_matches(spark):
+    """Around the length of a stretch, and its square."""
+    size = personal.STRETCH
+    texts = [" ".join(f"é{k}@b.cc" for k in range(n)) for n in (1, size - 1, size, size + 1, 3 * size, size * size // 4 + 1)]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    for r in personal.find(frame).collect():
+        assert [(personal.KINDS[s.kind], s.start, s.end) for s in r.base] == plain(texts[r.id])
+
+
+def test_time_grows_with_the_matches(spark):
+    def seconds(n):
+        frame = spark.createDataFrame([(1, " ".join(f"a{i}@b.cc" for i in range(n)))], "doc_id long, text string")
+        start = time.perf_counter()
+        assert personal.proposed(frame).selectExpr("size(spans) >= 0").first()[0]
+        return time.perf_counter() - start
+
+    seconds(1000)
+    assert min(seconds(32_000) for _ in range(2)) <= 2.5 * max(0.3, max(seconds(16_000) for _ in range(2)))
+
+
+def test_probability_equals_numpy(spark):
+    rng = np.random.default_rng(4)
+    weights = rng.normal(size=len(personal.KINDS) + 2 * len(personal.LABELERS) + len(personal.FEATURES))
+    docs = spark.createDataFrame([(k, t) for k, (t, _, _) in enumerate(SAID)] + [(99, HARD[2])], "doc_id long, text string")
+    spans = personal.proposed(docs).selectExpr("explode(spans) AS span")
+    model = personal.Model(np.empty(0), np.empty(0), weights)
+    rows = spans.select("span", personal.probability(spans["span"], model).alias("p")).collect()
+    kinds = np.array([r.span.kind for r in rows])
+    votes = np.array([[r.span[x] for x in personal.LABELERS] for r in rows])
+    features = np.array([[r.span[x] for x in personal.FEATURES] for r in rows])
+    wanted = 1 / (1 + np.exp(-personal._inputs(kinds, votes, features) @ weights.round(9)))
+    assert len(rows) > 20 and np.allclose([r.p for r in rows], wanted)
