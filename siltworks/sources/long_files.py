@@ -41,6 +41,8 @@ from siltworks.sources.shared_files import first_text
 # Executors get the functions of this module by value, so they need no copy of the library.
 cloudpickle.register_pickle_by_value(sys.modules[__name__])
 
+# Blocks are read together while a task gets less than this.
+TASK_BYTES = 16 << 20
 CSV_OPTIONS = {"escape": '"', "multiLine": "true"}
 # A block: a stretch of a file, and the task that reads it.
 _BLOCK = ("file", "block", "length", "task")
@@ -316,7 +318,13 @@ def _records(spark: SparkSession, files: str | list[str], separator: str, blocks
     """
     rows, headers, unended, cut = _placed(blocks)
     places = F.broadcast(spark.createDataFrame(rows, _PLACES))
-    lines = _lines(spark, files, separator).join(places, list(_BLOCK), "left")
+    lines = _lines(spark, files, separator)
+    # Short blocks, as of many small files, are read several to a task, one after the other.
+    tasks, total = len({b.task for b in blocks}), sum(b.bytes for b in blocks)
+    wanted = max(spark.sparkContext.defaultParallelism, -(-total // TASK_BYTES))
+    if tasks > 2 * wanted:
+        lines = lines.coalesce(wanted)
+    lines = lines.join(places, list(_BLOCK), "left")
     moved = F.raise_error(F.lit("the files, or the blocks they are cut into, have changed: read again"))
     through = F.when(F.col("nth").isNull(), moved.cast("boolean")).otherwise(F.col("through"))
     ends_record = through | F.coalesce(F.col("at") <= F.col("head"), F.lit(False))
