@@ -184,10 +184,11 @@ def components(edges: DataFrame) -> DataFrame:
 
     Rounds of two steps: the larger neighbours of a node, then the smaller ones and itself, are tied
     to the smallest node that it knows. Edges never grow in number, and long chains are halved. Ends
-    when a round changes nothing, which is seen by counts and sums over the stored edges. The tables
-    of smallest nodes are stored, so that joins with them can be split at a node with many edges.
+    when a round changes nothing: where counts and sums over the stored edges have not changed, the
+    edges themselves are compared. The tables of smallest nodes are stored, so that joins with them
+    can be split at a node with many edges.
     """
-    before = None
+    before = earlier = None
     edges = stored(edges.select("a", "b"))
     while True:
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
@@ -205,9 +206,9 @@ def components(edges: DataFrame) -> DataFrame:
         now = edges.agg(
             F.count("*"), F.sum(F.pmod(F.xxhash64("a", "b"), F.lit(1_000_003))), F.sum(F.col("b") % 1_000_003)
         ).first()
-        if now == before:
+        if now == before and edges.join(earlier, ["a", "b"], "left_anti").isEmpty():
             break
-        before = now
+        before, earlier = now, edges
     return edges.select(F.col("a").alias("node"), F.col("b").alias("root"))
 
 
