@@ -27,6 +27,8 @@ _LETTER = re.compile(r"[^\W\d_]")
 _BLANKS = re.compile(r"\s+")
 RESULT = "lang string, score double"
 BATCH = 256
+#: N-grams that a matrix product takes at a time, and bytes of unpacked landmarks that are kept.
+COLUMNS, KEPT_BYTES = 1 << 14, 64 << 20
 
 
 def _points(text: str) -> np.ndarray:
@@ -58,10 +60,9 @@ class Grams:
 
     @classmethod
     def of(cls, texts: list[str]) -> Grams:
-        points = [_points(t) for t in texts]
-        characters = np.unique(np.concatenate(points)).astype(np.int64)
+        characters = np.unique(np.concatenate([np.unique(_points(t)) for t in texts])).astype(np.int64)
         empty = cls(characters, [np.empty(0, np.int64)] * len(LENGTHS))
-        seen = [empty.codes(p) for p in points]
+        seen = [[np.unique(c) for c in empty.codes(_points(t))] for t in texts]
         return cls(characters, [np.unique(np.concatenate(x)) for x in zip(*seen, strict=True)])
 
     @property
@@ -102,50 +103,82 @@ class Grams:
         return flags
 
 
-def fit(rows: list[tuple[str, str]], *, landmarks: int = 160, ridge: float = 1e-2, seed: int = 5) -> dict | None:
-    """What `predict` needs, of (text, language) rows; None without any."""
+class Landmarks:
+    """Presence of n-grams in the landmark texts, packed; kernels of other texts with them."""
+
+    def __init__(self, packed: np.ndarray, size: int):
+        self.packed, self.size = packed, size
+        self.counts = np.maximum(np.bitwise_count(packed).sum(axis=1, dtype=np.int64), 1)
+        self.blocks = None
+        if 4 * size * len(packed) <= KEPT_BYTES:
+            self.blocks = [self._unpacked(at) for at in range(0, size, COLUMNS)]
+
+    def _unpacked(self, at: int) -> np.ndarray:
+        width = min(COLUMNS, self.size - at)
+        bits = self.packed[:, at // 8 : (at + COLUMNS) // 8]
+        return np.unpackbits(bits, axis=1, count=width).astype(np.float32).T
+
+    def kernel(self, found: np.ndarray) -> np.ndarray:
+        """Of rows of presence, a block of n-grams at a time; sums of ones are exact."""
+        shared = np.zeros((len(found), len(self.packed)), dtype=np.float32)
+        for k, at in enumerate(range(0, self.size, COLUMNS)):
+            block = self.blocks[k] if self.blocks is not None else self._unpacked(at)
+            shared += found[:, at : at + COLUMNS].astype(np.float32) @ block
+        mine = np.maximum(found.sum(axis=1), 1)
+        return shared / np.sqrt(mine[:, None] * self.counts[None, :])
+
+
+def fit(
+    rows: list[tuple[str, str]], *, landmarks: int = 160, least: int = 4, ridge: float = 1e-2, seed: int = 5
+) -> dict | None:
+    """What `predict` needs, of (text, language) rows; None without any.
+
+    Landmarks are `landmarks` of the rows, an equal number of each language, and `least` of each at
+    least. In memory are, beside the texts, the packed presence of n-grams in landmarks and the
+    kernel of rows and landmarks; presence in rows is made for `BATCH` rows at a time.
+    """
     rows = [(t, lang) for t, lang in rows if _LETTER.search(t)]
     if not rows:
         return None
     rng = np.random.default_rng(seed)
     names = sorted({lang for _, lang in rows})
-    by_name = [[k for k, (_, lang) in enumerate(rows) if lang == name] for name in names]
-    each = max(1, landmarks // len(names))
+    by_name: list[list[int]] = [[] for _ in names]
+    place = {name: k for k, name in enumerate(names)}
+    for k, (_, lang) in enumerate(rows):
+        by_name[place[lang]].append(k)
+    each = max(least, landmarks // len(names))
     marks = [k for own in by_name for k in rng.permutation(own)[:each]]
     grams = Grams.of([rows[k][0] for k in marks])
-    found = np.array([grams.present(t) for t, _ in rows])
-    basis = found[marks].astype(np.float32)
-    kernel = _kernel(found, basis)
+    packed = np.array([np.packbits(grams.present(rows[k][0])) for k in marks])
+    basis = Landmarks(packed, grams.size)
+    parts = []
+    for at in range(0, len(rows), BATCH):
+        parts.append(basis.kernel(np.array([grams.present(t) for t, _ in rows[at : at + BATCH]])))
+    kernel = np.concatenate(parts)
     values, vectors = np.linalg.eigh(kernel[marks].astype(np.float64))
     good = values > 1e-8 * values.max()
     to = vectors[:, good] / np.sqrt(values[good])
     x = np.hstack([kernel @ to, np.ones((len(rows), 1))])
-    y = np.array([[lang == name for name in names] for _, lang in rows]) * 2.0 - 1
-    weight = np.array([len(rows) / len(names) / len(by_name[names.index(lang)]) for _, lang in rows])
+    own = np.array([place[lang] for _, lang in rows])
+    y = np.where(own[:, None] == np.arange(len(names)), 1.0, -1.0)
+    weight = len(rows) / len(names) / np.array([len(b) for b in by_name])[own]
     gram = (x * weight[:, None]).T @ x + ridge * np.eye(x.shape[1])
     solved = np.linalg.solve(gram, (x * weight[:, None]).T @ y)
     return {
         "names": names,
         "characters": grams.characters,
         "known": grams.known,
-        "basis": np.packbits(found[marks], axis=1),
+        "basis": packed,
         "answers": to @ solved[:-1],
         "bias": solved[-1],
     }
 
 
-def _kernel(found: np.ndarray, basis: np.ndarray) -> np.ndarray:
-    shared = found.astype(np.float32) @ basis.T
-    mine = np.maximum(found.sum(axis=1), 1)[:, None]
-    theirs = np.maximum(basis.sum(axis=1), 1)[None, :]
-    return shared / np.sqrt(mine * theirs)
-
-
 class Predictor:
     def __init__(self, model: dict):
         self.model = model
         self.grams = Grams(model["characters"], model["known"])
-        self.basis = np.unpackbits(model["basis"], axis=1, count=self.grams.size).astype(np.float32)
+        self.basis = Landmarks(model["basis"], self.grams.size)
 
     def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
         out: list[tuple[str, float]] = [(UNKNOWN, 0.0)] * len(texts)
@@ -153,7 +186,7 @@ class Predictor:
         for at in range(0, len(own), BATCH):
             some = own[at : at + BATCH]
             found = np.array([self.grams.present(texts[k]) for k in some])
-            answers = _kernel(found, self.basis) @ self.model["answers"] + self.model["bias"]
+            answers = self.basis.kernel(found) @ self.model["answers"] + self.model["bias"]
             best = answers.argmax(axis=1)
             odds = np.exp(4 * (answers - answers.max(axis=1, keepdims=True)))
             sure = odds.max(axis=1) / odds.sum(axis=1)
@@ -170,9 +203,11 @@ def train(
     lang_col: str = "lang",
     per_language: int = 400,
     max_bytes: int = 16_000_000,
+    max_rows: int = 4_000,
     **options,
 ) -> dict | None:
-    """Fit on at most `per_language` rows of each language and `max_bytes` of text, shared by them.
+    """Fit on at most `per_language` rows of each language, `max_rows` rows (or one of each language,
+    if these are more) and `max_bytes` of text, shared by them.
 
     Rows that are held out, or whose text or language is missing, are not learned from.
     """
@@ -182,6 +217,7 @@ def train(
         by=lang_col,
         per_group=per_language,
         max_bytes=max_bytes,
+        max_rows=max_rows,
         id_col=id_col,
         text_col=text_col,
     )

@@ -23,12 +23,15 @@ def bounded(
     by: str,
     per_group: int,
     max_bytes: int,
+    max_rows: int | None = None,
     id_col: str = "doc_id",
     text_col: str = "text",
     carried: tuple[str, ...] = (),
 ) -> list:
     """At most `per_group` rows for each value of `by`, and `max_bytes` of text in all.
 
+    With `max_rows`, values have an equal part of that many rows at most, and one at least.
+
     `by` is a column of `docs`, or of `marks` (id, by), which has one row per id. Rows are taken in
     the order of a hash of id and text, so the sample is the same on every run; equal texts count
     once. The choice is made on ids and sizes, so text is neither shuffled nor collected beyond it.
@@ -52,7 +55,10 @@ def bounded(
         .groupBy("by", "text_hash")
         .agg(F.min(F.struct(F.xxhash64("id", "text_hash").alias("order"), "id", "bytes")).alias("first"))
     )
-    share = max_bytes // max(1, texts.select("by").distinct().count())
+    groups = max(1, texts.select("by").distinct().count())
+    share = max_bytes // groups
+    if max_rows is not None:
+        per_group = max(1, min(per_group, max_rows // groups))
     size = F.col("first.bytes")
     fitting = small(
         stored(texts.groupBy(F.col("by").alias("of")).agg(F.count_if(size <= share).alias("n"), F.min(size).alias("least")))

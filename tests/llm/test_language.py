@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+import random
+import tracemalloc
 import zlib
 from collections import Counter
 
@@ -69,3 +71,85 @@ def test_held_out_accuracy(spark):
     found = language.identify(docs, language.train(docs)).collect()
     test = [r for r in found if zlib.crc32(str(r.doc_id).encode()) % 4 == 2]
     assert np.mean([r.language.lang == r.lang for r in test]) > 0.97
+
+
+def made_up(languages, rows, words):
+    """(text, language): each language has letters and words of its own."""
+    rng = random.Random(6)
+    out = []
+    for n in range(languages):
+        letters = [chr(0x61 + (n * 3 + k) % 26) for k in range(9)] + [chr(0x100 + 40 * n + k) for k in range(6)]
+        known = ["".join(rng.choices(letters, k=rng.randrange(2, 9))) for _ in range(300)]
+        out += [(" ".join(rng.choices(known, k=words)), f"l{n:03}") for _ in range(rows)]
+    return out
+
+
+def plain_fit(rows, marks, ridge):
+    """Kernel ridge regression on Nystroem features, by sets and the textbook."""
+
+    def grams(text):
+        text = f" {' '.join(text.lower().split())} "
+        return {text[i : i + n] for n in language.LENGTHS for i in range(len(text) - n + 1)}
+
+    known = set().union(*(grams(t) for t in marks))
+
+    def kernel(a, b):
+        a, b = grams(a) & known, grams(b)
+        return len(a & b) / np.sqrt(max(len(a), 1) * max(len(b), 1))
+
+    names = sorted({lang for _, lang in rows})
+    inner = np.array([[kernel(a, b) for b in marks] for a in marks])
+    values, vectors = np.linalg.eigh(inner)
+    to = vectors[:, values > 1e-8 * values.max()] / np.sqrt(values[values > 1e-8 * values.max()])
+
+    def features(text):
+        return np.append(np.array([kernel(text, m) for m in marks]) @ to, 1)
+
+    x = np.array([features(t) for t, _ in rows])
+    y = np.array([[1.0 if lang == n else -1.0 for n in names] for _, lang in rows])
+    w = np.array([len(rows) / len(names) / sum(o == lang for _, o in rows) for _, lang in rows])
+    solved = np.linalg.solve((x.T * w) @ x + ridge * np.eye(x.shape[1]), (x.T * w) @ y)
+
+    def predict(text):
+        answers = features(text) @ solved
+        odds = np.exp(4 * (answers - answers.max()))
+        return names[int(answers.argmax())], odds.max() / odds.sum()
+
+    return predict
+
+
+def test_prediction_equals_plain_kernel_ridge_regression(monkeypatch):
+    """Also when n-grams come in many blocks and landmarks are unpacked each time."""
+    rows = made_up(3, 14, 12) + made_up(2, 5, 3)
+    seen = []
+    of = language.Grams.of.__func__
+    monkeypatch.setattr(language.Grams, "of", classmethod(lambda cls, texts: seen.append(texts) or of(cls, texts)))
+    for columns, kept in ((1 << 14, 64 << 20), (64, 0)):
+        monkeypatch.setattr(language, "COLUMNS", columns)
+        monkeypatch.setattr(language, "KEPT_BYTES", kept)
+        model = language.fit(rows, landmarks=15, ridge=0.1)
+        plain = plain_fit(rows, seen[-1], 0.1)
+        asked = [t for t, _ in rows] + ["abc", "x", "zebra Ω", made_up(5, 1, 4)[3][0]]
+        for text, (name, score) in zip(asked, language.Predictor(model).predict(asked), strict=True):
+            wanted, sure = plain(text)
+            assert name == wanted and abs(score - sure) < 1e-4
+
+
+def test_many_languages_in_bounded_memory():
+    rows = made_up(40, 100, 120)
+    tracemalloc.start()
+    model = language.fit(rows)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 300 << 20 and len(model["basis"]) == 160
+    fresh = [rows[k * 100 + 7] for k in range(40)]
+    found = language.Predictor(model).predict([t[: len(t) // 2] for t, _ in fresh])
+    assert np.mean([name == lang for (name, _), (_, lang) in zip(found, fresh, strict=True)]) > 0.9
+
+
+def test_every_language_has_landmarks_and_rows(spark):
+    rows = made_up(60, 5, 10)
+    docs = spark.createDataFrame([(k, t, lang) for k, (t, lang) in enumerate(rows)], "doc_id long, text string, lang string")
+    model = language.train(docs, max_rows=100, landmarks=30)
+    learned = {lang for k, (_, lang) in enumerate(rows) if not held_out(k)}
+    assert model["names"] == sorted(learned) and len(learned) <= len(model["basis"]) <= 4 * len(learned)
