@@ -4,9 +4,13 @@ The model is interpolated modified Kneser-Ney over UTF-8 bytes, one for each lan
 the n-grams of all trusted text, and Spark adds the counts up. Lower orders, totals of contexts,
 discounts and probabilities come from grouped counts and joins by n-gram, sharded by key.
 
-For scoring, the joins are on the map side: tables are cut into shards by the byte before the one
-that is predicted, so that every byte of a text belongs to one shard, and the number of shards
-follows the measured size of the tables. Documents are read once for each shard; sums of shards add up.
+For scoring, n-grams of documents are joined with the tables. While the tables are small, measured by
+their rows, they are sent to all tasks. Beyond that both sides are sharded: documents are put into
+blocks, each of which asks for its different n-grams, and tables go to shards by the two bytes before
+the one that is predicted, and by a third where these two are frequent. Every shard then holds all
+that its n-grams need, and no more than a bounded number of rows. Answers go back to the blocks, where
+they are added up by document. Nothing of the tables passes through the driver there but counts by
+pairs of bytes, and documents are read once, however large the tables are.
 
 A document is kept if its perplexity lies between two quantiles, taken for each language over
 trusted documents that the model has not seen. Languages with few of those take limits from all
@@ -17,10 +21,13 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import zlib
+
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -198,28 +205,36 @@ class Shard:
         return total
 
 
-def _sum(sent, part: int, parts: int, order: int):
+def _names(langs: list[str | None], known: set[str]) -> np.ndarray:
+    """The model each row is scored by; others than those in `known` have none."""
+    names = np.array([NO_LANGUAGE if x is None else x for x in langs], dtype=object)
+    if POOLED in known:
+        names[[x not in known for x in names]] = POOLED
+    return names
+
+
+def _sums(names: np.ndarray, texts: list[str | None], known: set[str], logs_of, order: int) -> np.ndarray:
+    """Sums over each text of what `logs_of(language, different grams)` gives; NaN without a model."""
+    sums = np.full(len(texts), np.nan)
+    values = np.array([*texts, None], dtype=object)[:-1]
+    for lang in known:
+        rows = np.flatnonzero(names == lang)
+        sums[rows] = 0.0
+        for first, end, lengths, grams in _texts(list(values[rows]), order):
+            keys, where = np.unique(grams, return_inverse=True)
+            ends = np.cumsum(lengths)
+            running = np.concatenate([[0.0], np.cumsum(logs_of(lang, keys)[where])])
+            sums[rows[first:end]] += running[ends] - running[ends - lengths]
+    return sums
+
+
+def _sum(sent, order: int):
     def run(batches: Iterator[tuple[pa.Array, pa.Array]]) -> Iterator[pa.Array]:
         shard = Shard(sent.value, order)
         known = {lang for lang, _ in shard.held}
         for langs, texts in batches:
-            sums = np.full(len(texts), np.nan)
-            names = np.array([NO_LANGUAGE if x is None else x for x in langs.to_pylist()], dtype=object)
-            if POOLED in known:
-                names[[x not in known for x in names]] = POOLED
-            values = np.array(texts.to_pylist(), dtype=object)
-            for lang in known:
-                rows = np.flatnonzero(names == lang)
-                sums[rows] = 0.0
-                for first, end, lengths, grams in _texts(list(values[rows]), order):
-                    keys, where = np.unique(grams, return_inverse=True)
-                    logs = shard.logs(lang, keys)
-                    if parts > 1:
-                        logs[(keys >> 8 & 0xFF) % parts != part] = 0
-                    ends = np.cumsum(lengths)
-                    running = np.concatenate([[0.0], np.cumsum(logs[where])])
-                    sums[rows[first:end]] += running[ends] - running[ends - lengths]
-            yield pa.array(sums, pa.float64(), from_pandas=True)
+            names = _names(langs.to_pylist(), known)
+            yield pa.array(_sums(names, texts.to_pylist(), known, shard.logs, order), pa.float64(), from_pandas=True)
 
     run.__annotations__ = _iterator_types()
     return F.arrow_udf(run, T.DoubleType())
@@ -232,38 +247,256 @@ def _iterator_types() -> dict:
 def _held(rows: pa.Table) -> dict:
     rows = rows.sort_by([("lang", "ascending"), ("size", "ascending"), ("gram", "ascending")])
     langs, sizes = rows["lang"].to_pylist(), rows["size"].to_numpy()
-    columns = [rows[c].to_numpy() for c in ("gram", "seen", "back")]
+    columns = [rows["gram"].to_numpy(), *(rows[c].cast(pa.float64()).to_numpy() for c in ("seen", "back"))]
     out, start = {}, 0
     for k in range(1, len(langs) + 1):
         if k == len(langs) or (langs[k], sizes[k]) != (langs[start], sizes[start]):
-            out[langs[start], int(sizes[start])] = tuple(c[start:k] for c in columns)
+            # A gram and a context may come as two rows.
+            grams, seen, back = (c[start:k] for c in columns)
+            new = np.flatnonzero(np.append(True, np.diff(grams) != 0))
+            out[langs[start], int(sizes[start])] = grams[new], np.fmax.reduceat(seen, new), np.fmax.reduceat(back, new)
             start = k
     return out
 
 
+class Cells:
+    """Which shard n-grams belong to, by the two bytes before the last and, of frequent pairs of bytes,
+    by the byte before these and the language."""
+
+    def __init__(self, counts: dict[int, int], shard_rows: int):
+        self.first, self.parts = np.zeros(1 << 16, dtype=np.int64), np.ones(1 << 16, dtype=np.int64)
+        shard = held = 0
+        for pair, n in sorted(counts.items()):
+            if held and held + n > shard_rows:
+                shard, held = shard + 1, 0
+            self.first[pair], self.parts[pair] = shard, blocks(n, shard_rows)
+            shard, held = shard + int(self.parts[pair]) - 1, held + n
+        self.count = shard + 1
+        others = np.setdiff1d(np.arange(1 << 16), list(counts))
+        self.first[others] = others % self.count
+
+    def shards(self, lang: str, grams: np.ndarray) -> np.ndarray:
+        pair = grams >> 8 & 0xFFFF
+        return self.first[pair] + ((grams >> 24 & 0xFF) * 31 + zlib.crc32(lang.encode())) % self.parts[pair]
+
+    def table(self) -> list[tuple[int, int, int]]:
+        return list(zip(range(1 << 16), self.first.tolist(), self.parts.tolist(), strict=True))
+
+
+def _pair(seen: bool) -> Column:
+    """The two bytes before a predicted one, of grams and of contexts; null where one is not there."""
+    if seen:
+        return F.when(F.col("size") >= 3, F.shiftright("gram", 8).bitwiseAND(F.lit(0xFFFF)))
+    return F.when(F.col("size") >= 2, F.col("gram").bitwiseAND(F.lit(0xFFFF)))
+
+
+def sharded(model: DataFrame, shard_rows: int) -> tuple[Cells, DataFrame]:
+    """Which shard n-grams belong to, and the tables with their shard.
+
+    An entry goes to every shard where n-grams need it: one without two bytes before the predicted
+    one to all, one with no third byte to all of its pair. Of the former there are at most 65,793 for
+    a language, of the latter 256 for a language and a pair. Of n-grams and contexts of three bytes
+    before the predicted one, a shard has about `shard_rows`, or those with the same three if that is
+    more: at most 65,536 n-grams of five bytes for a language.
+    """
+    entries = [
+        model.where(F.col(value).isNotNull()).select(
+            "lang",
+            "size",
+            "gram",
+            *(F.col(c) if c == value else F.lit(None).cast("double").alias(c) for c in ("seen", "back")),
+            _pair(value == "seen").cast("int").alias("pair"),
+            F.when(
+                F.col("size") >= (4 if value == "seen" else 3),
+                F.shiftright("gram", 24 if value == "seen" else 16).bitwiseAND(F.lit(0xFF)),
+            ).alias("third"),
+        )
+        for value in ("seen", "back")
+    ]
+    both = entries[0].unionAll(entries[1])
+    counts = both.where("pair is not null").groupBy("pair").count().collect()  # at most 65,536
+    cells = Cells({r["pair"]: r["count"] for r in counts}, shard_rows)
+    places = model.sparkSession.createDataFrame(cells.table(), "at int, first long, parts long")
+    own = F.col("first") + (F.col("third") * 31 + F.crc32(F.encode("lang", "utf-8"))) % F.col("parts")
+    shards = (
+        F.when(F.col("pair").isNull(), F.sequence(F.lit(0).cast("long"), F.lit(cells.count - 1).cast("long")))
+        .when(F.col("third").isNull(), F.sequence(F.col("first"), F.col("first") + F.col("parts") - 1))
+        .otherwise(F.array(own))
+    )
+    placed = both.join(F.broadcast(places), F.col("pair") == F.col("at"), "left")
+    return cells, placed.select(F.explode(shards).alias("shard"), "lang", "size", "gram", "seen", "back")
+
+
+def _zip(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.compress(data, 3)
+
+
+def _unzip(data: bytes) -> bytes:
+    import zstandard
+
+    return zstandard.decompress(data)
+
+
+def _told(grams: np.ndarray) -> bytes:
+    """Sorted grams as their differences, which compress well."""
+    return _zip(np.diff(grams, prepend=0).tobytes())
+
+
+def _heard(data: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(_unzip(data), np.int64))
+
+
+ASKED = "block long, blob binary, shard long, lang string, grams binary, n long"
+
+
+def _ask(sent, order: int, block_bytes: int):
+    """For each block of rows (row, lang, text) one row with the packed rows, and one for each shard and
+    language with the different n-grams that it holds."""
+    schema = pa.schema(
+        [("block", pa.int64()), ("blob", pa.binary()), ("shard", pa.int64()), ("lang", pa.string()), ("grams", pa.binary()), ("n", pa.int64())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, known = sent.value
+        count = 0
+
+        def block(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts)
+            sink = pa.BufferOutputStream()
+            with pa.ipc.new_stream(sink, table.schema) as writer:
+                writer.write_table(table)
+            number = (TaskContext.get().partitionId() << 32) + count
+            rows = [{"block": number, "blob": _zip(sink.getvalue().to_pybytes())}]
+            names = _names(table["lang"].to_pylist(), known)
+            texts = np.array([*table["text"].to_pylist(), None], dtype=object)[:-1]
+            for lang in sorted(known & set(names)):
+                found = [np.empty(0, np.int64)]
+                for _, _, _, grams in _texts(list(texts[names == lang]), order):
+                    found.append(np.unique(grams))
+                grams = np.unique(np.concatenate(found))
+                if not len(grams):
+                    continue
+                shards = cells.shards(lang, grams)
+                by_shard = np.argsort(shards, kind="stable")
+                every, starts = np.unique(shards[by_shard], return_index=True)
+                for shard, own in zip(every.tolist(), np.split(grams[by_shard], starts[1:]), strict=True):
+                    rows.append({"block": number, "shard": shard, "lang": lang, "grams": _told(own), "n": len(own)})
+            return pa.RecordBatch.from_pylist(rows, schema)
+
+        held, size = [], 0
+        for batch in batches:
+            for at in range(0, batch.num_rows, 64):
+                held.append(batch.slice(at, 64))
+                size += pc.sum(pc.binary_length(held[-1].column(2))).as_py() or 0
+                if size >= block_bytes:
+                    yield block(held)
+                    held, size, count = [], 0, count + 1
+        if held:
+            yield block(held)
+
+    return run
+
+
+def _answer(order: int):
+    def run(asked: pa.Table, model: pa.Table) -> pa.Table:
+        shard = Shard(_held(model), order)
+        rows = [
+            {"block": r["block"], "lang": r["lang"], "grams": r["grams"], "logs": _zip(shard.logs(r["lang"], _heard(r["grams"])).tobytes())}
+            for r in asked.select(["block", "lang", "grams"]).to_pylist()
+        ]
+        kinds = [("block", pa.int64()), ("lang", pa.string()), ("grams", pa.binary()), ("logs", pa.binary())]
+        return pa.Table.from_pylist(rows, pa.schema(kinds))
+
+    return run
+
+
+def _add_up(sent, order: int):
+    """The rows of a block, each with the sum over its text."""
+
+    def run(group: pa.Table) -> pa.Table:
+        known = sent.value[1]
+        blob, by_lang = None, {}
+        for row in group.to_pylist():
+            if row["blob"] is not None:
+                blob = row["blob"]
+            else:
+                logs = np.frombuffer(_unzip(row["logs"]), np.float64)
+                by_lang.setdefault(row["lang"], []).append((_heard(row["grams"]), logs))
+        answers = {}
+        for lang, parts in by_lang.items():
+            grams, logs = (np.concatenate(x) for x in zip(*parts, strict=True))
+            by_gram = np.argsort(grams)
+            answers[lang] = grams[by_gram], logs[by_gram]
+
+        def logs_of(lang, keys):
+            if not len(keys):
+                return np.empty(0)
+            grams, logs = answers[lang]
+            return logs[np.searchsorted(grams, keys)]
+
+        table = pa.ipc.open_stream(_unzip(blob)).read_all()
+        names = _names(table["lang"].to_pylist(), known)
+        sums = _sums(names, table["text"].to_pylist(), known, logs_of, order)
+        return pa.table({"row": table["row"], "logs": pa.array(sums, pa.float64(), from_pandas=True)})
+
+    return run
+
+
+def _joined(
+    docs: DataFrame, model: DataFrame, text_col: str, lang_col: str, order: int, shard_rows: int,
+    block_bytes: int, asked_grams: int,
+) -> DataFrame:
+    """(row, logs) by a sharded join of the n-grams of blocks with a stored model."""
+    spark = docs.sparkSession
+    known = {r["lang"] for r in model.select("lang").distinct().collect()}
+    cells, entries = sharded(model, shard_rows)
+    sent = spark.sparkContext.broadcast((cells, known))
+    row = F.col("row")
+    rows = whole(docs).select("row", row[lang_col].alias("lang"), row[text_col].alias("text"))
+    asked = stored(rows.mapInArrow(_ask(sent, order, block_bytes), ASKED))
+    # Where many blocks ask, their questions to a shard are dealt to several copies of it.
+    total = asked.agg(F.sum("n").alias("n")).first()["n"] or 0
+    copies = blocks(total, cells.count * asked_grams)
+    questions = asked.where("shard is not null").withColumn("copy", F.pmod("block", F.lit(copies)))
+    tables_ = entries.withColumn("copy", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(copies - 1).cast("long"))))
+    answered = (
+        questions.groupBy("shard", "copy")
+        .cogroup(tables_.groupBy("shard", "copy"))
+        .applyInArrow(_answer(order), "block long, lang string, grams binary, logs binary")
+    )
+    nothing = [F.lit(None).cast("string").alias("lang"), *(F.lit(None).cast("binary").alias(c) for c in ("grams", "logs"))]
+    both = asked.where("blob is not null").select("block", "blob", *nothing).unionAll(
+        answered.select("block", F.lit(None).cast("binary"), "lang", "grams", "logs")
+    )
+    schema = T.StructType([T.StructField("row", docs.schema), T.StructField("logs", T.DoubleType())])
+    return both.groupBy("block").applyInArrow(_add_up(sent, order), schema)
+
+
 def log_likelihoods(
-    docs: DataFrame, model: DataFrame, *, text_col: str = "text", lang_col: str = "lang", order: int = ORDER, shard_rows: int = 2_000_000
+    docs: DataFrame,
+    model: DataFrame,
+    *,
+    text_col: str = "text",
+    lang_col: str = "lang",
+    order: int = ORDER,
+    shard_rows: int = 2_000_000,
+    block_bytes: int = 16_000_000,
+    asked_grams: int = 10_000_000,
 ) -> DataFrame:
     """(row, logs): each row and the log probability of its text.
 
     Languages without a model take that of all trusted text, if `model` has it; else it is null.
+    Models of up to `shard_rows` rows are sent to all tasks; larger ones are joined in shards of that
+    size with the n-grams of blocks of `block_bytes` of text. Results are the same.
     """
     model = stored(model)
-    # Grams are sharded by the byte before their last, contexts by their last; short ones go everywhere.
-    before = F.when(F.col("size") <= 1, None).otherwise(F.shiftright("gram", 8).bitwiseAND(F.lit(0xFF)))
-    last = F.when(F.col("size") < 1, None).otherwise(F.col("gram").bitwiseAND(F.lit(0xFF)))
-    parts = min(256, blocks(model.count(), shard_rows))
-    scored = whole(docs).withColumn("logs", F.lit(0.0))
-    for part in range(parts):
-        as_gram = before.isNull() | (before % parts == part)
-        as_context = last.isNull() | (last % parts == part)
-        mine = model.where((F.col("seen").isNotNull() & as_gram) | (F.col("back").isNotNull() & as_context))
-        sent = docs.sparkSession.sparkContext.broadcast(_held(mine.toArrow()))
-        more = _sum(sent, part, parts, order)(F.col("row")[lang_col], F.col("row")[text_col])
-        scored = scored.withColumn("logs", F.col("logs") + more)
-        if parts > 1:
-            scored = stored(scored)
-    return scored
+    if model.count() > shard_rows:
+        return _joined(docs, model, text_col, lang_col, order, shard_rows, block_bytes, asked_grams)
+    sent = docs.sparkSession.sparkContext.broadcast(_held(model.toArrow()))
+    logs = _sum(sent, order)(F.col("row")[lang_col], F.col("row")[text_col])
+    return whole(docs).withColumn("logs", logs)
 
 
 def trusted(labels: DataFrame, *, id_col: str = "doc_id", label_col: str = "quality") -> DataFrame:

@@ -1,8 +1,10 @@
 from __future__ import annotations
 
+import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow.compute as pc
 import pytest
 from awkward_texts import awkward_texts
 from siltworks.llm import perplexity
@@ -75,6 +77,88 @@ def test_other_languages_take_the_pooled_model(spark):
             assert r.logs == pytest.approx(plain.logs(r.row.text), abs=1e-9)
 
 
+def joined(spark, docs, model, **how):
+    return {r.row.k: (r.row, r.logs) for r in perplexity.log_likelihoods(docs, model, **how).collect()}
+
+
+def test_many_shards_equal_one(spark):
+    """A frequent pair of bytes, blocks of a few rows, several copies of each shard."""
+    rng = np.random.default_rng(3)
+    words = ["".join(rng.choice(list("abcdé "), size=rng.integers(1, 9))) for _ in range(120)]
+    texts = [" ".join(rng.choice(words, size=rng.integers(0, 60))) for _ in range(160)]
+    train = [("en" if k % 3 else "de", t) for k, t in enumerate(texts[:60])]
+    train += [(perplexity.POOLED, t) for _, t in train]
+    model = perplexity.tables(perplexity.counted(spark.createDataFrame(train, "lang string, text string"))).cache()
+    rows = [(k, ("en", "de", None, "xx")[k % 4], None if k % 31 == 0 else t, str(k)) for k, t in enumerate(texts)]
+    rows += [(900, "en", "x" * 5000, "long"), (901, "en", "", "none"), (902, "de", "\0\0a", "zero")]
+    docs = spark.createDataFrame(rows, "k int, lang string, text string, shard string").repartition(3)
+    one = joined(spark, docs, model)
+    cells, entries = perplexity.sharded(model, 300)
+    assert cells.count >= 8 and cells.parts.max() > 1
+    assert entries.groupBy("shard").count().agg({"count": "max"}).first()[0] < model.count() / 2
+    many = joined(spark, docs, model, shard_rows=300, block_bytes=2_000, asked_grams=400)
+    assert many.keys() == one.keys() and len(one) == len(rows)
+    for k, (row, logs) in one.items():
+        assert many[k][0] == row and many[k][1] == pytest.approx(logs, abs=1e-9)
+
+
+def test_shards_hold_what_their_grams_need(spark):
+    """Each n-gram's probability from its shard alone is that from the whole model."""
+    texts = ["the cat sat on the mat", "that hat, the other hat", "a theatre at the other end"] * 2
+    model = perplexity.tables(perplexity.counted(spark.createDataFrame([("a", t) for t in texts], "lang string, text string"))).cache()
+    cells, entries = perplexity.sharded(model, 25)
+    rows = entries.toArrow()
+    everything = perplexity.Shard(perplexity._held(model.toArrow()), perplexity.ORDER)
+    data = np.frombuffer(b"\0\0\0\0the hat of that other cat zz" + bytes(range(256)), np.uint8)
+    grams = np.unique(perplexity._grams(data, 5)[4:])
+    shards = cells.shards("a", grams)
+    assert len(set(shards.tolist())) >= 4 and cells.parts.max() > 1
+    for shard in set(shards.tolist()):
+        own = perplexity.Shard(perplexity._held(rows.filter(pc.equal(rows["shard"], shard))), perplexity.ORDER)
+        asked = grams[shards == shard]
+        assert own.logs("a", asked) == pytest.approx(everything.logs("a", asked), abs=1e-12)
+
+
+def test_larger_models_do_not_come_to_the_driver(spark, monkeypatch):
+    model = perplexity.tables(perplexity.counted(spark.createDataFrame([("a", "some text " * 9)], "lang string, text string")))
+    docs = spark.createDataFrame([(1, "a", "text")], "k int, lang string, text string")
+    monkeypatch.setattr(type(docs), "toArrow", lambda *_: pytest.fail("the model is gathered"))
+    assert joined(spark, docs, model, shard_rows=5)[1][1] < 0
+
+
+def plain_quantile(values, share):
+    """As the approximate one of few values: the smallest with that share at or below it."""
+    values = sorted(values)
+    return values[max(0, int(np.ceil(share * len(values))) - 1)]
+
+
+@pytest.mark.parametrize("shard_rows", [2_000_000, 20_000])
+def test_limits_and_keep_equal_plain(spark, shard_rows, monkeypatch):
+    """Perplexities by the textbook model, limits of each language, and what lies between them."""
+    rng = np.random.default_rng(11)
+    words = {"en": ["the", "cat", "sat", "on", "mat", "dog"], "de": ["die", "Katze", "saß", "auf", "der", "Matte"]}
+    rows = [(k, lang := ("en", "de")[k % 2], " ".join(rng.choice(words[lang], size=rng.integers(3, 12)))) for k in range(400)]
+    rows += [(1000 + k, "en", "".join(rng.choice(list("qxzjk"), size=30))) for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id long, lang string, text string")
+    labels = spark.createDataFrame([(k, 1) for k in range(300)], "doc_id long, quality int")
+    score = perplexity.log_likelihoods
+    monkeypatch.setattr(perplexity, "log_likelihoods", lambda *a, **how: score(*a, **how, shard_rows=shard_rows))
+    found = {r.doc_id: r.quality for r in perplexity.judge(docs, labels, low=0.05, high=0.9).collect()}
+
+    unseen = {k for k in range(300) if zlib.crc32(str(k).encode()) % 4 == 2}
+    plain = {lang: Plain([t for k, o, t in rows if o == lang and k < 300 and k not in unseen], perplexity.ORDER) for lang in words}
+    wanted = {k: np.exp(-plain[lang].logs(t) / len(t.encode())) for k, lang, t in rows}
+    for lang in words:
+        own = [wanted[k] for k, o, _ in rows if o == lang and k in unseen]
+        assert len(own) >= 20
+        ends = [plain_quantile(own, share) for share in (0.05, 0.9)]
+        for k in (k for k, o, _ in rows if o == lang):
+            q = found[k]
+            assert q.perplexity == pytest.approx(wanted[k], rel=1e-9)
+            assert [q.low, q.high] == pytest.approx(ends, rel=1e-9)
+            assert q.keep == (ends[0] * (1 - 1e-12) <= wanted[k] <= ends[1] * (1 + 1e-12)) or min(abs(wanted[k] - e) for e in ends) < 1e-9
+
+
 def test_probabilities_sum_to_one(spark):
     frame = spark.createDataFrame([("a", "abracadabra abba"), ("a", "cab")], "lang string, text string")
     held = perplexity._held(perplexity.tables(perplexity.counted(frame)).toArrow())
