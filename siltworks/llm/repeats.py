@@ -6,15 +6,21 @@ at the same place. Whatever happens to strings then happens anchor by anchor, an
 to shards by their hash.
 
 1. Texts are packed in compressed blocks. Each block tells the shards its different anchors, four
-   bytes each, and shards answer which of them come in more than one document or block.
-2. For those, each block sends the bytes around, once for equal surroundings. A shard takes them in
-   the order of documents, in batches. A batch gets its suffix array, which is merge-scanned against
-   the levels so far for strings that an earlier document holds; what is new becomes a level, and
-   levels of equal size are merged into one of twice the size. Matches are checked byte by byte.
-3. The answers go back to the blocks, which mark and cut the bytes covered.
-
-Blocks and shards are bounded in size and follow the data. A passage that a third of all documents
-hold is one record for each block, not one for each document.
+   bytes each, and how often each comes; shards answer which of them come in more than one document
+   or block, and which are frequent.
+2. For those that are not frequent, each block sends the bytes around, once for equal surroundings. A
+   shard takes them in the order of documents, in batches. A batch gets its suffix array: the suffixes
+   of its surroundings in byte order. It is merge-scanned against the levels so far, each of them the
+   sorted suffixes of earlier documents, and neighbours with a common prefix of `length` bytes are
+   matches. What is new becomes a level, and levels of equal size are merged into one of twice the size.
+3. A frequent anchor, say of a phrase or at the edges of a passage that a third of all documents hold,
+   has other bytes around it in each document, so its surroundings are not gathered in one shard. Its
+   strings are dealt to shards each by itself, by a 128-bit hash, and each block sends an equal one
+   once, with the smallest id. So no shard's share grows with the documents of one passage.
+4. The answers go back to the blocks, which mark and cut the bytes covered.
+
+Blocks and shards are bounded in size and follow the data: a shard of surroundings has about
+`shard_records` and at most `frequent` more, one of strings has as many as their hashes deal to it.
 """
 
 from __future__ import annotations
@@ -32,7 +38,7 @@ from siltworks.llm.common import blocks, stored, text_bytes
 
 #: Stands for a missing id: after all others.
 LAST = np.iinfo(np.int64).max
-BASE, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xD6E8FEB86659FD93)
+BASE, OTHER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 CHUNK = 1 << 18
 #: Of compression: what is sent counts three times as disk.
 LEVEL = 6
@@ -137,19 +143,44 @@ class Block:
     def owners(self, places: np.ndarray) -> np.ndarray:
         return self.ids[np.searchsorted(self.ends, places, side="right")]
 
-    def records(self, repeated: dict[int, bytes]):
-        """Of repeated anchors (bits by shard): (records, hash and smallest id of each different one;
-        place, first and last start, owner and record of each anchor)."""
-        shape = self.shape
-        place, first, last, hashes = self.anchors()
-        own = np.zeros(len(hashes), dtype=bool)
-        if repeated:
-            keys = _Keys(hashes, int(repeated[-1]))
+    def repeated(self, known: dict[int, tuple[bytes, bytes]], shards: int):
+        """(place, first and last start, hash) of the repeated anchors, not frequent and frequent ones
+        apart, by the bits for either that shards have answered."""
+        every = self.anchors()
+        own = np.zeros((2, len(every[0])), dtype=bool)
+        if known:
+            keys = _Keys(every[3], shards)
             for shard, rows in keys.parts():
-                if shard in repeated:
-                    bits = np.frombuffer(repeated[shard], np.uint8)
-                    own[rows] = np.unpackbits(bits, count=len(keys.starts(rows))).view(bool)[keys.nth(rows)]
-        place, first, last, hashes = place[own], first[own], last[own], hashes[own]
+                if shard in known:
+                    nth, count = keys.nth(rows), len(keys.starts(rows))
+                    for k, data in enumerate(known[shard]):
+                        own[k, rows] = np.unpackbits(np.frombuffer(data, np.uint8), count=count).view(bool)[nth]
+        return [tuple(x[of] for x in every) for of in (own[0] & ~own[1], own[1])]
+
+    def strings(self, first: np.ndarray, last: np.ndarray):
+        """Of all strings of frequent anchors: (two hashes and smallest id of each different one; start,
+        owner and string of each)."""
+        counts = last - first + 1
+        starts = np.repeat(first - np.cumsum(counts) + counts, counts) + np.arange(counts.sum())
+        owner = self.owners(starts)
+        hashes = np.empty((2, len(starts)), dtype=np.uint64)
+        if len(starts):
+            windows = np.lib.stride_tricks.sliding_window_view(self.data, self.shape.length)
+            for at in range(0, len(starts), 16_384):
+                some = windows[starts[at : at + 16_384]]
+                for k, base in enumerate((BASE, OTHER)):
+                    hashes[k, at : at + len(some)] = _hashes(some, self.shape.length, base)[:, 0]
+        order = np.lexsort((owner, hashes[1], hashes[0]))
+        new = np.append(True, (np.diff(hashes[:, order]) != 0).any(axis=0))[: len(order)]
+        kind = np.empty(len(order), np.int64)
+        kind[order] = np.cumsum(new) - 1
+        lead = order[new]
+        return hashes[:, lead], owner[lead], starts, owner, kind
+
+    def records(self, place: np.ndarray, first: np.ndarray, last: np.ndarray, hashes: np.ndarray):
+        """Of anchors: (records, hash and smallest id of each different one; owner and record of each
+        anchor)."""
+        shape = self.shape
         owner = self.owners(place)
         # Bytes around, zero where no string of this anchor reaches, and the span of string starts.
         padded = np.concatenate([np.zeros(shape.left, np.uint8), self.data, np.zeros(shape.length, np.uint8)])
@@ -171,7 +202,7 @@ class Block:
         kind = np.empty(len(order), np.int64)
         kind[order] = np.cumsum(new) - 1
         lead = order[new]
-        return around[lead], hashes[lead], owner[lead], place, first, last, owner, kind
+        return around[lead], hashes[lead], owner[lead], owner, kind
 
 
 def _pack(block_bytes: int):
@@ -239,7 +270,9 @@ class _Keys:
         return np.repeat(np.arange(len(starts)), np.diff(np.append(starts, len(rows))))
 
 
-ASKED = "shard int, block long, numbers binary, many binary"
+ASKED = "shard int, block long, numbers binary, many binary, counts binary"
+#: A block tells of more occurrences of an anchor as this many.
+MOST = 255
 
 
 def _ask(shape: Shape, shards: int):
@@ -250,73 +283,106 @@ def _ask(shape: Shape, shards: int):
                 own = Block(row["blob"], shape)
                 place, _, _, hashes = own.anchors()
                 owner, keys = own.owners(place), _Keys(hashes, shards)
-                out: list[list] = [[], [], [], []]
+                out: list[list] = [[], [], [], [], []]
                 for shard, rows in keys.parts():
                     starts = keys.starts(rows)
+                    counts = np.minimum(np.diff(np.append(starts, len(rows))), MOST).astype(np.uint8)
                     # In more than one document of this block?
                     many = np.minimum.reduceat(owner[rows], starts) < np.maximum.reduceat(owner[rows], starts)
                     numbers = keys.number[rows][starts].tobytes()
-                    for column, value in zip(out, (shard, row["block"], numbers, np.packbits(many).tobytes()), strict=True):
+                    values = (shard, row["block"], numbers, np.packbits(many).tobytes(), counts.tobytes())
+                    for column, value in zip(out, values, strict=True):
                         column.append(value)
-                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary())
+                kinds = (pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary())
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)], ["shard", "block", "numbers", "many"]
+                    [pa.array(c, kind) for c, kind in zip(out, kinds, strict=True)],
+                    ["shard", "block", "numbers", "many", "counts"],
                 )
 
     return run
 
 
-def _answer(table: pa.Table) -> pa.Table:
-    """Which of each block's anchors are in more than one document, or block, as bits."""
-    rows = table.to_pylist()
-    numbers = [np.frombuffer(r["numbers"], np.uint32) for r in rows]
-    many = [np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(n)) for r, n in zip(rows, numbers, strict=True)]
-    every, where, counts = np.unique(np.concatenate(numbers), return_inverse=True, return_counts=True)
-    repeated = counts > 1
-    repeated[where[np.concatenate(many) > 0]] = True
-    found = np.split(repeated[where], np.cumsum([len(n) for n in numbers])[:-1])
-    return pa.table(
-        {
-            "block": pa.array([r["block"] for r in rows], pa.int64()),
-            "shard": pa.array([r["shard"] for r in rows], pa.int32()),
-            "repeated": pa.array([np.packbits(x).tobytes() for x in found], pa.binary()),
-            "n": pa.array([int(x.sum()) for x in found], pa.int64()),
-        }
-    )
+KNOWN = "block long, shard int, repeated binary, frequent binary, n long, n_frequent long"
 
 
-SENT = "shard int, block long, around binary, low binary"
+def _answer(frequent: int):
+    """Which of each block's anchors are in more than one document, or block, and which of these are
+    frequent, as bits; and how often either come in the block."""
 
+    def run(table: pa.Table) -> pa.Table:
+        rows = table.to_pylist()
+        numbers = [np.frombuffer(r["numbers"], np.uint32) for r in rows]
+        many = [np.unpackbits(np.frombuffer(r["many"], np.uint8), count=len(n)) for r, n in zip(rows, numbers, strict=True)]
+        times = np.concatenate([np.frombuffer(r["counts"], np.uint8) for r in rows]).astype(np.int64)
+        _, where, counts = np.unique(np.concatenate(numbers), return_inverse=True, return_counts=True)
+        repeated = counts > 1
+        repeated[where[np.concatenate(many) > 0]] = True
+        often = repeated & (np.bincount(where, times) > frequent)
+        ends = np.cumsum([len(n) for n in numbers])[:-1]
+        found, hot, times = (np.split(x, ends) for x in (repeated[where], often[where], times))
+        bits = [[pa.array([np.packbits(x).tobytes() for x in of], pa.binary())] for of in (found, hot)]
+        return pa.table(
+            {
+                "block": pa.array([r["block"] for r in rows], pa.int64()),
+                "shard": pa.array([r["shard"] for r in rows], pa.int32()),
+                "repeated": bits[0][0],
+                "frequent": bits[1][0],
+                "n": pa.array([int(t[x & ~h].sum()) for t, x, h in zip(times, found, hot, strict=True)], pa.int64()),
+                "n_frequent": pa.array([int(t[h].sum()) for t, h in zip(times, hot, strict=True)], pa.int64()),
+            }
+        )
 
-def _gathered(table: pa.Table, first: int) -> tuple[bytes, dict[int, bytes], dict[int, bytes]]:
-    """Of a block's rows: its blob, which anchors are repeated, and answers, both by shard.
+    return run
 
-    Where anything is repeated, the number of the first shards stands at -1.
-    """
-    blob, repeated, answers = b"", {}, {}
+
+SENT = "shard int, block long, around binary, low binary"
+
+
+def _gathered(table: pa.Table) -> tuple[bytes, dict[int, tuple[bytes, bytes]], dict[int, bytes]]:
+    """Of a block's rows: its blob, which anchors are repeated and frequent, and answers, by shard."""
+    blob, known, answers = b"", {}, {}
     for k in range(table.num_rows):
         row = table.slice(k, 1).to_pylist()[0]
         if row["blob"] is not None:
             blob = row["blob"]
         elif row["repeated"] is not None:
-            repeated[row["shard"]] = row["repeated"]
-            repeated[-1] = first
+            known[row["shard"]] = row["repeated"], row["frequent"]
         else:
             answers[row["shard"]] = row["answers"]
-    return blob, repeated, answers
+    return blob, known, answers
+
+
+@dataclass(frozen=True)
+class Shards:
+    """Numbers of shards: of anchors, of surroundings, and of strings, which are counted on from there."""
+
+    anchors: int
+    records: int
+    strings: int
 
+    def of_records(self, hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        return _dealt(_second(hashes, self.records), self.records)
 
-def _send(shape: Shape, first: int, shards: int):
+    def of_strings(self, hashes: np.ndarray) -> Iterator[tuple[int, np.ndarray]]:
+        for shard, rows in _dealt((hashes[0] % np.uint64(self.strings)).astype(np.int64), self.strings):
+            yield self.records + shard, rows
+
+
+def _send(shape: Shape, shards: Shards):
     def run(table: pa.Table) -> pa.Table:
-        blob, repeated, _ = _gathered(table, first)
-        around, hashes, low, *_ = Block(blob, shape).records(repeated)
-        parts = list(_dealt(_second(hashes, shards), shards))
+        blob, known, _ = _gathered(table)
+        own = Block(blob, shape)
+        rare, often = own.repeated(known, shards.anchors)
+        around, hashes, low, *_ = own.records(*rare)
+        parts = [(s, around[r].tobytes(), low[r]) for s, r in shards.of_records(hashes)]
+        prints, low, *_ = own.strings(often[1], often[2])
+        parts += [(s, prints[:, r].tobytes(), low[r]) for s, r in shards.of_strings(prints)]
         return pa.table(
             {
-                "shard": pa.array([s for s, _ in parts], pa.int32()),
+                "shard": pa.array([s for s, _, _ in parts], pa.int32()),
                 "block": pa.array([table["block"][0].as_py()] * len(parts), pa.int64()),
-                "around": pa.array([_zip(around[r].tobytes()) for _, r in parts], pa.binary()),
-                "low": pa.array([_zip(low[r].tobytes()) for _, r in parts], pa.binary()),
+                "around": pa.array([_zip(data) for _, data, _ in parts], pa.binary()),
+                "low": pa.array([_zip(ids.tobytes()) for _, _, ids in parts], pa.binary()),
             }
         )
 
@@ -334,36 +400,42 @@ def _zip(data: bytes) -> bytes:
 
 
 class Levels:
-    """Sorted arrays of strings (key, smallest id, where its bytes are), each about twice the next."""
+    """Suffixes in byte order, with the smallest id that holds each, in levels about twice as long each
+    as the next."""
 
     def __init__(self):
-        self.held: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
-
-    def scan(self, keys: np.ndarray):
-        """(id, where) of sorted `keys` among all levels; id is LAST where a key is new."""
-        ids, where = np.full(len(keys), LAST), np.full(len(keys), -1)
-        for level, spots, places in self.held:
-            at = np.minimum(np.searchsorted(level, keys), len(level) - 1)
-            hit = level[at] == keys
-            ids[hit], where[hit] = spots[at[hit]], places[at[hit]]
-        return ids, where
-
-    def add(self, keys: np.ndarray, ids: np.ndarray, where: np.ndarray) -> None:
-        if not len(keys):
+        self.held: list[tuple[np.ndarray, np.ndarray]] = []
+
+    def scan(self, suffixes: np.ndarray) -> np.ndarray:
+        """The id that the levels have for each of a suffix array's different suffixes; LAST if none.
+
+        Both are sorted, so putting them in one order merges two runs; a match stands behind its twin.
+        """
+        ids = np.full(len(suffixes), LAST)
+        for level, owners in self.held:
+            merged, order = _merged(level, suffixes)
+            twin = np.flatnonzero(merged[1:] == merged[:-1])
+            ids[order[twin + 1] - len(level)] = owners[order[twin]]
+        return ids
+
+    def add(self, suffixes: np.ndarray, ids: np.ndarray) -> None:
+        if not len(suffixes):
             return
-        self.held.append((keys, ids, where))
+        self.held.append((suffixes, ids))
         while len(self.held) > 1 and len(self.held[-1][0]) * 2 > len(self.held[-2][0]):
             late, early = self.held.pop(), self.held.pop()
-            both = [np.concatenate(x) for x in zip(early, late, strict=True)]
-            order = np.argsort(both[0], kind="stable")
-            self.held.append(tuple(x[order] for x in both))
+            merged, order = _merged(early[0], late[0])
+            self.held.append((merged, np.concatenate([early[1], late[1]])[order]))
 
 
-class _Collision(Exception):
-    pass
+def _merged(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two sorted arrays in one order, and where in the two each comes from; equal ones of `one` first."""
+    both = np.concatenate([one, other])
+    order = np.argsort(both, kind="stable")
+    return both[order], order
 
 
-def _earlier(around: np.ndarray, low: np.ndarray, shape: Shape, base: np.uint64) -> np.ndarray:
+def _earlier(around: np.ndarray, low: np.ndarray, shape: Shape) -> np.ndarray:
     """For each record, bits of the starts (distance before the anchor) whose string an earlier
     document holds."""
     width = around.shape[1]
@@ -371,65 +443,63 @@ def _earlier(around: np.ndarray, low: np.ndarray, shape: Shape, base: np.uint64)
     out = np.zeros((len(around), shape.left + 1), dtype=bool)
     order = np.argsort(low, kind="stable")
     levels = Levels()
-
-    def same(a: np.ndarray, b: np.ndarray) -> None:
-        for at in range(0, len(a), 65_536):
-            if (windows[a[at : at + 65_536]] != windows[b[at : at + 65_536]]).any():
-                raise _Collision
-
+    back = np.arange(shape.left, -1, -1)  # column c starts `left - c` before the anchor
     for at in range(0, len(order), BATCH):
         own = order[at : at + BATCH]
         rows = around[own]
-        back = np.arange(shape.left, -1, -1)  # column c of the hashes starts `left - c` before the anchor
-        real = (back >= rows[:, -2:-1]) & (back <= rows[:, -1:])
-        record, column = np.nonzero(real)
-        keys = _hashes(rows[:, :-2], shape.length, base)[record, column]
-        where = own[record] * width + column
-        ids = low[own][record]
-        array = np.argsort(keys, kind="stable")
-        keys, where, ids = keys[array], where[array], ids[array]
-        first = np.flatnonzero(np.append(True, np.diff(keys) != 0)) if len(keys) else array
-        kind = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(keys))))
-        same(where, where[first][kind])
-        old, place = levels.scan(keys[first])
-        hit = place >= 0
-        same(where[first][hit], place[hit])
+        record, column = np.nonzero((back >= rows[:, -2:-1]) & (back <= rows[:, -1:]))
+        # Compared as bytes; all are equally long, so zeros at the end make no difference.
+        suffixes = windows[own[record] * width + column].view(f"S{shape.length}").ravel()
+        array = np.argsort(suffixes, kind="stable")
+        suffixes, ids = suffixes[array], low[own][record[array]]
+        first = np.flatnonzero(np.append(True, suffixes[1:] != suffixes[:-1])[: len(array)])
+        kind = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(array))))
+        old = levels.scan(suffixes[first])
+        # Records come by id, so the first of equal suffixes is of the smallest.
         least = np.minimum(old, ids[first])
         out[own[record[array]], back[column[array]]] = least[kind] < ids
-        levels.add(keys[first][~hit], ids[first][~hit], where[first][~hit])
+        new = old == LAST
+        levels.add(suffixes[first][new], ids[first][new])
+    return out
+
+
+def _earlier_strings(prints: np.ndarray, low: np.ndarray) -> np.ndarray:
+    """For each string, given by two hashes, whether one that is equal has a smaller id."""
+    order = np.lexsort((low, prints[1], prints[0]))
+    new = np.append(True, (np.diff(prints[:, order]) != 0).any(axis=0))[: len(order)]
+    least = low[order][new][np.cumsum(new) - 1] if len(order) else low
+    out = np.empty(len(order), dtype=bool)
+    out[order] = least < low[order]
     return out
 
 
 ANSWERED = "block long, shard int, answers binary"
 
 
-def _match(shape: Shape):
+def _match(shape: Shape, shards: Shards):
     def run(table: pa.Table) -> pa.Table:
         import zstandard
 
         rows = table.to_pylist()
-        parts = [
-            np.frombuffer(zstandard.decompress(r["around"]), np.uint8).reshape(-1, shape.around + 2) for r in rows
-        ]
-        around = np.concatenate(parts)
+        data = [zstandard.decompress(r["around"]) for r in rows]
         low = np.concatenate([np.frombuffer(zstandard.decompress(r["low"]), np.int64) for r in rows])
-        base = BASE
-        while True:
-            try:
-                found = _earlier(around, low, shape, base)
-                break
-            except _Collision:  # two different strings with one key: take other keys
-                with np.errstate(over="ignore"):
-                    base = (base * MIX) | np.uint64(1)
-        ends = np.cumsum([len(p) for p in parts])
+        if rows[0]["shard"] >= shards.records:
+            parts = [np.frombuffer(d, np.uint64).reshape(2, -1) for d in data]
+            found = _earlier_strings(np.concatenate(parts, axis=1), low)[:, None]
+            lengths = [p.shape[1] for p in parts]
+        else:
+            parts = [np.frombuffer(d, np.uint8).reshape(-1, shape.around + 2) for d in data]
+            found = _earlier(np.concatenate(parts), low, shape)
+            lengths = [len(p) for p in parts]
+        ends = np.cumsum(lengths)
+        bits = [found[e - n : e] for e, n in zip(ends, lengths, strict=True)]
+        # Strings have one bit each, which are packed together; records one row of bits each.
+        axis = 0 if found.shape[1] == 1 else 1
         return pa.table(
             {
                 "block": pa.array([r["block"] for r in rows], pa.int64()),
                 "shard": pa.array([r["shard"] for r in rows], pa.int32()),
-                "answers": pa.array(
-                    [np.packbits(found[e - len(p) : e], axis=1).tobytes() for e, p in zip(ends, parts, strict=True)],
-                    pa.binary(),
-                ),
+                "answers": pa.array([np.packbits(b, axis=axis).tobytes() for b in bits], pa.binary()),
             }
         )
 
@@ -439,22 +509,33 @@ def _match(shape: Shape):
 CUT = "doc_id long, n_bytes long, n_removed long, spans array<array<int>>, kept binary"
 
 
-def _cut(shape: Shape, first_shards: int, shards: int):
+def _cut(shape: Shape, shards: Shards):
     def run(table: pa.Table) -> pa.Table:
-        blob, repeated, answers = _gathered(table, first_shards)
+        blob, known, answers = _gathered(table)
         own = Block(blob, shape)
-        around, hashes, low, place, first, last, owner, kind = own.records(repeated)
+        rare, often = own.repeated(known, shards.anchors)
+        started = np.zeros(len(own.data) + 1, dtype=np.int32)
+
+        place, first, last, _ = rare
+        around, hashes, low, owner, kind = own.records(*rare)
         found = np.zeros((len(around), shape.left + 1), dtype=bool)
-        for shard, rows in _dealt(_second(hashes, shards), shards):
+        for shard, rows in shards.of_records(hashes):
             bits = np.frombuffer(answers[shard], np.uint8).reshape(len(rows), -1)
             found[rows] = np.unpackbits(bits, axis=1, count=shape.left + 1).view(bool)
-        started = np.zeros(len(own.data) + 1, dtype=np.int32)
         later = owner > low[kind] if len(kind) else np.empty(0, bool)
         for back in range(shape.left + 1):
             at = place - back
             mine = (at >= first) & (at <= last)
             mine &= later | found[kind, back] if len(kind) else mine
             started[at[mine]] = 1
+
+        prints, low, starts, owner, kind = own.strings(often[1], often[2])
+        earlier = np.zeros(len(low), dtype=bool)
+        for shard, rows in shards.of_strings(prints):
+            earlier[rows] = np.unpackbits(np.frombuffer(answers[shard], np.uint8), count=len(rows)).view(bool)
+        if len(kind):
+            started[starts[(owner > low[kind]) | earlier[kind]]] = 1
+
         total = np.concatenate([[0], np.cumsum(started[:-1], dtype=np.int64)])
         ends = np.arange(1, len(own.data) + 1)
         removed = total[ends] > total[np.maximum(ends - shape.length, 0)]
@@ -488,7 +569,9 @@ def remove_repeats(
     length: int = 50,
     block_bytes: int = 8_000_000,
     shard_anchors: int = 1_000_000,
-    shard_records: int = 150_000,
+    shard_records: int = 100_000,
+    frequent: int = 20_000,
+    shard_strings: int = 1_000_000,
 ) -> DataFrame:
     """(doc_id, n_bytes, n_removed, spans, kept) per row of `docs`, whose ids are integers.
 
@@ -510,17 +593,20 @@ def remove_repeats(
     first = blocks(likely, shard_anchors)
     asked = packed.mapInArrow(_ask(shape, first), ASKED)
     known = stored(
-        asked.groupBy("shard").applyInArrow(_answer, "block long, shard int, repeated binary, n long").where("n > 0")
+        asked.groupBy("shard").applyInArrow(_answer(frequent), KNOWN).where("n + n_frequent > 0")
+    )
+    # Known now: how many records and strings there are at most; a string starts at one of these places.
+    told = known.agg(F.sum("n").alias("n"), F.sum("n_frequent").alias("hot")).first()
+    shards = Shards(
+        first, blocks(told["n"] or 0, shard_records), blocks((told["hot"] or 0) * (shape.left + 1), shard_strings)
     )
-    # Known now: how many records there are at most.
-    shards = blocks(known.agg(F.sum("n").alias("n")).first()["n"] or 0, shard_records)
-    columns = {"blob": "binary", "shard": "int", "repeated": "binary", "answers": "binary"}
+    columns = {"blob": "binary", "shard": "int", "repeated": "binary", "frequent": "binary", "answers": "binary"}
 
     def rows(df: DataFrame) -> DataFrame:
         there = {c: F.col(c) if c in df.columns else F.lit(None).cast(kind).alias(c) for c, kind in columns.items()}
         return df.select("block", *there.values())
 
     texts = rows(packed).unionAll(rows(known))
-    sent = texts.groupBy("block").applyInArrow(_send(shape, first, shards), SENT)
-    answered = sent.groupBy("shard").applyInArrow(_match(shape), ANSWERED)
-    return texts.unionAll(rows(answered)).groupBy("block").applyInArrow(_cut(shape, first, shards), CUT)
+    sent = texts.groupBy("block").applyInArrow(_send(shape, shards), SENT)
+    answered = sent.groupBy("shard").applyInArrow(_match(shape, shards), ANSWERED)
+    return texts.unionAll(rows(answered)).groupBy("block").applyInArrow(_cut(shape, shards), CUT)
