@@ -46,3 +46,36 @@ def test_history_merge_is_well_formed(spark, catalog):
 def test_empty_tables_are_refused_before_the_write(spark, catalog):
     with pytest.raises(ValueError):
         catalog.replace("gold", "t", spark.range(0), "b", "d", allow_empty=False)
+
+
+def test_both_stores_have_the_same_methods():
+    import inspect
+
+    from siltworks.sources.store import TableStore
+
+    used = (
+        "exists read versions version_of rows_of counted inputs_of replace replace_split upsert change "
+        "keep_history compact rollback expire publish_projection"
+    ).split()
+    for name in used:
+        one, other = (inspect.signature(getattr(store, name)).parameters for store in (CatalogStore, TableStore))
+        if name not in ("compact", "expire"):
+            assert list(one) == list(other), name
+
+
+def test_changes_name_the_version_they_were_computed_from(spark, catalog, monkeypatch):
+    """The write asks the catalog to refuse it if the base is no longer the newest."""
+    name = catalog.name("gold", "based")
+    spark.range(3).write.mode("overwrite").format("parquet").saveAsTable(name)
+    monkeypatch.setattr(catalog, "version_of", lambda *_: 7)
+    monkeypatch.setattr(catalog, "read", lambda layer, table, version: spark.range(version))
+    with pytest.raises(PySparkException, match="OVERWRITE|overwrite|UNSUPPORTED|v1 table|not supported"):
+        catalog.change("gold", "based", lambda now: now.filter("id > 5"), "b", "d")
+    assert spark.table(name).count() == 3
+
+
+def test_projection_is_a_view_of_the_catalog(spark, catalog):
+    name = catalog.name("gold", "wide")
+    spark.range(3).withColumn("x", F.lit(1)).write.mode("overwrite").format("parquet").saveAsTable(name)
+    catalog.publish_projection("gold", "narrow", "gold", "wide", ["id"])
+    assert spark.newSession().table("catalog_test.narrow").columns == ["id"]
