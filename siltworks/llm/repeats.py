@@ -437,7 +437,28 @@ def _merged(one: np.ndarray, other: np.ndarray) -> tuple[np.ndarray, np.ndarray]
 
 def _earlier(around: np.ndarray, low: np.ndarray, shape: Shape) -> np.ndarray:
     """For each record, bits of the starts (distance before the anchor) whose string an earlier
-    document holds."""
+    document holds.
+
+    Of equal records only that of the smallest id has suffixes of its own; what the others hold is
+    held by it.
+    """
+    by_id = np.argsort(low, kind="stable")
+    flat = np.ascontiguousarray(around[by_id]).view(f"S{around.shape[1]}").ravel()
+    order = np.argsort(flat, kind="stable")
+    new = np.append(True, flat[order[1:]] != flat[order[:-1]])[: len(order)]
+    order = by_id[order]
+    lead = order[new]
+    kind = np.empty(len(order), np.int64)
+    kind[order] = np.cumsum(new) - 1
+    back, reach = around[:, -2:-1], around[:, -1:]
+    spots = np.arange(shape.left + 1)
+    all_of = (spots >= back) & (spots <= reach)
+    found = _earlier_of_different(around[lead], low[lead], shape)
+    return np.where((low > low[lead][kind])[:, None], all_of, found[kind])
+
+
+def _earlier_of_different(around: np.ndarray, low: np.ndarray, shape: Shape) -> np.ndarray:
+    """The same for records no two of which are equal."""
     width = around.shape[1]
     windows = np.lib.stride_tricks.sliding_window_view(np.ascontiguousarray(around).ravel(), shape.length)
     out = np.zeros((len(around), shape.left + 1), dtype=bool)
