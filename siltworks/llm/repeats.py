@@ -41,7 +41,7 @@ LAST = np.iinfo(np.int64).max
 BASE, OTHER, MIX = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F), np.uint64(0xD6E8FEB86659FD93)
 CHUNK = 1 << 18
 #: Of compression: what is sent counts three times as disk.
-LEVEL = 6
+LEVEL = 4
 BATCH = 8192
 SHIFT = np.uint64(24)
 
