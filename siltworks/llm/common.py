@@ -32,6 +32,13 @@ def stored(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def drop_folder(spark: SparkSession, folder: str) -> None:
+    """Remove a folder that no table is read from any more, on any file system that Spark reaches."""
+    context = spark.sparkContext
+    target = context._jvm.org.apache.hadoop.fs.Path(folder)
+    target.getFileSystem(context._jsc.hadoopConfiguration()).delete(target, True)
+
+
 def small(df: DataFrame, rows: int = 100_000) -> DataFrame:
     """A stored `df`, sent to all tasks in joins if it has `rows` rows or fewer, else not."""
     return F.broadcast(df) if df.count() <= rows else df

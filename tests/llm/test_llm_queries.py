@@ -134,3 +134,20 @@ def test_stages_are_read_from_parquet(spark, monkeypatch):
     seen.append(corpus_pipeline.run(spark, SF).inputFiles())
     for (name, _), files in zip(corpus_pipeline.STAGES, seen[1:], strict=True):
         assert files and all(f"/{name}/" in f and f.endswith(".parquet") for f in files)
+
+
+def test_stages_bear_empty_labels_and_benchmark(spark, awkward, tmp_path):
+    """Without labels nothing is toxic, without items nothing is contaminated."""
+    for table in ("labels", "benchmark"):
+        spark.read.parquet(f"{SF}/{table}.parquet").where("false").write.parquet(f"{tmp_path}/{table}.parquet")
+    awkward.write.parquet(f"{tmp_path}/documents.parquet")
+    docs, stages = awkward, dict(corpus_pipeline.STAGES)
+    assert stages["toxicity"](spark, docs, str(tmp_path)).count() == docs.count()
+    assert stages["decontamination"](spark, docs, str(tmp_path)).count() == docs.count()
+    assert corpus_pipeline.run(spark, str(tmp_path)).count() > 0
+
+
+def test_only_the_last_stage_stays_stored(spark):
+    out = corpus_pipeline.run(spark, SF)
+    folder = Path(out.inputFiles()[0].removeprefix("file://")).parents[1]
+    assert [p.name for p in folder.iterdir()] == ["packing"] and out.count() > 0
