@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from siltworks.llm import decontamination, line_dedup, packing, simhash, toxicity
-from siltworks.llm.common import opened, read, shared_folder, whole
+from siltworks.llm.common import drop_folder, opened, read, shared_folder, whole
 from siltworks.llm.queries import tokenizer_path
 
 
@@ -64,10 +64,16 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over `documents`. Each writes Parquet that the next one reads."""
-    docs = read(spark, sf_dir, "documents")
+    """All stages over `documents`. Each writes Parquet that the next one reads, and that goes then.
+
+    The result is read from the folder of the last stage, which stays.
+    """
+    docs, before = read(spark, sf_dir, "documents"), None
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for name, stage in STAGES:
         stage(spark, docs, sf_dir).write.parquet(f"{folder}/{name}")
         docs = spark.read.parquet(f"{folder}/{name}")
+        if before:
+            drop_folder(spark, f"{folder}/{before}")
+        before = name
     return docs
