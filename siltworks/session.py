@@ -13,6 +13,8 @@ SETTINGS = {
     # Lets a write of good and quarantined rows keep both files open instead of
     # sorting every partition by outcome first.
     "spark.sql.maxConcurrentOutputFileWriters": "4",
+    # Stored steps go when nothing refers to them any more; read when a context starts.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
