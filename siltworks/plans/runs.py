@@ -13,7 +13,6 @@ from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import asdict, dataclass
 from datetime import datetime, timezone
-from functools import reduce
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession, types as T
@@ -163,12 +162,6 @@ HISTORY_KEY = "customer_id"
 HISTORY_CHECK = ("customer_city", "customer_state", "customer_zip_code_prefix")
 
 
-def check_models(models: dict[str, DataFrame]) -> DataFrame:
-    return reduce(
-        DataFrame.unionByName, [evaluate(m, df, CHECKS[m]) for m, df in models.items()]
-    )
-
-
 def _failures(store: TableStore, layer: str, table: str, model: str, commit=None) -> str | None:
     """Failing checks of error severity on a model, in words; None if there are none.
 

@@ -553,7 +553,8 @@ class TableStore:
             self.spark.sql(f"DROP TABLE {name}")
             if not found[GOOD]:
                 return found, None
-            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in rows.schema if f.name in columns and f.name not in partition_by)
+            kept = [f for f in rows.schema if f.name in columns and f.name not in partition_by]
+            fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept)
             self.spark.sql(
                 f"CREATE TABLE {name} ({fields}) USING parquet CLUSTERED BY (`{column}`) "
                 f"INTO {number} BUCKETS LOCATION '{self.root}/{path}/{OUTCOME}={GOOD}'"

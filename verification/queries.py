@@ -25,7 +25,7 @@ from siltworks.operators.cleanse import (
     within_ranges,
 )
 from siltworks.operators.dedupe import first_per_key
-from siltworks.operators.history import as_known_at, merge_history
+from siltworks.operators.history import as_known_at
 from siltworks.operators.quality import counted_results, evaluate, freshness
 from siltworks.operators.upsert import upsert
 from siltworks.plans import incremental, marts
