@@ -421,11 +421,19 @@ def decided(found: DataFrame, model: Model, *, least: float = 0.5) -> DataFrame:
     in_order = F.array_sort(
         F.transform("spans", lambda s: F.struct(s["start"], s["kind"], s["end"], s["valid"], probability(s, model).alias("p")))
     )
-    told = found.select("id", in_order.alias("spans"))
+    told = found.select("id", F.filter(in_order, lambda s: s["valid"] | (s["p"] >= least)).alias("spans"))
+
+    def last_of_equal(s: Column, i: Column) -> Column:
+        """What two labelers propose counts once: of equal spans the one that passes, or is surest."""
+        after = F.get("spans", i + 1)
+        return ~F.coalesce(
+            (after["start"] == s["start"]) & (after["kind"] == s["kind"]) & (after["end"] == s["end"]), F.lit(False)
+        )
+
     return told.select(
         "id",
         F.filter("spans", lambda s: s["valid"]).alias("base"),
-        F.filter("spans", lambda s: s["valid"] | (s["p"] >= least)).alias("spans"),
+        F.filter("spans", last_of_equal).alias("spans"),
     )
 
 

@@ -176,3 +176,13 @@ def test_probability_equals_numpy(spark):
     features = np.array([[r.span[x] for x in personal.FEATURES] for r in rows])
     wanted = 1 / (1 + np.exp(-personal._inputs(kinds, votes, features) @ weights.round(9)))
     assert len(rows) > 20 and np.allclose([r.p for r in rows], wanted)
+
+
+def test_what_two_labelers_propose_counts_once(spark):
+    texts = [f"please call 0049 {k} 1234567 today" for k in range(30, 60)] + ["call +49 30 1234567 now"] * 30
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    both = personal.proposed(frame).where("id = 0").first().spans
+    assert sum(personal.KINDS[s.kind] == "phone" for s in both) == 2
+    for r in personal.decided(personal.proposed(frame), personal.Model(np.empty(0), np.empty(0), np.full(21, 9.0))).collect():
+        spans = [(s.start, s.kind, s.end) for s in r.spans]
+        assert len(spans) == len(set(spans)) and {(s.start, s.kind, s.end) for s in r.base} <= set(spans)
