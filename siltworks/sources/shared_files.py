@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import re
 import uuid
 from collections.abc import Iterable
 
@@ -39,7 +38,9 @@ def names_in(spark: SparkSession, folder: str) -> list[str]:
         if _raised(error, "FileNotFound"):
             return []
         raise
-    return sorted(re.findall(r"/([^/,]+)(?=,[a-z0-9]*:?/|}$)", lang.ArrayUtils.toString(listed)))
+    # All paths in one call: {folder/name,folder/name}
+    before = files.makeQualified(target).toString().rstrip("/") + "/"
+    return sorted(part.rstrip(",") for part in lang.ArrayUtils.toString(listed)[1:-1].split(before)[1:])
 
 
 def read_text(spark: SparkSession, path: str) -> str | None:
@@ -58,10 +59,12 @@ def read_text(spark: SparkSession, path: str) -> str | None:
 
 
 def first_text(spark: SparkSession, uri: str, length: int) -> str:
-    """The first bytes of a file, one character each."""
-    jvm = spark.sparkContext._jvm
+    """The first bytes of a file, uncompressed if its name tells how, one character each."""
+    jvm, configuration = spark.sparkContext._jvm, spark.sparkContext._jsc.hadoopConfiguration()
     target = jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI.create(uri))
-    opened = target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).open(target)
+    opened = target.getFileSystem(configuration).open(target)
+    codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(configuration).getCodec(target)
+    opened = codec.createInputStream(opened) if codec else opened
     try:
         bounded = jvm.org.apache.commons.io.input.BoundedInputStream(opened, length)
         return jvm.org.apache.commons.io.IOUtils.toString(bounded, "ISO-8859-1")

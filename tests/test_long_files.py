@@ -155,6 +155,18 @@ def test_blocks_that_the_survey_does_not_know_are_refused(spark, tmp_path, tiny_
         _records(spark, path, "\n", blocks[:-1]).collect()
 
 
+@pytest.mark.parametrize("end", ["\n", "\r\n", "\r"])
+def test_compressed_files(spark, tmp_path, end):
+    import gzip
+
+    path = tmp_path / "extract.csv"
+    path.mkdir()
+    for k, body in enumerate(['1,"a\nb"\n2,c\n', "3,d\n4,e\n"]):
+        with gzip.open(path / f"part{k}.csv.gz", "wt", newline="") as file:
+            file.write(("x,y\n" + body * 30).replace("\n", end))
+    same(spark, str(path))
+
+
 def test_files_and_folders_with_odd_names(spark, tmp_path):
     path = tmp_path / "a b%20c"
     path.mkdir()

@@ -361,6 +361,16 @@ def test_a_record_is_created_by_one_writer_only(spark, tmp_path):
     assert names_in(spark, f"{tmp_path}/nowhere") == [] and read_text(spark, f"{tmp_path}/nowhere") is None
 
 
+def test_names_in_a_folder_with_commas(spark, tmp_path):
+    from siltworks.sources.shared_files import names_in
+
+    folder = tmp_path / "a,b" / "c d,file:"
+    folder.mkdir(parents=True)
+    for name in ("1.json", "x=1", "z"):
+        (folder / name).touch()
+    assert names_in(spark, str(folder)) == names_in(spark, f"file://{folder}/") == ["1.json", "x=1", "z"]
+
+
 def test_a_view_never_goes_back(spark, tmp_path, monkeypatch):
     """Another writer commits and publishes between a record and its publication."""
     databases = {"gold": "gold_order_test"}
