@@ -202,3 +202,59 @@ def test_each_language_has_its_own_threshold():
         assert model.thresholds[k] == pytest.approx(plain_cut(raw[own].tolist(), labels[own].tolist()) if enough else common)
     assert sum(labels[back & (guessed == k)].sum() >= 5 for k in (0, 1)) >= 1
     assert all((model.score(t) >= toxicity.CUT) == (model.raw(h) >= model.thresholds[model.language(h)]) for t, _, _ in rows if (h := toxicity.word_hashes(t)) is not None)
+
+
+def many_words(spark):
+    """Toxic texts that each hold one of sixty words; all clean words come with either label."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for k in range(900):
+        text = list(rng.choice([f"w{n}" for n in range(50)], 8)) + ([f"vile{k // 3 % 60}"] if k % 3 == 0 else [])
+        rows.append((k, " ".join(text), "en", int(k % 3 == 0)))
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+    return rows, table.drop("toxic"), table.select("doc_id", "toxic")
+
+
+def test_all_labelled_rows_are_learned_from(spark):
+    """However small the shards are: a word of a few texts is known."""
+    rows, docs, labels = many_words(spark)
+    model = toxicity.train(docs, labels, max_bytes=4_000)
+    toxic = [model.score(t) >= toxicity.CUT for _, t, _, y in rows if y]
+    clean = [model.score(t) >= toxicity.CUT for _, t, _, y in rows if not y]
+    assert np.mean(toxic) > 0.95 and np.mean(clean) < 0.05
+
+
+def test_shards_hold_every_row_once(spark):
+    rows, docs, labels = many_words(spark)
+    marks = labels.selectExpr("doc_id id", "toxic label")
+    twice = docs.unionByName(docs.where("doc_id < 30")).repartition(7)
+    found, shards = toxicity._labelled(twice, marks, "doc_id", "text", "lang", 4_000)
+    found = found.collect()
+    expected = [(y, toxicity.word_hashes(t).tobytes()) for k, t, _, y in rows if not held_out(k)]
+    assert Counter((r.label, bytes(r.hashes)) for r in found) == Counter(expected)
+    assert shards > 5
+
+
+def test_model_does_not_depend_on_partitions(spark):
+    _, docs, labels = many_words(spark)
+    one, other = (toxicity.train(d, labels, max_bytes=4_000) for d in (docs, docs.repartition(9)))
+    for name, value in vars(one).items():
+        own, two = (v if isinstance(v, list) else [v] for v in (value, vars(other)[name]))
+        assert all(np.array_equal(a, b) for a, b in zip(own, two, strict=True))
+
+
+def test_cells_find_the_best_cuts(spark):
+    rng = np.random.default_rng(8)
+    rows = [(int(rng.integers(2)), int(rng.integers(40)) / 41, int(rng.integers(2))) for _ in range(200)]
+    cuts = toxicity._thresholds(spark.createDataFrame(rows, "guessed long, raw double, label int"), 3)
+    for k, cut in enumerate(cuts):
+        own = [(s, y) for g, s, y in rows if g == k or k == 2]
+        assert cut == pytest.approx(plain_cut(*zip(*own, strict=True)))
+
+
+def test_parameters_survive_their_rows(model):
+    flat = toxicity._flat(model, toxicity._Seen.of(model))
+    again, seen = toxicity._unflat(flat)
+    assert np.array_equal(toxicity._flat(again, seen), flat)
+    assert all(np.array_equal(a, b) for a, b in zip(again.filters, model.filters, strict=True))
+    assert np.array_equal(again.bias, model.bias) and np.array_equal(again.weights, model.weights)
