@@ -36,3 +36,21 @@ def test_sources_of_the_refreshed_fact_are_cleaned_once(spark, tables, monkeypat
     monkeypatch.setattr(TableStore, "replace", spy)
     assert queries.queries()["fct_orders_incremental"](spark, tables).count() > 20
     assert read and not [f for f in read if f"{tables}/" in f]
+
+
+def test_clusters_follow_the_rows(spark, tables, monkeypatch):
+    """As many files as the stages would choose for so many rows."""
+    asked, used, write = [], [], TableStore.replace_split
+
+    def number(rows):
+        asked.append(rows)
+        return 16
+
+    def spy(self, *args, **more):
+        used.append(more["cluster"][1])
+        return write(self, *args, **more)
+
+    monkeypatch.setattr(queries, "files_for", number)
+    monkeypatch.setattr(TableStore, "replace_split", spy)
+    assert queries.queries()["fct_orders_clustered"](spark, tables).count() > 20
+    assert asked == [119] and used == [16, 16, 16]

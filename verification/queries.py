@@ -35,6 +35,7 @@ from siltworks.plans.runs import (
     HISTORY_KEY,
     StageFailed,
     TableResult,
+    files_for,
     refresh_fact,
     results_frame,
     run_bronze,
@@ -404,9 +405,10 @@ def fact_incremental(spark: SparkSession, sf_dir: str) -> DataFrame:
 def fact_clustered(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The fact from cleaned tables that are clustered by order, so that its joins need no shuffle."""
     store = TableStore(spark, scratch(spark), {"silver": f"silver_{uuid.uuid4().hex}"})
+    number = files_for(supplied(spark, sf_dir, "lineitem").count())
     for table in incremental.SOURCES:
         rows = tagged(spark, sf_dir, table)
-        store.replace_split("silver", table, rows, *SILVER_RUN, cluster=(incremental.KEY, 8))
+        store.replace_split("silver", table, rows, *SILVER_RUN, cluster=(incremental.KEY, number))
     stored = {t: store.read("silver", t) for t in incremental.SOURCES}
     models = [staging(m, stored) for m in ("stg_orders", "stg_order_payments", "stg_order_items")]
     return plain(marts.fct_orders(*models))
