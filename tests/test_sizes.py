@@ -4,9 +4,21 @@ from __future__ import annotations
 
 import pytest
 
+from siltworks import session
 from siltworks.sources.store import TableStore
 from verification import queries
 
+SPLIT, WRITERS = "spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters"
+
+
+@pytest.fixture
+def settings(spark):
+    """The two settings, put back afterwards."""
+    before = {name: spark.conf.get(name) for name in (SPLIT, WRITERS)}
+    yield spark.conf
+    for name, value in before.items():
+        spark.conf.set(name, value)
+
 
 @pytest.fixture
 def tables(spark, tmp_path):
@@ -24,6 +36,21 @@ def tables(spark, tmp_path):
     return str(tmp_path)
 
 
+def test_queries_read_small_splits_and_do_not_sort_their_writes(spark, settings, tables):
+    settings.set(SPLIT, "128m")
+    settings.set(WRITERS, "0")
+    queries.queries()["silver_payments"](spark, tables)
+    assert int(settings.get(SPLIT)) == session.SPLIT_BYTES <= 16 << 20
+    assert settings.get(WRITERS) == session.SETTINGS[WRITERS] != "0"
+
+
+def test_lower_limits_stay(spark, settings):
+    settings.set(SPLIT, "1m")
+    settings.set(WRITERS, "9")
+    session.limit_tasks(spark)
+    assert (settings.get(SPLIT), settings.get(WRITERS)) == ("1m", "9")
+
+
 def test_sources_of_the_refreshed_fact_are_cleaned_once(spark, tables, monkeypatch):
     """Both days read what was written, not the supplied tables."""
     read, write = [], TableStore.replace

@@ -43,6 +43,7 @@ from siltworks.plans.runs import (
     run_silver,
 )
 from siltworks.plans.staging import STAGING, staging
+from siltworks.session import limit_tasks
 from siltworks.sources.extracts import (
     extract_path,
     missing_columns,
@@ -756,10 +757,14 @@ def run_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def in_utc(query: Query) -> Query:
-    """Times in the extracts carry no zone; they are read and shown as UTC."""
+    """Times in the extracts carry no zone; they are read and shown as UTC.
+
+    Tasks are kept small, as the library recommends.
+    """
 
     def run(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
+        limit_tasks(spark)
         return query(spark, sf_dir)
 
     return run
