@@ -81,3 +81,19 @@ def test_clusters_follow_the_rows(spark, tables, monkeypatch):
     monkeypatch.setattr(TableStore, "replace_split", spy)
     assert queries.queries()["fct_orders_clustered"](spark, tables).count() > 20
     assert asked == [119] and used == [16, 16, 16]
+
+
+def test_extracts_are_written_side_by_side(spark, monkeypatch):
+    """All of them; one that fails is not passed over."""
+    written = []
+
+    def write(df, path):
+        if "sellers" in path:
+            raise ValueError("no room")
+        written.append(path)
+
+    monkeypatch.setattr(queries, "extract", lambda *args: None)
+    monkeypatch.setattr(queries, "write_csv", write)
+    with pytest.raises(ValueError, match="no room"):
+        queries.write_extracts(spark, "none", "/root-of-raw", "2024-03-01")
+    assert len(written) == len(queries.TABLES) - 1
