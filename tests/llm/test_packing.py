@@ -100,3 +100,17 @@ def test_empty_and_wrong(spark, nothing):
     assert packing.pack(nothing, tokenizer_path()).collect() == []
     with pytest.raises(ValueError):
         packing.place(spark.createDataFrame([(9,)], "length int"), capacity=8)
+
+
+def test_new_words_are_looked_up_among_the_known():
+    """Going through all known words for each block of texts cost a fifth of the time."""
+
+    class Known(dict):
+        def keys(self):
+            raise AssertionError("all known words are gone through")
+
+    encoder, plain = packing.Encoder(tokenizer_path()), packing.Encoder(tokenizer_path())
+    encoder.known = Known()
+    texts = [" ".join(f"wörd{n} Number{n * k}" for n in range(300)) for k in range(3)]
+    assert [encoder.ids([t])[0] for t in texts] == plain.ids(texts)
+    assert plain.ids(texts)[0] == np.array(plain.tokenizer.encode(texts[0], add_special_tokens=False).ids, dtype="<u4").tobytes()
