@@ -42,6 +42,8 @@ __all__ = ["Commit", "Conflict", "TableNotFound", "TableStore"]
 FILE_BYTES = 128 << 20
 # Folders that the rows of a table with a key are dealt to, unless told otherwise.
 BUCKETS = 16
+# Rows that a task of an upsert writes, about.
+TASK_ROWS = 250_000
 # How often a change is computed anew because another writer was faster.
 ATTEMPTS = 10
 # Folder of ended versions within a written history; the rest is open.
@@ -222,6 +224,10 @@ class TableStore:
         version, and a source without rows writes nothing.  The table is dealt anew when twice as
         many folders are wanted as it has.  ``source`` is read twice, the first time for its keys
         alone.  ``checks`` count what fails in the folders written.
+
+        Both sides are shuffled once, by their keys and to a multiple of the number of folders: the
+        hash that deals rows to folders is the one that Spark partitions by, so what a task joins
+        belongs to one folder and is written as it comes.  That number follows the rows.
         """
         keys = list(keys)
 
@@ -234,18 +240,25 @@ class TableStore:
             fits = dealt and wanted < 2 * base.buckets
             number = base.buckets if fits else wanted
             kept: list[str] = []
+            typed = source.select(*keys)
             if fits:
                 types = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(base.schema))}
                 typed = source.select(*[F.col(k).cast(types[k]) for k in keys])
-                touched = {r[0] for r in typed.select(bucket(typed, number)).distinct().collect()}
+            found = typed.groupBy(bucket(typed, number)).count().collect()
+            touched, expected = {r[0] for r in found}, sum(r[1] for r in found)
+            if fits:
                 kept = [p for p in base.parts if _bucket_of(p) not in touched]
                 old = self._open(base, [p for p in base.parts if _bucket_of(p) in touched])
+                expected += base.rows * (len(base.parts) - len(kept)) // max(1, len(base.parts))
             else:
                 old = None if base is None else self._open(base)
+                expected += base.rows if base else 0
+            tasks = number * max(1, math.ceil(expected / (number * TASK_ROWS)))
+            fresh_rows = source.repartition(tasks, *keys)
             if old is None:
-                rows = require_unique(source, keys).withColumn(_INSERTED, F.lit(True))
+                rows = require_unique(fresh_rows, keys).withColumn(_INSERTED, F.lit(True))
             else:
-                rows = upsert(old, source, keys, inserted=_INSERTED)
+                rows = upsert(old.repartition(tasks, *keys), fresh_rows, keys, inserted=_INSERTED)
             columns = [c for c in rows.columns if c != _INSERTED]
             if fits and not touched:
                 return self._commit(
@@ -254,8 +267,7 @@ class TableStore:
                     checks=base.checks, inputs=inputs and dict(inputs),
                 )
             path = self._new_path(layer, table)
-            # Adaptive execution cuts the buckets into files of a good size.
-            placed = rows.withColumn(_BUCKET, bucket(rows, number)).hint("rebalance", _BUCKET)
+            placed = rows.withColumn(_BUCKET, bucket(rows, number))
             counts = {
                 "rows": F.count(F.lit(1)), "inserted": F.count_if(_INSERTED),
                 **counters(checks, set(keys)),

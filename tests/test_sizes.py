@@ -5,9 +5,12 @@ from __future__ import annotations
 import pytest
 
 from siltworks import session
+from siltworks.sources import store as stores
 from siltworks.sources.store import TableStore
 from verification import queries
 
+from plan_text import plan_of
+
 SPLIT, WRITERS = "spark.sql.files.maxPartitionBytes", "spark.sql.maxConcurrentOutputFileWriters"
 
 
@@ -97,3 +100,27 @@ def test_extracts_are_written_side_by_side(spark, monkeypatch):
     with pytest.raises(ValueError, match="no room"):
         queries.write_extracts(spark, "none", "/root-of-raw", "2024-03-01")
     assert len(written) == len(queries.TABLES) - 1
+
+
+def test_upserts_shuffle_each_side_once_and_their_tasks_follow_the_rows(spark, tmp_path, monkeypatch):
+    """What a task joins belongs to one folder, so nothing is dealt to folders by a second shuffle."""
+    plans, write = [], TableStore._write
+
+    def spy(self, rows, *args, **more):
+        plans.append(plan_of(rows))
+        return write(self, rows, *args, **more)
+
+    monkeypatch.setattr(TableStore, "_write", spy)
+    monkeypatch.setattr(stores, "TASK_ROWS", 100, raising=False)
+    store = TableStore(spark, str(tmp_path / "tables"))
+    rows = spark.range(4000).selectExpr("cast(id as string) k", "id v")
+    for n, part in enumerate((rows.filter("v < 3000"), rows.filter("v >= 2000").selectExpr("k", "-v v"))):
+        store.upsert("gold", "t", part, ["k"], f"run-{n}", "2024-03-01", buckets=4)
+    assert [p.count("Exchange hashpartitioning") for p in plans] == [1, 2]
+    assert not [p for p in plans if "REBALANCE" in p.upper()]
+    found = {r.k: r.v for r in store.read("gold", "t").collect()}
+    assert found == {str(v): -v if v >= 2000 else v for v in range(4000)}
+    folders = sorted((tmp_path / "tables").glob("gold/t/*/_bucket=*"))
+    files = {f: len(list(f.glob("*.parquet"))) for f in folders}
+    # Tasks for 3000 rows, then for those and 2000 more, as many in each of 4 folders.
+    assert sorted(files.values()) == [8] * 4 + [13] * 4
