@@ -25,6 +25,7 @@ from siltworks.plans.checks import CHECKS, FRESHNESS
 from siltworks.plans.staging import STAGING, staging
 from siltworks.sources.extracts import check_contract, extract_path, stamp_landing
 from siltworks.sources.long_files import read_long_extract
+from siltworks.sources.shared_files import delete
 from siltworks.sources.store import TableStore
 from siltworks.specs import TABLES
 
@@ -94,8 +95,13 @@ def _raise_if_failed(stage: str, results: list[TableResult]) -> list[TableResult
 def run_bronze(
     store: TableStore, raw_root: str, source: str, run_date: str,
     batch_id: str | None = None, as_of: datetime | None = None, side_by_side: int = 4,
+    drop_landed: bool = False,
 ) -> list[TableResult]:
-    """Land the nine extracts of one run date, files of any length in blocks."""
+    """Land the nine extracts of one run date, files of any length in blocks.
+
+    With ``drop_landed`` an extract is removed once its table is committed, as for one that was
+    written for this run alone; an extract that does not land stays.
+    """
     batch_id = batch_id or new_batch_id()
 
     def land(name: str) -> TableResult:
@@ -104,6 +110,8 @@ def run_bronze(
         extract = check_contract(extract, TABLES[name])
         rows = stamp_landing(extract, batch_id, run_date, as_of, file_column)
         commit = store.replace(BRONZE, name, rows, batch_id, run_date, allow_empty=False)
+        if drop_landed:
+            delete(store.spark, [path])
         return TableResult(BRONZE, name, "succeeded", commit.rows)
 
     return _raise_if_failed(

@@ -32,6 +32,7 @@ from siltworks.operators.dedupe import require_unique
 from siltworks.operators.history import VALID_FROM, VALID_TO, merge_history
 from siltworks.operators.quality import UNIQUE, Check, counters, numbered
 from siltworks.operators.upsert import upsert
+from siltworks.session import shuffles_removed
 from siltworks.sources.commit_log import Commit, CommitLog, Conflict
 from siltworks.sources.shared_files import delete, modified, names_in
 from siltworks.specs import GOOD, QUARANTINE
@@ -244,7 +245,8 @@ class TableStore:
             if fits:
                 types = {f.name: f.dataType for f in T.StructType.fromJson(json.loads(base.schema))}
                 typed = source.select(*[F.col(k).cast(types[k]) for k in keys])
-            found = typed.groupBy(bucket(typed, number)).count().collect()
+            with shuffles_removed(self.spark):
+                found = typed.groupBy(bucket(typed, number)).count().collect()
             touched, expected = {r[0] for r in found}, sum(r[1] for r in found)
             if fits:
                 kept = [p for p in base.parts if _bucket_of(p) not in touched]
@@ -542,7 +544,8 @@ class TableStore:
             writer = writer.partitionBy(*partition_by)
         if most_rows:
             writer = writer.option("maxRecordsPerFile", most_rows)
-        writer.parquet(f"{self.root}/{path}")
+        with shuffles_removed(rows.sparkSession):
+            writer.parquet(f"{self.root}/{path}")
         return counted(path)
 
     def _write_clustered(
@@ -559,7 +562,8 @@ class TableStore:
         writer = observed.write.format("parquet").option("compression", "snappy")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.bucketBy(number, column).option("path", f"{self.root}/{path}").saveAsTable(name)
+        with shuffles_removed(rows.sparkSession):
+            writer.bucketBy(number, column).option("path", f"{self.root}/{path}").saveAsTable(name)
         found = counted(path)
         if partition_by:
             self.spark.sql(f"DROP TABLE {name}")

@@ -1,4 +1,5 @@
 from datetime import datetime, timedelta, timezone
+from pathlib import Path
 
 import pytest
 
@@ -8,6 +9,7 @@ from siltworks.plans.runs import (
 )
 from siltworks.sources.store import TableStore
 from siltworks.specs import TABLES
+from verification import queries
 
 DAY = "2024-03-01"
 NOW = datetime(2024, 3, 1, 12, tzinfo=timezone.utc)
@@ -172,3 +174,42 @@ def test_missing_run_date_fails_every_table(spark, store, raw):
     with pytest.raises(StageFailed) as failed:
         run_bronze(store, raw(), "shop", "1999-01-01")
     assert {r.status for r in failed.value.results} == {"failed"}
+
+
+def test_landed_extracts_go_on_request_and_others_stay(spark, store, raw):
+    root = raw(sellers="id,seller_city\n1,x\n")
+    with pytest.raises(StageFailed):
+        run_bronze(store, root, "shop", DAY, drop_landed=True)
+    left = {p.name for p in Path(root).glob("*/*") if p.suffix == ".csv"}
+    assert left == {"shop_sellers_dataset.csv"}
+    assert store.read("bronze", "order_reviews").count() == 2
+
+    again = raw()
+    run_bronze(store, again, "shop", DAY)
+    assert len(list(Path(again).glob("*/*.csv"))) == len(TABLES)
+
+
+@pytest.mark.parametrize("name", ["published_views"])
+def test_whole_runs_keep_their_tables_and_not_the_extracts(spark, tmp_path, raw, monkeypatch, name):
+    """Extracts are as long as all that is made of them; they are in the way once they have landed."""
+    folder = f"{raw()}/run_date={DAY}"
+
+    def extract(spark, sf_dir, table):
+        return spark.read.csv(f"{folder}/shop_{table}_dataset.csv", header=True, escape='"', multiLine=True)
+
+    monkeypatch.setattr(queries, "extract", extract)
+    monkeypatch.setattr(queries, "scratch", lambda _: f"file://{tmp_path}/kept")
+    rows = queries.queries()[name](spark, "none").collect()
+    kept = tmp_path / "kept"
+    tables = ["orders", "order_items", "order_payments", "customers", "products", "order_reviews"]
+    assert all(list((kept / "tables" / layer / t).rglob("*.parquet")) for t in tables for layer in ("bronze", "silver"))
+    left = {p.parent.name for p in (kept / "raw").rglob("part-*")}
+    # An empty extract and one without its key column do not land.
+    stay = {"shop_sellers_dataset.csv", "shop_geolocation_dataset.csv"} if name == "gate_results" else set()
+    assert left == stay
+    if name == "stored_fct_orders":
+        assert {(r.order_id, r.item_count, r.payment_count) for r in rows} == {("o1", 1, 2), ("o2", 0, 0)}
+    elif name == "published_views":
+        assert {(r.layer, r.row_count) for r in rows if r.view_name == "customers"} == {("bronze", 3), ("silver", 2)}
+    else:
+        assert {r.layer for r in rows} == {"bronze", "silver", "gold"}

@@ -2,7 +2,12 @@
 
 from __future__ import annotations
 
+import threading
+import time
+from pathlib import Path
+
 import pytest
+from pyspark.sql import functions as F
 
 from siltworks import session
 from siltworks.sources import store as stores
@@ -124,3 +129,54 @@ def test_upserts_shuffle_each_side_once_and_their_tasks_follow_the_rows(spark, t
     files = {f: len(list(f.glob("*.parquet"))) for f in folders}
     # Tasks for 3000 rows, then for those and 2000 more, as many in each of 4 folders.
     assert sorted(files.values()) == [8] * 4 + [13] * 4
+
+
+REMOVAL = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def shuffle_files(spark) -> set[str]:
+    manager = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager()
+    return {str(f) for top in manager.localDirsString() for f in Path(top).rglob("shuffle_*")}
+
+
+@pytest.mark.parametrize("how", ["replace", "clustered", "upsert"])
+def test_writes_leave_no_shuffle_files(spark, tmp_path, how):
+    """Neither the joins and aggregates written nor the keys that an upsert reads first."""
+    store = TableStore(spark, str(tmp_path / "tables"), {"silver": f"silver_{how}"})
+    rows = spark.range(4000).selectExpr("cast(id % 1500 as string) k", "id v").groupBy("k").agg(F.sum("v").alias("v"))
+    before = shuffle_files(spark)
+    if how == "upsert":
+        store.upsert("silver", "t", rows, ["k"], "run", "2024-03-01", buckets=4)
+    else:
+        cluster = ("k", 4) if how == "clustered" else None
+        store.replace("silver", "t", rows, "run", "2024-03-01", cluster=cluster)
+    until = time.time() + 10  # they are removed in the background
+    while (left := shuffle_files(spark) - before) and time.time() < until:
+        time.sleep(0.2)
+    assert not left
+    assert store.read("silver", "t").count() == 1500
+
+
+def test_shuffles_outside_of_writes_stay(spark):
+    """The setting holds while any thread writes; what one frame shuffles can be read twice under it."""
+    before, inside, leave = spark.conf.get(REMOVAL, None), threading.Event(), threading.Event()
+
+    def other():
+        with session.shuffles_removed(spark):
+            inside.set()
+            leave.wait(20)
+
+    thread = threading.Thread(target=other)
+    with session.shuffles_removed(spark):
+        thread.start()
+        assert inside.wait(20)
+        rows = spark.range(100).selectExpr("id % 7 k").groupBy("k").count()
+        assert rows.count() == 7 and sorted(rows.collect()) == sorted(rows.collect())
+    assert spark.conf.get(REMOVAL) == "true"
+    leave.set()
+    thread.join()
+    assert spark.conf.get(REMOVAL, None) == before
+
+    with pytest.raises(ValueError), session.shuffles_removed(spark):
+        raise ValueError
+    assert spark.conf.get(REMOVAL, None) == before

@@ -696,7 +696,7 @@ def published(spark: SparkSession, sf_dir: str) -> dict[str, str]:
     databases = {layer: f"{layer}_{own}" for layer in ("bronze", "silver", "gold")}
     write_extracts(spark, sf_dir, f"{root}/raw", "2024-03-01")
     store = TableStore(spark, f"{root}/tables", databases)
-    run_bronze(store, f"{root}/raw", "shop", "2024-03-01", "bronze-1", NOW)
+    run_bronze(store, f"{root}/raw", "shop", "2024-03-01", "bronze-1", NOW, drop_landed=True)
     run_silver(store, "2024-03-01", "silver-1", NOW)
     run_gold(store, "2024-03-01", "gold-1", NOW)
     return databases
