@@ -736,7 +736,9 @@ def gate_results(spark: SparkSession, sf_dir: str) -> DataFrame:
         elif table == "customers":
             rows = rows.withColumn("customer_city", F.lit(None).cast("string"))
         write_csv(rows, extract_path(f"{root}/raw", "shop", "2024-03-01", table))
-    results = results_of(lambda: run_bronze(store, f"{root}/raw", "shop", "2024-03-01", "b", NOW))
+    results = results_of(
+        lambda: run_bronze(store, f"{root}/raw", "shop", "2024-03-01", "b", NOW, drop_landed=True)
+    )
     # The two tables that did not land are empty from here on, as on a first day without them.
     for table in ("sellers", "geolocation"):
         none = extract(spark, sf_dir, table).filter("false")
