@@ -189,7 +189,7 @@ def test_landed_extracts_go_on_request_and_others_stay(spark, store, raw):
     assert len(list(Path(again).glob("*/*.csv"))) == len(TABLES)
 
 
-@pytest.mark.parametrize("name", ["published_views", "gate_results", "stored_fct_orders"])
+@pytest.mark.parametrize("name", ["published_views", "gate_results", "stored_fct_orders", "table_results"])
 def test_whole_runs_keep_their_tables_and_not_the_extracts(spark, tmp_path, raw, monkeypatch, name):
     """Extracts are as long as all that is made of them; they are in the way once they have landed."""
     folder = f"{raw()}/run_date={DAY}"

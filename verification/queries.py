@@ -648,7 +648,7 @@ def table_results(spark: SparkSession, sf_dir: str) -> DataFrame:
     root = scratch(spark)
     write_extracts(spark, sf_dir, f"{root}/raw", "2024-03-01")
     store = TableStore(spark, f"{root}/tables")
-    results = run_bronze(store, f"{root}/raw", "shop", "2024-03-01", "bronze-1", NOW)
+    results = run_bronze(store, f"{root}/raw", "shop", "2024-03-01", "bronze-1", NOW, drop_landed=True)
     results += run_silver(store, "2024-03-01", "silver-1", NOW)
     results += run_gold(store, "2024-03-01", "gold-1", NOW)
     return results_frame(spark, results).drop("error")
